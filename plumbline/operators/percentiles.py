@@ -1,0 +1,89 @@
+"""Exact continuous percentiles of a decimal column."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Window, functions as F
+
+
+def exact_percentiles(
+    rows: DataFrame,
+    column: str,
+    points: Mapping[str, float],
+    scale: int = 2,
+    width: int = 10_000_000,
+) -> DataFrame:
+    """One row with a linearly interpolated percentile per entry of ``points``.
+
+    The built-in exact percentile keeps every distinct value of a group in one
+    buffer. Here the values, as whole units of the decimal, are counted in
+    parallel and then cut into ranges of ``width`` units. Only the ranges that
+    hold a wanted rank, at most two per point, are ordered by value, and each
+    has at most ``2 * width`` distinct values. The range totals themselves are
+    few: a decimal(14,2) spans at most ``2 * 10**14 / width`` ranges.
+    """
+    units = (F.col(column) * F.lit(10**scale)).cast("bigint")
+    values = (
+        rows.where(F.col(column).isNotNull())
+        .groupBy(units.alias("_units"))
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_range", F.expr(f"_units div {width}"))
+    )
+    by_range = Window.orderBy("_range")
+    ranges = (
+        values.groupBy("_range")
+        .agg(F.sum("_n").alias("_rows"))
+        .select(
+            "_range",
+            "_rows",
+            F.coalesce(
+                F.sum("_rows").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            ).alias("_before"),
+            F.sum("_rows")
+            .over(by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+            .alias("_total"),
+        )
+    )
+
+    def position(point: float):
+        return F.lit(float(point)) * (F.col("_total") - 1).cast("double")
+
+    def holds(rank, first, size):
+        return (rank >= first) & (rank < first + size)
+
+    ranks = [end(position(point)) for point in points.values() for end in (F.floor, F.ceil)]
+    wanted = F.lit(False)
+    for rank in ranks:
+        wanted = wanted | holds(rank, F.col("_before"), F.col("_rows"))
+    hit = F.broadcast(ranges.where(wanted).select("_range", "_before", "_total"))
+
+    smaller = (
+        Window.partitionBy("_range").orderBy("_units").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    placed = values.join(hit, "_range").withColumn(
+        "_first", F.col("_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0))
+    )
+
+    def value_at(rank):
+        return F.max(F.when(holds(rank, F.col("_first"), F.col("_n")), F.col("_units")))
+
+    found = []
+    for name, point in points.items():
+        at = position(point)
+        found += [
+            value_at(F.floor(at)).alias(f"{name}_low"),
+            value_at(F.ceil(at)).alias(f"{name}_high"),
+            F.max(at - F.floor(at)).alias(f"{name}_part"),
+        ]
+    unit = F.lit(float(10**scale))
+    return placed.agg(*found).select(
+        *[
+            (
+                F.col(f"{name}_low") / unit
+                + (F.col(f"{name}_high") / unit - F.col(f"{name}_low") / unit)
+                * F.col(f"{name}_part")
+            ).alias(name)
+            for name in points
+        ]
+    )
