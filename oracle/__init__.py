@@ -1 +1,6 @@
-ORACLE_SQL={}
+"""The registered queries once more, as SQL for an independent engine."""
+
+from oracle.assemble import assemble
+from oracle.results import RESULTS
+
+ORACLE_SQL = {name: assemble(text) for name, text in RESULTS.items()}
