@@ -11,8 +11,8 @@ from plumbline.plans import dashboards, marts, quality, reports, rollups, snapsh
 from plumbline.schemas import RAW_TABLES
 from plumbline.session import scratch_folder, tuned
 from plumbline.sources import raw_csv
-from plumbline.sources.driver_tables import DriverTables
-from plumbline.sources.tables import load_audit
+from plumbline.sources.driver_tables import RUN_TIMES, DriverTables
+from plumbline.sources.tables import TableStore, load_audit
 
 # The test tables have text keys where the reference data has numbers.
 KEY_TYPES = {
@@ -30,7 +30,9 @@ class Warehouse:
         self._built: dict[str, DataFrame] = {}
 
     def raw_table(self, name: str) -> DataFrame:
-        return self.raw.takeoff_items() if name == "takeoff_items" else getattr(self.raw, name)
+        if name in ("takeoff_items", "estimates"):
+            return getattr(self.raw, name)()
+        return getattr(self.raw, name)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -53,7 +55,7 @@ class Warehouse:
         if name == "fct_estimates":
             return marts.fct_estimates(
                 t(stg["estimates"]), t(stg["projects"]), t(stg["estimate_line_items"]),
-                self.project_takeoffs,
+                self.project_takeoffs, counted=self.raw.estimates(version=False),
             )
         if name == "mart_estimate_cost_breakdown":
             return marts.mart_estimate_cost_breakdown(
@@ -92,12 +94,33 @@ class Warehouse:
             self.table("stg_cost_library"),
         )
 
+    @cached_property
+    def plain_estimates(self) -> DataFrame:
+        """Staged estimates without their version."""
+        return staging.stg_estimates(self.raw.estimates(version=False))
+
     @cached_property
     def estimate_facts(self) -> DataFrame:
         """The rows of ``fct_estimates`` with the estimate's own columns."""
-        return marts.estimates_of_known_projects(
-            self.table("stg_estimates"), self.table("stg_projects")
-        )
+        return marts.estimates_of_known_projects(self.plain_estimates, self.table("stg_projects"))
+
+    def tested(self, name: str) -> DataFrame:
+        """A table with the columns that the declared tests read."""
+        narrow = {
+            "raw.takeoff_items": lambda: self.raw.takeoff_items(item=False),
+            "raw.estimates": lambda: self.raw.estimates(version=False),
+            "stg_takeoff_items": lambda: self.project_takeoffs,
+            "stg_estimates": lambda: self.plain_estimates,
+            "fct_takeoffs": lambda: self.takeoff_facts,
+            "fct_estimates": lambda: self.estimate_facts,
+        }
+        return narrow[name]() if name in narrow else self.table(name)
+
+    def tested_alone(self, name: str) -> DataFrame:
+        """The same for tests of columns that are no foreign keys."""
+        if name == "raw.takeoff_items":
+            return self.raw.takeoff_items(project=False, item=False)
+        return self.line_takeoffs if name == "stg_takeoff_items" else self.tested(name)
 
     @cached_property
     def checks(self) -> DataFrame:
@@ -107,7 +130,11 @@ class Warehouse:
 
     @cached_property
     def price_history(self) -> DataFrame:
-        return snapshots.after_runs(self.raw.cost_library_versions)
+        """History after all deliveries, one stored run each."""
+        store = TableStore(self.spark, scratch_folder(self.spark, "history"))
+        for run_time, costs in self.raw.cost_library_versions:
+            history = stages.snapshot(store, costs, run_time)
+        return history
 
 
 def _csv_round_trip(w: Warehouse, name: str) -> DataFrame:
@@ -119,8 +146,8 @@ def _csv_round_trip(w: Warehouse, name: str) -> DataFrame:
 def _load_audit(w: Warehouse) -> DataFrame:
     return load_audit(
         {
-            # The lookups of takeoffs keep their number of rows.
-            name: w.line_takeoffs if name == "takeoff_items" else w.raw_table(name)
+            # Looked-up columns do not change the number of rows.
+            name: w.tested_alone(f"raw.{name}")
             for name in RAW_TABLES
         }
     )
@@ -129,7 +156,7 @@ def _load_audit(w: Warehouse) -> DataFrame:
 def _rollup_versions(w: Warehouse) -> DataFrame:
     """Estimate versions with a rate between -0.05 and 0.10 as their variance."""
     rate = ((F.col("estimate_id") % 16).cast("double") - 5.0) / 100.0
-    return w.raw.estimates.select(
+    return w.raw.estimates().select(
         "estimate_id", "project_id", "estimate_version", rate.alias("version_rate")
     )
 
@@ -183,21 +210,21 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "derive_business_keys": _business_keys,
     # price history
-    "cost_library_snapshot_initial": lambda w: snapshots.after_runs(
-        w.raw.cost_library_versions[:1]
+    "cost_library_snapshot_initial": lambda w: snapshots.initial(
+        w.raw.cost_library, RUN_TIMES[0]
     ),
     "cost_library_snapshot_merge": lambda w: w.price_history,
     "cost_library_as_of": lambda w: snapshots.priced_as_of(w.line_takeoffs, w.price_history),
     "cost_library_price_change": lambda w: snapshots.price_changes(w.price_history),
     # data tests and checks
-    "dq_unique": lambda w: quality.unique_results(w.table),
-    "dq_not_null": lambda w: quality.not_null_results(w.table),
-    "dq_accepted_values": lambda w: quality.accepted_values_results(w.table),
-    "dq_relationships": lambda w: quality.relationships_results(w.table),
+    "dq_unique": lambda w: quality.unique_results(w.tested_alone),
+    "dq_not_null": lambda w: quality.not_null_results(w.tested),
+    "dq_accepted_values": lambda w: quality.accepted_values_results(w.tested_alone),
+    "dq_relationships": lambda w: quality.relationships_results(w.tested),
     "dq_positive_quantities": lambda w: quality.positive_quantities(w.line_takeoffs),
     "dq_valid_confidence": lambda w: quality.valid_confidence(w.line_takeoffs),
-    "dq_test_results": lambda w: quality.test_results(w.table),
-    "dq_orphans": lambda w: quality.orphans(w.table),
+    "dq_test_results": lambda w: quality.test_results(w.tested, w.tested_alone),
+    "dq_orphans": lambda w: quality.orphans(w.tested),
     "dq_checks_summary": lambda w: w.checks,
     "dq_high_low_confidence_projects": lambda w: quality.high_low_confidence_projects(
         w.table("mart_estimation_dashboard")

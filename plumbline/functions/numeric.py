@@ -14,7 +14,7 @@ def round_half_away(value: Column, places: int) -> Column:
     ``F.round`` works on the decimal text of the double instead and gives 1.01
     for 1.005, whose binary value is below the half.
     """
-    scale = F.lit(float(10**places))
+    scale = float(10**places)
     return F.round(value.cast("double") * scale, 0) / scale
 
 
@@ -25,7 +25,7 @@ def to_decimal(value: Column, precision: int, scale: int) -> Column:
 def avg_decimal(value: Column, scale: int) -> Column:
     """Average of a decimal column as a double, taken from its exact sum."""
     unit = 10**scale
-    return (F.sum(value) * F.lit(unit)).cast("double") / nullif_zero(F.count(value) * F.lit(unit))
+    return (F.sum(value) * unit).cast("double") / nullif_zero(F.count(value) * unit)
 
 
 def nullif_zero(value: Column) -> Column:
@@ -35,4 +35,4 @@ def nullif_zero(value: Column) -> Column:
 def percent(part: Column, whole: Column, places: int) -> Column:
     """``part`` as a rounded percentage of ``whole``; NULL where ``whole`` is zero."""
     ratio = part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
-    return round_half_away(ratio * F.lit(100.0), places)
+    return round_half_away(ratio * 100.0, places)

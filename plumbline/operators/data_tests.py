@@ -35,6 +35,16 @@ def unique(rows: DataFrame, table: str, column: str) -> DataFrame:
     return _results("unique", table, repeated.agg(F.count("*").alias(column)))
 
 
+def unusable_keys(rows: DataFrame, column: str) -> DataFrame:
+    """One row with the number of repeated and of NULL keys."""
+    keys = rows.groupBy(column).count()
+    missing = F.col(column).isNull()
+    return keys.agg(
+        F.count_if(~missing & (F.col("count") > 1)).alias("repeated"),
+        F.count_if(missing).alias("missing"),
+    )
+
+
 def not_null(rows: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Null rows of all ``columns`` in one pass."""
     return _results(

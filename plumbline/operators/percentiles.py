@@ -1,4 +1,4 @@
-"""Exact continuous percentiles of a decimal column."""
+"""Exact counts, sums and continuous percentiles of a decimal column."""
 
 from __future__ import annotations
 
@@ -7,28 +7,26 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+def value_counts(rows: DataFrame, column: str, scale: int = 2) -> DataFrame:
+    """Distinct values of a decimal column, as whole units of it, and their rows."""
+    units = (F.col(column) * F.lit(10**scale)).cast("bigint")
+    return rows.groupBy(units.alias("_units")).agg(F.count("*").alias("_n"))
+
+
 def exact_percentiles(
-    rows: DataFrame,
-    column: str,
-    points: Mapping[str, float],
-    scale: int = 2,
-    width: int = 10_000_000,
+    counts: DataFrame, points: Mapping[str, float], scale: int = 2, width: int = 10_000_000
 ) -> DataFrame:
     """One row with a linearly interpolated percentile per entry of ``points``.
 
     The built-in exact percentile keeps every distinct value of a group in one
-    buffer. Here the values, as whole units of the decimal, are counted in
-    parallel and then cut into ranges of ``width`` units. Only the ranges that
-    hold a wanted rank, at most two per point, are ordered by value, and each
-    has at most ``2 * width`` distinct values. The range totals themselves are
-    few: a decimal(14,2) spans at most ``2 * 10**14 / width`` ranges.
+    buffer. Here the ``value_counts`` are cut into ranges of ``width`` units.
+    Only the ranges that hold a wanted rank, at most two per point, are ordered
+    by value, and each has at most ``2 * width`` distinct values. The range
+    totals themselves are few: a decimal(14,2) spans at most
+    ``2 * 10**14 / width`` ranges.
     """
-    units = (F.col(column) * F.lit(10**scale)).cast("bigint")
-    values = (
-        rows.where(F.col(column).isNotNull())
-        .groupBy(units.alias("_units"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_range", F.expr(f"_units div {width}"))
+    values = counts.where(F.col("_units").isNotNull()).withColumn(
+        "_range", F.expr(f"_units div {width}")
     )
     by_range = Window.orderBy("_range")
     ranges = (

@@ -168,7 +168,8 @@ def fct_takeoffs(
             UPDATED_AT: F.current_timestamp(),
         }
     )
-    return fact.select(*[name for name in FCT_TAKEOFFS if name in fact.columns])
+    present = set(fact.columns)
+    return fact.select(*[name for name in FCT_TAKEOFFS if name in present])
 
 
 def estimates_of_known_projects(estimates: DataFrame, projects: DataFrame) -> DataFrame:
@@ -177,9 +178,17 @@ def estimates_of_known_projects(estimates: DataFrame, projects: DataFrame) -> Da
 
 
 def fct_estimates(
-    estimates: DataFrame, projects: DataFrame, line_items: DataFrame, takeoffs: DataFrame
+    estimates: DataFrame,
+    projects: DataFrame,
+    line_items: DataFrame,
+    takeoffs: DataFrame,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per estimate version with its line items and its project's takeoffs."""
+    """One row per estimate version with its line items and its project's takeoffs.
+
+    ``counted`` may name a cheaper frame with the project of every estimate, to
+    find the projects with very many.
+    """
     context = projects.select("project_id", *PROJECT_CONTEXT).join(
         takeoffs_by_project(takeoffs), "project_id", "left"
     )
@@ -188,7 +197,7 @@ def fct_estimates(
         context,
         "project_id",
         spread_by=F.col("estimate_id"),
-        counted=estimates.select("project_id"),
+        counted=estimates if counted is None else counted,
     )
     total = F.col("estimate_total_mid")
     calculated = F.col("calculated_total")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions import avg_decimal, conditional_count, round_half_away
-from plumbline.operators.percentiles import exact_percentiles
+from plumbline.operators.percentiles import exact_percentiles, value_counts
 
 
 def _share_pct(part: Column, whole: Column) -> Column:
@@ -61,13 +61,17 @@ def takeoff_stats(takeoffs: DataFrame) -> DataFrame:
 
 
 def estimate_stats(estimates: DataFrame) -> DataFrame:
-    mid = F.col("estimate_total_mid")
-    totals = estimates.agg(
-        F.count("*").alias("total_estimates"),
-        F.coalesce(F.sum(mid).cast("double"), F.lit(0.0)).alias("sum_mid"),
-        F.coalesce(round_half_away(avg_decimal(mid, 2), 2), F.lit(0.0)).alias("avg_mid"),
-    )
-    quantiles = exact_percentiles(estimates, "estimate_total_mid", {"p50_mid": 0.5, "p90_mid": 0.9})
+    """Number, sum, mean and percentiles, all from one count per distinct total."""
+    counts = value_counts(estimates, "estimate_total_mid")
+    priced = F.col("_units").isNotNull()
+    cents = F.sum(F.col("_units").cast("decimal(20,0)") * F.col("_n")).cast("double")
+    mean = cents / F.nullif(F.sum(F.when(priced, F.col("_n"))) * 100, F.lit(0))
+    totals = counts.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_estimates"),
+        F.coalesce(cents / F.lit(100.0), F.lit(0.0)).alias("sum_mid"),
+        F.coalesce(round_half_away(mean, 2), F.lit(0.0)).alias("avg_mid"),
+    )
+    quantiles = exact_percentiles(counts, {"p50_mid": 0.5, "p90_mid": 0.9})
     return _beside(
         totals,
         quantiles.select(

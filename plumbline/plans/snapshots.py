@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
@@ -34,15 +32,6 @@ def merged(history: DataFrame, raw_costs: DataFrame, run_time: str) -> DataFrame
     return scd.merge_history(history, snapshot_rows(raw_costs), KEY, CHECKED, run_time)
 
 
-def after_runs(deliveries: Iterable[tuple[str, DataFrame]]) -> DataFrame:
-    """History after several deliveries, the first of which starts it."""
-    (first_time, first), *later = deliveries
-    history = initial(first, first_time)
-    for run_time, raw_costs in later:
-        history = merged(history, raw_costs, run_time)
-    return history
-
-
 def priced_as_of(takeoffs: DataFrame, history: DataFrame) -> DataFrame:
     """Staged takeoffs with the unit costs valid when they were created."""
     rows = scd.as_of(

@@ -77,15 +77,17 @@ def transform(store: TableStore, run_time: str) -> None:
         "mart_estimation_dashboard",
         marts.mart_estimation_dashboard(projects, pages, takeoffs, estimates, reviews),
     )
-    snapshot(store, run_time)
+    snapshot(store, store.read("raw.cost_library"), run_time)
 
 
-def snapshot(store: TableStore, run_time: str) -> DataFrame:
-    """Add a run to the price history; running the same time again gives the same history."""
-    raw_costs = store.read("raw.cost_library")
-    repeated = data_tests.unique(raw_costs, "raw.cost_library", snapshots.KEY).first()
-    missing = data_tests.not_null(raw_costs, "raw.cost_library", [snapshots.KEY]).first()
-    if not (repeated["passed"] and missing["passed"]):
+def snapshot(store: TableStore, raw_costs: DataFrame, run_time: str) -> DataFrame:
+    """Add a run to the price history; running the same time again gives the same history.
+
+    The history is read from and written to storage, so a merge never plans
+    the runs before it again.
+    """
+    unusable = data_tests.unusable_keys(raw_costs, snapshots.KEY).first()
+    if unusable["repeated"] or unusable["missing"]:
         raise ValueError("the cost library has repeated or missing cost codes")
     history = store.read_history(SNAPSHOT, before=run_time)
     if history is None:

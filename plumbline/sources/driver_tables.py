@@ -14,6 +14,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from plumbline.functions import label
 from plumbline.operators.numbering import number_within
 
+# Schemas of the test tables, so that opening one reads no file.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz""",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
 # Fixed values of the mapping.
 SEGMENT_TYPES = {
     "BUILDING": "residential",
@@ -61,7 +74,9 @@ class DriverTables:
 
     def _table(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+            self._read[name] = self._spark.read.schema(SCHEMAS[name]).parquet(
+                f"{self._folder}/{name}.parquet"
+            )
         return self._read[name]
 
     @cached_property
@@ -146,45 +161,48 @@ class DriverTables:
             label(F.col("l_returnflag"), METHOD_BY_RETURN_FLAG, None).alias("extraction_method"),
             F.col("l_shipdate").alias("created_at"),
         )
-        if project:
-            owners = self._table("orders").select(
-                F.col("o_orderkey").alias("page_id"), F.col("o_custkey").alias("project_id")
-            )
-            lines = lines.join(owners, "page_id", "left")
         if item:
             described = self._items.select(
                 F.col("p_partkey").alias("l_partkey"), "item_type", "uom"
             )
             lines = lines.join(described, "l_partkey", "left")
+        if project:
+            # Last, so a join to pages that follows finds the rows placed by page.
+            owners = self._table("orders").select(
+                F.col("o_orderkey").alias("page_id"), F.col("o_custkey").alias("project_id")
+            )
+            lines = lines.join(owners, "page_id", "left")
         return lines.drop("l_partkey")
 
     @cached_property
     def _estimate_orders(self) -> DataFrame:
         return self._table("orders").where(F.col("o_orderpriority") == ESTIMATE_PRIORITY)
 
-    @cached_property
-    def estimates(self) -> DataFrame:
+    def estimates(self, version: bool = True) -> DataFrame:
         """Estimates, versioned by order date and key within their project.
 
         A bucket is one date and one block of order keys, so a project has at
         most (days x blocks) buckets and a bucket at most ``KEY_BLOCK`` rows.
+        ``version`` says whether the version is needed.
         """
         key = F.col("o_orderkey")
         mid = F.when(key % 50 == 0, F.lit(0.0)).otherwise(F.col("o_totalprice") * (key % 8 + 1))
-        numbered = number_within(
-            self._estimate_orders,
-            "o_custkey",
-            {
-                "_day": F.col("o_orderdate").cast("date"),
-                "_block": F.expr(f"o_orderkey div {KEY_BLOCK}"),
-            },
-            [F.col("o_orderdate"), key],
-            "estimate_version",
-        ).withColumn("mid", mid)
-        return numbered.select(
+        orders = self._estimate_orders
+        if version:
+            orders = number_within(
+                orders,
+                "o_custkey",
+                {
+                    "_day": F.col("o_orderdate").cast("date"),
+                    "_block": F.expr(f"o_orderkey div {KEY_BLOCK}"),
+                },
+                [F.col("o_orderdate"), key],
+                "estimate_version",
+            )
+        return orders.withColumn("mid", mid).select(
             key.alias("estimate_id"),
             F.col("o_custkey").alias("project_id"),
-            "estimate_version",
+            *(["estimate_version"] if version else []),
             (F.col("mid") * 0.7125).alias("estimate_total_low"),
             F.col("mid").alias("estimate_total_mid"),
             (F.col("mid") * 1.4175).alias("estimate_total_high"),

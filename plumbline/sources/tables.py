@@ -25,19 +25,21 @@ class TableStore:
     def replace(self, name: str, rows: DataFrame) -> DataFrame:
         """Write a table anew and return it as stored. ``rows`` must not read the same table."""
         rows.write.mode("overwrite").parquet(self.path(name))
-        return self.read(name)
+        return self.spark.read.schema(rows.schema).parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def exists(self, name: str) -> bool:
+    def _find(self, name: str) -> DataFrame | None:
         try:
-            self.read(name)
+            return self.read(name)
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
+                return None
             raise
-        return True
+
+    def exists(self, name: str) -> bool:
+        return self._find(name) is not None
 
     def row_count(self, name: str) -> int:
         return self.read(name).count()
@@ -49,22 +51,24 @@ class TableStore:
     # writes its own folder, and a repeated run overwrites only that.
 
     def add_history(self, name: str, run_time: str, rows: DataFrame) -> DataFrame:
-        run = _run_folder(run_time)
-        rows.write.mode("overwrite").parquet(f"{self.path(name)}/run={run}")
-        return self.read_history(name)
+        folder = f"{self.path(name)}/run={_run_folder(run_time)}"
+        rows.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
 
     def read_history(self, name: str, before: str | None = None) -> DataFrame | None:
         """History of the latest run, or of the latest one before a run time."""
-        if not self.exists(name):
+        history = self._find(name)
+        if history is None:
             return None
-        runs = self.spark.read.parquet(self.path(name))
+        runs = history if before is None else history.where(F.col("run") < _run_folder(before))
         # Only the partition column is read; one value reaches the driver.
-        if before is not None:
-            runs = runs.where(F.col("run").cast("string") < _run_folder(before))
-        latest = runs.select(F.max(F.col("run").cast("string"))).first()[0]
+        latest = runs.agg(F.max("run")).first()[0]
         if latest is None:
             return None
-        return self.spark.read.parquet(f"{self.path(name)}/run={latest}")
+        return (
+            self.spark.read.schema(history.drop("run").schema)
+            .parquet(f"{self.path(name)}/run={latest}")
+        )
 
 
 def _run_folder(run_time: str) -> str:
