@@ -5,7 +5,7 @@ from __future__ import annotations
 from oracle.marts import _share
 from oracle.text import lookup, members, tier
 from plumbline import fixed_values as fixed
-from plumbline.schemas import RAW_TABLES
+from plumbline.schemas import RAW_TABLES, raw_schema
 
 _MONEY = {
     "stg_cost_library": ["unit_cost_low", "unit_cost_mid", "unit_cost_high"],
@@ -422,6 +422,14 @@ RESULTS: dict[str, str] = {
                 AS method_label
         FROM fct_estimates ORDER BY generated_at DESC, estimate_id LIMIT 4""",
     **{f"raw_csv_roundtrip_{name}": _whole_table(f"raw_{name}") for name in RAW_TABLES},
+    "raw_csv_roundtrip": _all(
+        [
+            f"""SELECT '{table}' AS table_name, '{column}' AS column_name,
+                count(*) AS row_count, count({column}) AS non_null_values FROM raw_{table}"""
+            for table in RAW_TABLES
+            for column in raw_schema(table).names
+        ]
+    ),
     "load_audit": _all(
         [
             f"""SELECT '{name}' AS table_name, count(*) AS row_count,

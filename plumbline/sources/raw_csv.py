@@ -16,6 +16,9 @@ _FORMAT = {
     "dateFormat": "yyyy-MM-dd",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
     "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    # One row per line, so that a large file can be read in pieces.
     "multiLine": "false",
 }
 # Nullable keys that a producer may have written as floating point (12.0).

@@ -99,3 +99,25 @@ def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
         .agg(F.sum("row_count").alias("row_count"), F.sum("tables").alias("tables_loaded"))
         .withColumn("table_name", F.coalesce("table_name", F.lit("total")))
     )
+
+
+def column_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and non-null values per column, from one pass over each table."""
+    frames = []
+    for name, rows in tables.items():
+        counts = rows.agg(
+            F.count("*").alias("_rows"), *[F.count(column).alias(column) for column in rows.columns]
+        )
+        entries = [
+            F.struct(F.lit(column).alias("column_name"), F.col(column).alias("values"))
+            for column in rows.columns
+        ]
+        frames.append(
+            counts.select("_rows", F.explode(F.array(*entries)).alias("entry")).select(
+                F.lit(name).alias("table_name"),
+                "entry.column_name",
+                F.col("_rows").alias("row_count"),
+                F.col("entry.values").alias("non_null_values"),
+            )
+        )
+    return reduce(DataFrame.unionByName, frames)
