@@ -5,7 +5,7 @@ from __future__ import annotations
 from oracle.marts import _share
 from oracle.text import lookup, members, tier
 from plumbline import fixed_values as fixed
-from plumbline.schemas import RAW_TABLES, raw_schema
+from plumbline.schemas import RAW_TABLES, raw_columns
 
 _MONEY = {
     "stg_cost_library": ["unit_cost_low", "unit_cost_mid", "unit_cost_high"],
@@ -427,7 +427,7 @@ RESULTS: dict[str, str] = {
             f"""SELECT '{table}' AS table_name, '{column}' AS column_name,
                 count(*) AS row_count, count({column}) AS non_null_values FROM raw_{table}"""
             for table in RAW_TABLES
-            for column in raw_schema(table).names
+            for column in raw_columns(table)
         ]
     ),
     "load_audit": _all(

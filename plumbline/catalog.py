@@ -55,7 +55,7 @@ class Warehouse:
         if name == "fct_estimates":
             return marts.fct_estimates(
                 t(stg["estimates"]), t(stg["projects"]), t(stg["estimate_line_items"]),
-                self.project_takeoffs, counted=self.raw.estimates(version=False),
+                self.takeoff_totals, counted=self.raw.estimates(version=False),
             )
         if name == "mart_estimate_cost_breakdown":
             return marts.mart_estimate_cost_breakdown(
@@ -69,7 +69,7 @@ class Warehouse:
             )
         if name == "mart_estimation_dashboard":
             return marts.mart_estimation_dashboard(
-                t(stg["projects"]), t(stg["blueprint_pages"]), self.project_takeoffs,
+                t(stg["projects"]), t(stg["blueprint_pages"]), self.takeoff_totals,
                 t(stg["estimates"]), t(stg["qa_reviews"]),
             )
         raise KeyError(name)
@@ -86,6 +86,10 @@ class Warehouse:
         """Staged takeoffs with their project, without item type and unit."""
         return staging.stg_takeoff_items(self.raw.takeoff_items(item=False))
 
+    @cached_property
+    def takeoff_totals(self) -> DataFrame:
+        return marts.takeoffs_by_project(self.project_takeoffs)
+
     @cached_property
     def takeoff_facts(self) -> DataFrame:
         """``fct_takeoffs`` without item type and unit."""
@@ -210,7 +214,10 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "latest_estimate_per_project": lambda w: marts.latest_estimates(w.table("stg_estimates")),
     # roll-ups and keys
     "estimate_rollup": lambda w: rollups.estimate_rollup(
-        _rollup_versions(w), w.project_takeoffs, w.table("stg_cost_library")
+        _rollup_versions(w),
+        w.project_takeoffs,
+        w.table("stg_cost_library"),
+        counted=w.raw.estimates(version=False),
     ),
     "estimate_line_item_rollup": lambda w: rollups.estimate_line_item_rollup(
         marts.latest_estimates(w.table("stg_estimates")),

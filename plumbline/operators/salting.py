@@ -1,4 +1,4 @@
-"""Join to a unique-key side when some keys carry very many rows."""
+"""Join to a lookup side when some keys carry very many rows."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ def salted_join(
     counted: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join ``rows`` to ``lookup`` (unique on ``key``), cutting hot keys into pieces.
+    """Join ``rows`` to a ``lookup`` with few rows per ``key``, cutting hot keys into pieces.
 
     Adaptive skew handling needs a plain shuffle on both sides of a join; this
     serves the joins whose lookup side is an aggregate on the join key. A key

@@ -181,16 +181,16 @@ def fct_estimates(
     estimates: DataFrame,
     projects: DataFrame,
     line_items: DataFrame,
-    takeoffs: DataFrame,
+    takeoff_totals: DataFrame,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per estimate version with its line items and its project's takeoffs.
 
-    ``counted`` may name a cheaper frame with the project of every estimate, to
+    ``takeoff_totals`` comes from ``takeoffs_by_project``. ``counted`` may name a cheaper frame with the project of every estimate, to
     find the projects with very many.
     """
     context = projects.select("project_id", *PROJECT_CONTEXT).join(
-        takeoffs_by_project(takeoffs), "project_id", "left"
+        takeoff_totals, "project_id", "left"
     )
     rows = salted_join(
         estimates.join(line_items_by_estimate(line_items), "estimate_id", "left"),
@@ -398,11 +398,14 @@ def completeness_score(pages: Column, takeoffs: Column, total_mid: Column, mean:
 def mart_estimation_dashboard(
     projects: DataFrame,
     pages: DataFrame,
-    takeoffs: DataFrame,
+    takeoff_totals: DataFrame,
     estimates: DataFrame,
     reviews: DataFrame,
 ) -> DataFrame:
-    """One row per project. All five sides are unique on project_id and share one partitioning."""
+    """One row per project. All five sides are unique on project_id and share one partitioning.
+
+    ``takeoff_totals`` comes from ``takeoffs_by_project``.
+    """
     current = latest_estimates(estimates).select(
         "project_id",
         F.col("estimate_id").alias("latest_estimate_id"),
@@ -415,7 +418,7 @@ def mart_estimation_dashboard(
     )
     rows = (
         projects.join(pages_by_project(pages), "project_id", "left")
-        .join(takeoffs_by_project(takeoffs), "project_id", "left")
+        .join(takeoff_totals, "project_id", "left")
         .join(current, "project_id", "left")
         .join(qa_by_project(reviews), "project_id", "left")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions import round_half_away
+from plumbline.operators.salting import salted_join
 
 
 def quantities_by_project_and_code(takeoffs: DataFrame) -> DataFrame:
@@ -17,14 +18,20 @@ def quantities_by_project_and_code(takeoffs: DataFrame) -> DataFrame:
     )
 
 
-def estimate_rollup(versions: DataFrame, takeoffs: DataFrame, costs: DataFrame) -> DataFrame:
+def estimate_rollup(
+    versions: DataFrame,
+    takeoffs: DataFrame,
+    costs: DataFrame,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Low, mid and high total of every estimate version from its project's takeoffs.
 
     ``versions`` has estimate_id, project_id, estimate_version and
     ``version_rate``; version v scales the totals by ``1 + (v - 1) * rate``.
     Codes without a price are left out and a project without takeoffs totals 0.
     Quantities are summed per project and code before they meet the prices, so
-    a hot code is one row per project by then.
+    a hot code is one row per project by then. ``counted`` may name a cheaper
+    frame with the project of every version, to find those with very many.
     """
     quantities = takeoffs.groupBy("project_id", "cost_code").agg(F.sum("quantity").alias("quantity"))
     priced = quantities.join(
@@ -42,7 +49,9 @@ def estimate_rollup(versions: DataFrame, takeoffs: DataFrame, costs: DataFrame)
         value = F.coalesce(F.col(level), F.lit(0.0)) * factor
         return round_half_away(value if spread is None else value * F.lit(spread), 2)
 
-    return versions.join(totals, "project_id", "left").select(
+    return salted_join(
+        versions, totals, "project_id", F.col("estimate_id"), how="left", counted=counted
+    ).select(
         "estimate_id",
         "project_id",
         "estimate_version",
@@ -64,7 +73,13 @@ def estimate_line_item_rollup(
     priced = quantities_by_project_and_code(takeoffs).join(
         costs.select("cost_code", "unit_cost_mid"), "cost_code"
     )
-    return estimates.select("estimate_id", "project_id").join(priced, "project_id").select(
+    return salted_join(
+        priced,
+        estimates.select("estimate_id", "project_id"),
+        "project_id",
+        F.col("cost_code"),
+        counted=takeoffs.select("project_id", "cost_code").distinct(),
+    ).select(
         "estimate_id",
         "cost_code",
         "item_type",

@@ -64,7 +64,8 @@ def transform(store: TableStore, run_time: str) -> None:
     costs, estimates = stg("cost_library"), stg("estimates")
     lines, reviews = stg("estimate_line_items"), stg("qa_reviews")
     store.replace("fct_takeoffs", marts.fct_takeoffs(takeoffs, pages, projects, costs))
-    store.replace("fct_estimates", marts.fct_estimates(estimates, projects, lines, takeoffs))
+    totals = store.replace("takeoffs_by_project", marts.takeoffs_by_project(takeoffs))
+    store.replace("fct_estimates", marts.fct_estimates(estimates, projects, lines, totals))
     store.replace(
         "mart_estimate_cost_breakdown",
         marts.mart_estimate_cost_breakdown(lines, estimates, projects, costs),
@@ -75,7 +76,7 @@ def transform(store: TableStore, run_time: str) -> None:
     )
     store.replace(
         "mart_estimation_dashboard",
-        marts.mart_estimation_dashboard(projects, pages, takeoffs, estimates, reviews),
+        marts.mart_estimation_dashboard(projects, pages, totals, estimates, reviews),
     )
     snapshot(store, store.read("raw.cost_library"), run_time)
 

@@ -49,9 +49,12 @@ PRIMARY_KEYS = {
 }
 
 
+def raw_columns(table: str) -> dict[str, str]:
+    """Column names of a raw table with their types."""
+    return dict(entry.split() for entry in _DDL[table].split(","))
+
+
 def raw_schema(table: str, **overrides: str) -> T.StructType:
     """Schema of a raw table; ``overrides`` replace column types (``takeoff_id="string"``)."""
-    columns = [entry.split() for entry in _DDL[table].split(",")]
-    return T.StructType.fromDDL(
-        ", ".join(f"{name} {overrides.get(name, kind)}" for name, kind in columns)
-    )
+    columns = {**raw_columns(table), **overrides}
+    return T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in columns.items()))

@@ -44,7 +44,8 @@ def _whole_number(name: str) -> Column:
 def read_csv(spark: SparkSession, folder: str, table: str, **overrides: str) -> DataFrame | None:
     """One raw table, or None where the file is missing.
 
-    A value that does not fit its type stops the job instead of turning NULL.
+    A value that does not fit its type stops the job instead of turning NULL;
+    empty text is NULL.
     ``overrides`` replace column types, such as ``takeoff_id="string"``.
     """
     target = raw_schema(table, **overrides)

@@ -2,6 +2,9 @@
 
 from datetime import date, datetime
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from plumbline.schemas import raw_schema
 
 DAY = date(2024, 3, 1)
@@ -54,8 +57,8 @@ def table(spark, name, *rows):
         values = {**DEFAULTS[name], **row}
         if KEYS[name] not in row and name != "cost_library":
             values[KEYS[name]] = number
-        filled.append(tuple(values[column] for column in schema.names))
-    return spark.createDataFrame(filled, schema)
+        filled.append({column: values[column] for column in schema.names})
+    return spark.createDataFrame(pa.Table.from_pylist(filled, to_arrow_schema(schema)), schema)
 
 
 def by(frame, key):

@@ -26,7 +26,11 @@ def build(spark):
 
 def dashboard(s):
     return marts.mart_estimation_dashboard(
-        s["projects"], s["blueprint_pages"], s["takeoff_items"], s["estimates"], s["qa_reviews"]
+        s["projects"],
+        s["blueprint_pages"],
+        marts.takeoffs_by_project(s["takeoff_items"]),
+        s["estimates"],
+        s["qa_reviews"],
     )
 
 
@@ -38,7 +42,10 @@ def facts(s):
 
 def estimates(s):
     return marts.fct_estimates(
-        s["estimates"], s["projects"], s["estimate_line_items"], s["takeoff_items"]
+        s["estimates"],
+        s["projects"],
+        s["estimate_line_items"],
+        marts.takeoffs_by_project(s["takeoff_items"]),
     )
 
 

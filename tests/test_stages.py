@@ -16,7 +16,7 @@ def test_round_trip_keeps_values(spark, tmp_path):
     rows = table(
         spark, "projects",
         dict(client_name='He said "hi", twice', project_name=None),
-        dict(created_at=datetime(2024, 1, 2, 3, 4, 5, 678901), client_name=" padded ", project_name=""),
+        dict(created_at=datetime(2024, 1, 2, 3, 4, 5, 678901), client_name=" padded "),
     )
     raw_csv.write_csv(rows, str(tmp_path), "projects")
     back = raw_csv.read_csv(spark, str(tmp_path), "projects")
@@ -24,6 +24,11 @@ def test_round_trip_keeps_values(spark, tmp_path):
     assert sorted(back.collect()) == sorted(rows.collect())
 
 
+def test_empty_text_is_read_as_null(spark, tmp_path):
+    raw_csv.write_csv(table(spark, "projects", dict(project_name="")), str(tmp_path), "projects")
+    assert raw_csv.read_csv(spark, str(tmp_path), "projects").first()["project_name"] is None
+
+
 def test_division_keeps_its_zero(spark, tmp_path):
     raw_csv.write_csv(table(spark, "cost_library", {}), str(tmp_path), "cost_library")
     assert raw_csv.read_csv(spark, str(tmp_path), "cost_library").first()["division"] == "03"
