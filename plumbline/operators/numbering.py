@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -17,20 +18,30 @@ def number_within(
     """``row_number()`` per ``key``, without sorting all rows of a key in one task.
 
     ``buckets`` are expressions that cut a key's rows into pieces that follow
-    one another in ``order``. Rows are numbered within (key, buckets) and each
-    bucket starts after the summed sizes of the earlier ones. One task sees the
-    rows of one bucket, or one count per bucket of a key. Keys must not be
-    NULL.
+    one another in ``order``; a NULL bucket comes last. Rows are numbered
+    within (key, buckets) and each bucket starts after the summed sizes of the
+    earlier ones. One task sees the rows of one bucket, or one count per bucket
+    of a key.
     """
     cut = rows.withColumns(dict(buckets))
     columns = [key, *buckets]
     sizes = cut.groupBy(*columns).agg(F.count("*").alias("_size"))
-    earlier = Window.partitionBy(key).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*columns, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    earlier = (
+        Window.partitionBy(key)
+        .orderBy(*[F.asc_nulls_last(bucket) for bucket in buckets])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = sizes.select(
+        *[F.col(column).alias(f"_of_{column}") for column in columns],
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
+    )
+    same = reduce(
+        Column.__and__, [F.col(column).eqNullSafe(F.col(f"_of_{column}")) for column in columns]
+    )
     position = F.row_number().over(Window.partitionBy(*columns).orderBy(*order))
     return (
         cut.withColumn("_position", position)
-        .join(starts, columns)
+        .join(starts, same)
         .withColumn(name, F.col("_start") + F.col("_position"))
-        .drop(*buckets, "_start", "_position")
+        .drop(*buckets, *[f"_of_{column}" for column in columns], "_start", "_position")
     )

@@ -146,7 +146,6 @@ def fct_takeoffs(
             ),
             "page_id",
         )
-        .join(projects.select("project_id", *PROJECT_CONTEXT), "project_id")
         .join(
             costs.select(
                 "cost_code", "division", "division_name", "unit_cost_low", "unit_cost_mid",
@@ -154,6 +153,8 @@ def fct_takeoffs(
             ),
             "cost_code",
         )
+        # The widest side comes last, so that no later shuffle carries it.
+        .join(projects.select("project_id", *PROJECT_CONTEXT), "project_id")
     )
     fact = joined.withColumns(
         {
@@ -251,18 +252,18 @@ def mart_estimate_cost_breakdown(
             ),
             "estimate_id",
         )
-        .join(
-            projects.select(
-                "project_id", "client_name", "project_name", "project_type", "location_state"
-            ),
-            "project_id",
-        )
         .join(
             costs.select(
                 "cost_code", "division", "division_name", "unit_cost_low", "unit_cost_high"
             ),
             "cost_code",
         )
+        .join(
+            projects.select(
+                "project_id", "client_name", "project_name", "project_type", "location_state"
+            ),
+            "project_id",
+        )
     )
     total = F.col("estimate_total_mid")
     return rows.select(

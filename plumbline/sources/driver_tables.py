@@ -196,7 +196,7 @@ class DriverTables:
                     "_day": F.col("o_orderdate").cast("date"),
                     "_block": F.expr(f"o_orderkey div {KEY_BLOCK}"),
                 },
-                [F.col("o_orderdate"), key],
+                [F.asc_nulls_last("o_orderdate"), F.asc("o_orderkey")],
                 "estimate_version",
             )
         return orders.withColumn("mid", mid).select(

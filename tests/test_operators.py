@@ -36,6 +36,17 @@ def test_number_within_equals_row_number(skewed):
     assert len(numbered) == 3000
 
 
+def test_number_within_keeps_null_keys_and_buckets(spark):
+    rows = spark.createDataFrame(
+        pd.DataFrame({"id": [1, 2, 3, 4, 5, 6], "key": [None, None, None, "a", "a", "a"],
+                      "day": [2.0, None, 1.0, None, 3.0, None]})
+    ).withColumn("day", F.when(~F.isnan("day"), F.col("day")))
+    numbered = number_within(
+        rows, "key", {"_day": F.col("day")}, [F.asc_nulls_last("day"), F.asc("id")], "n"
+    )
+    assert {row["id"]: row["n"] for row in numbered.collect()} == {1: 2, 2: 3, 3: 1, 4: 2, 5: 1, 6: 3}
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("hot_rows", [10, 300, 10_000])
 def test_salted_join_equals_plain_join(spark, skewed, how, hot_rows):
