@@ -20,6 +20,9 @@ def test_every_query_has_sql():
 def test_query_equals_sql(spark, connection, name):
     frame = entry_points.queries()[name](spark, FOLDER)
     assert difference(frame, connection, entry_points.oracle_sql()[name]) is None
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ObjectHashAggregate(keys=[], functions=[percentile"):
+        assert slow not in plan
 
 
 def test_comparison_sees_a_changed_value(spark, connection):
