@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import decontaminate, histogram_sort, mixing, parity_join, repetition
+from plumbline.llm import (
+    decontaminate,
+    histogram_sort,
+    mixing,
+    parity_join,
+    repetition,
+    run_length_dedup,
+)
 from plumbline.llm.tables import row_hash, stored, table
 
 
@@ -28,6 +35,11 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(decontaminate.scan(docs, table(spark, folder, "benchmark")))
 
 
+def op4_run_length_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return run_length_dedup.remove_repeats(docs, keep_bytes=False)
+
+
 def op5_repetition(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return repetition.assess(docs).drop("text")
@@ -53,6 +65,7 @@ def op10_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
+    "op4_run_length_dedup": op4_run_length_dedup,
     "op5_repetition": op5_repetition,
     "op9_parity_join": op9_parity_join,
     "op10_histogram_sort": op10_histogram_sort,

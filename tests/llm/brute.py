@@ -132,7 +132,7 @@ def repeats(docs, size=50):
             if least[body[i : i + size]] < doc:
                 gone[i : i + size] = b"\1" * size
         kept = bytes(b for b, g in zip(body, gone) if not g)
-        runs = len(re.findall(rb"\1+", bytes(gone)))
+        runs = len(re.findall(rb"\x01+", bytes(gone)))
         out.append((doc, len(body), sum(gone), runs, sha(kept)))
     return out
 
