@@ -30,3 +30,65 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coa
 FROM doc_words LEFT JOIN found f USING (doc_id) LEFT JOIN hit_words h USING (doc_id)"""
 
 LLM_SQL: dict[str, str] = {"op2_decontaminate": DECONTAMINATE}
+
+_REPEATED = f"""
+    SELECT doc_id, i, len(w) AS n FROM (
+        SELECT doc_id, w, i, count(*) OVER (PARTITION BY doc_id, list_slice(w, i, i + {{size}} - 1)) AS again
+        FROM words, unnest(range(1, len(w) - {{size}} + 2)) AS t(i) WHERE len(w) >= {{size}})
+    WHERE again > 1"""
+
+REPETITION = rf"""
+WITH words AS (
+    SELECT doc_id, text, coalesce(regexp_extract_all(text, '{_WORD}'), []) AS w FROM documents),
+lines AS (
+    SELECT doc_id, sum(again - 1) AS n FROM (
+        SELECT doc_id, line, count(*) AS again
+        FROM documents, unnest(string_split(text, chr(10))) AS t(line)
+        WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id, line)
+    GROUP BY doc_id),
+repeats AS ({_REPEATED.format(size=8)}),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM repeats, unnest(range(i, i + 8)) AS t(j) GROUP BY doc_id),
+too_long AS (SELECT DISTINCT doc_id FROM ({_REPEATED.format(size=101)})),
+base AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(coalesce(length(text) - length(translate(text, '#*$%&|<>', '')), 0) AS BIGINT) AS n_symbols,
+        CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+        t.doc_id IS NOT NULL AS long_repeat
+    FROM words LEFT JOIN lines l USING (doc_id) LEFT JOIN covered c USING (doc_id) LEFT JOIN too_long t USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR long_repeat) AS kept
+FROM base"""
+
+BACKOFF = rf"""
+WITH words AS (
+    SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '{_WORD}'), []) AS w FROM documents),
+tokens AS (
+    SELECT doc_id, i, w[i] AS t, CASE WHEN i > 1 THEN w[i - 1] END AS p
+    FROM words, unnest(range(1, len(w) + 1)) AS u(i)),
+size AS (SELECT count(*) AS n FROM tokens),
+own_size AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id),
+one AS (SELECT t, count(*) AS n FROM tokens GROUP BY t),
+own_one AS (SELECT doc_id, t, count(*) AS n FROM tokens GROUP BY doc_id, t),
+two AS (SELECT p, t, count(*) AS n FROM tokens WHERE p IS NOT NULL GROUP BY p, t),
+own_two AS (SELECT doc_id, p, t, count(*) AS n FROM tokens WHERE p IS NOT NULL GROUP BY doc_id, p, t),
+others AS (
+    SELECT k.doc_id, k.p, size.n - own_size.n AS words, one.n - own_one.n AS c1,
+        coalesce(two.n - own_two.n, 0) AS c2, before.n - own_before.n AS cp
+    FROM tokens k JOIN size ON true JOIN own_size USING (doc_id)
+    JOIN one ON one.t = k.t JOIN own_one ON own_one.doc_id = k.doc_id AND own_one.t = k.t
+    LEFT JOIN one before ON before.t = k.p LEFT JOIN own_one own_before ON own_before.doc_id = k.doc_id AND own_before.t = k.p
+    LEFT JOIN two ON two.p = k.p AND two.t = k.t
+    LEFT JOIN own_two ON own_two.doc_id = k.doc_id AND own_two.p = k.p AND own_two.t = k.t),
+valued AS (
+    SELECT doc_id, p IS NOT NULL AND c2 = 0 AS backed_off,
+        CASE WHEN c2 > 0 THEN c2 / cp ELSE CASE WHEN p IS NULL THEN 1 ELSE CAST(0.4 AS DOUBLE) END
+            * CASE WHEN c1 > 0 THEN c1 / words ELSE CAST(0.4 AS DOUBLE) / (words + 1) END END AS s
+    FROM others),
+scored AS (
+    SELECT doc_id, count_if(backed_off) AS b, sum(ln(s)) / count(*) AS score FROM valued GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b, 0) AS BIGINT) AS n_backed_off, round(score, 6) AS score
+FROM words LEFT JOIN scored USING (doc_id)"""
+
+LLM_SQL |= {"op5_repetition": REPETITION, "op6_backoff_scores": BACKOFF}

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.llm import (
+    backoff,
     decontaminate,
     histogram_sort,
+    licences,
     mixing,
     parity_join,
     repetition,
@@ -42,7 +44,17 @@ def op4_run_length_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_repetition(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return repetition.assess(docs).drop("text")
+    return repetition.assess(docs).drop("text", "longest_repeat")
+
+
+def op6_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return backoff.score(docs).withColumn("score", F.round("score", 6))
+
+
+def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licences.scan(docs).drop("text")
 
 
 def op9_parity_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_run_length_dedup": op4_run_length_dedup,
     "op5_repetition": op5_repetition,
+    "op6_backoff_scores": op6_backoff_scores,
+    "op8_licences": op8_licences,
     "op9_parity_join": op9_parity_join,
     "op10_histogram_sort": op10_histogram_sort,
 }
