@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plumbline.llm import (
     backoff,
     decontaminate,
+    disclosure,
     histogram_sort,
     licences,
     mixing,
     parity_join,
     repetition,
     run_length_dedup,
+    secret_scan,
 )
 from plumbline.llm.tables import row_hash, stored, table
 
@@ -37,6 +39,11 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(decontaminate.scan(docs, table(spark, folder, "benchmark")))
 
 
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return secret_scan.scan(docs, path="source")
+
+
 def op4_run_length_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return run_length_dedup.remove_repeats(docs, keep_bytes=False)
@@ -52,6 +59,10 @@ def op6_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
     return backoff.score(docs).withColumn("score", F.round("score", 6))
 
 
+def op7_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    return disclosure.sanitise(table(spark, folder, "documents")).drop("sanitised")
+
+
 def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return licences.scan(docs).drop("text")
@@ -77,9 +88,11 @@ def op10_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
+    "op3_secret_scan": op3_secret_scan,
     "op4_run_length_dedup": op4_run_length_dedup,
     "op5_repetition": op5_repetition,
     "op6_backoff_scores": op6_backoff_scores,
+    "op7_disclosure": op7_disclosure,
     "op8_licences": op8_licences,
     "op9_parity_join": op9_parity_join,
     "op10_histogram_sort": op10_histogram_sort,
