@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from plumbline.llm import exchange, packed
 
 KMER = 16
+CHUNK = 2**20  # bytes of text worked on at a time, in batches and in buckets
 NO_ID = np.int64(2**63 - 1)  # NULL ids come after all others
 _P = np.uint64(0xD1342543DE82EF95)
 _P_INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 2**64))
@@ -108,14 +109,16 @@ class RunLengthIndex:
         run = np.searchsorted(self.run_start, rows, side="right") - 1
         return self.target[run] + rows - self.run_start[run]
 
-    def least_owners(self) -> list[np.ndarray]:
-        """For each string, the least owner of the ``size`` bytes from each place on.
+    def least_owners(self) -> np.ndarray:
+        """For each string in turn, the least owner of the ``size`` bytes from each place on.
 
         All strings stream through the index together, a byte a step: the
         matching statistic of a place is the row reached and the bytes
         matched so far.
         """
-        out = [np.zeros(max(0, n - self.size + 1), dtype=np.int64) for n in self.lengths]
+        windows = self.lengths - self.size + 1
+        end = np.cumsum(windows) + self.size - 1  # where a string's last window would follow
+        out = np.empty(int(windows.sum()), dtype=np.int64)
         active = np.arange(len(self.lengths))
         rows = active.copy()
         for matched in range(1, int(self.lengths.max()) + 1):
@@ -123,13 +126,65 @@ class RunLengthIndex:
             active, rows = active[going], self.step(rows[going])
             if matched >= self.size:
                 group = np.searchsorted(self.group_start, rows, side="right") - 1
-                for string, least in zip(active, self.group_least[group]):
-                    out[string][self.lengths[string] - matched] = least
+                out[end[active] - matched] = self.group_least[group]
         return out
 
 
+def _least_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Least hash of the 16-byte strings in each window of ``size`` bytes."""
+    if len(data) < size:
+        return np.zeros(0, np.uint32)
+    wide = data.astype(np.uint64)
+    for step in (1, 2, 4):
+        wide = wide[:-step] | wide[step:] << np.uint64(8 * step)
+    mixed = wide[:-8] * np.uint64(0x9E3779B97F4A7C15) + wide[8:] * _P
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    hashes = (mixed >> np.uint64(32)).astype(np.uint32)
+    width, reach = size - KMER + 1, 1
+    while 2 * reach <= width:
+        hashes = np.minimum(hashes[:-reach], hashes[reach:])
+        reach *= 2
+    return hashes if reach == width else np.minimum(hashes[: -(width - reach)], hashes[width - reach :])
+
+
+def _chunk_stretches(
+    data: np.ndarray, offsets: np.ndarray, size: int, powers: np.ndarray, inverse: np.ndarray
+) -> list[np.ndarray]:
+    """Start, end, text, key and hash of each run of windows with one key in a few texts."""
+    key = _least_hashes(data, size)
+    n = len(key)
+    # A window is whole if its text has ``size`` bytes from there on.
+    ok = np.ones(n + 1, dtype=bool)
+    ok[n] = False
+    for end in offsets[1:]:
+        ok[max(0, end - size + 1) : end] = False
+    first = np.zeros(n + 1, dtype=bool)
+    first[:n] = True
+    first[1:n] = key[1:] != key[:-1]
+    begins = np.zeros(n + 1, dtype=bool)
+    begins[offsets[offsets <= n]] = True
+    before = np.zeros(n + 1, dtype=bool)
+    before[1:] = ok[:-1]
+    change = first | begins | ~before
+    start = np.flatnonzero(ok & change)
+    after = np.ones(n + 1, dtype=bool)
+    after[:-1] = change[1:] | ~ok[1:]
+    end = np.flatnonzero(ok & after) + size
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_VALUES[data] * powers[: len(data)], out=sums[1:])
+    value = (sums[end] - sums[start]) * inverse[start] if len(start) else np.zeros(0, np.uint64)
+    text = np.searchsorted(offsets, start, side="right") - 1
+    return [start, end, text, key[start], packed.mix64(value + (end - start).astype(np.uint64))]
+
+
 class _Stretches:
-    """The windows of a batch of texts, in stretches under one key."""
+    """The windows of a batch of texts, in stretches under one key.
+
+    The texts are worked through a few at a time, so that arrays of several
+    times their size stay small. What comes out does not depend on the order
+    of the rows, but for the places.
+    """
 
     def __init__(self, table: pa.Table, doc_id: str, text: str, size: int, buckets: int):
         column = table.column(text).combine_chunks()
@@ -137,37 +192,25 @@ class _Stretches:
         ids = table.column(doc_id).to_pylist()
         self.ids = np.array([NO_ID if x is None else x for x in ids], dtype=np.int64)
         self.size, self.buckets = size, buckets
-        key = self._keys()
-        at = np.arange(len(key))
-        ok = packed.windows_inside(self.offsets, size, len(key))
-        text_of = packed.owners(self.offsets)[: len(key)]
-        new = ok.copy()
-        new[1:] &= ~ok[:-1] | (key[1:] != key[:-1]) | (text_of[1:] != text_of[:-1])
-        self.start = at[new]
-        closing = ok.copy()
-        closing[:-1] &= ~ok[1:] | new[1:]
-        self.end = at[closing] + size
-        self.text = text_of[self.start]
-        low = key[self.start] & np.uint64(0xFFFFFFFF)
-        self.key = exchange.bucket_of(key[self.start], buckets) << np.uint64(32) | low
+        longest = max(CHUNK, int(np.diff(self.offsets).max(initial=0)))
+        powers, inverse = packed.powers(longest, _P), packed.powers(longest, _P_INVERSE)
+        found, a = [], 0
+        while a < len(ids):
+            b = int(np.searchsorted(self.offsets, self.offsets[a] + CHUNK, side="right")) - 1
+            b = min(max(b, a + 1), len(ids))
+            low = self.offsets[a]
+            part = _chunk_stretches(self.data[low : self.offsets[b]], self.offsets[a : b + 1] - low, size, powers, inverse)
+            part[0] += low
+            part[1] += low
+            part[2] += a
+            found.append(part)
+            a = b
+        self.start, self.end, self.text, key, self.hash = (np.concatenate(x) for x in zip(*found))
+        wide = packed.mix64(key.astype(np.uint64))
+        self.key = exchange.bucket_of(wide, buckets) << np.uint64(32) | key
         self.keys, self.inverse = np.unique(self.key, return_inverse=True)
         self.inverse = self.inverse.reshape(-1)
 
-    def _keys(self) -> np.ndarray:
-        """Least hash of the 16-byte strings in each window."""
-        data = self.data
-        if len(data) < self.size:
-            return np.zeros(0, np.uint64)
-        wide = data.astype(np.uint64)
-        for step in (1, 2, 4):
-            wide = wide[:-step] | wide[step:] << np.uint64(8 * step)
-        hashes = packed.mix64(wide[:-8] * np.uint64(0x9E3779B97F4A7C15) + packed.mix64(wide[8:]))
-        width, reach = self.size - KMER + 1, 1
-        while 2 * reach <= width:
-            hashes = np.minimum(hashes[:-reach], hashes[reach:])
-            reach *= 2
-        return hashes if reach == width else np.minimum(hashes[: -(width - reach)], hashes[width - reach :])
-
     def in_two_texts(self) -> np.ndarray:
         """Whether documents with different ids in this batch hold a key."""
         ids = self.ids[self.text]
@@ -190,18 +233,19 @@ class _Stretches:
         keep, single = shared[self.inverse], (shared & often)[self.inverse]
         rest = keep & ~single
         start, end, text, key = self.start[rest], self.end[rest], self.text[rest], self.key[rest]
+        hashes = self.hash[rest]
         if single.any():
             # A key that very many documents hold, in ever different surroundings:
             # each window goes by its own hash.
             n = (self.end - self.start - self.size + 1)[single]
             first = np.cumsum(n) - n
             more = np.repeat(self.start[single], n) + np.arange(int(n.sum())) - np.repeat(first, n)
-            hashes = self._hashes(more, more + self.size)
-            bucket = exchange.bucket_of(hashes, self.buckets) << np.uint64(32)
+            own = self._hashes(more)
+            hashes = np.append(hashes, own)
+            bucket = exchange.bucket_of(own, self.buckets) << np.uint64(32)
             start, end = np.append(start, more), np.append(end, more + self.size)
             text = np.append(text, np.repeat(self.text[single], n))
-            key = np.append(key, bucket | hashes & np.uint64(0xFFFFFFFF))
-        hashes = self._hashes(start, end)
+            key = np.append(key, bucket | own & np.uint64(0xFFFFFFFF))
         order = np.lexsort((hashes, key))
         self.start, self.end, self.text = start[order], end[order], text[order]
         key, hashes = key[order], hashes[order]
@@ -214,14 +258,14 @@ class _Stretches:
         ids = self.ids[self.text]
         self.least = np.minimum.reduceat(ids, self.distinct) if len(ids) else ids
 
-    def _hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        if not hasattr(self, "_sums"):
-            n = len(self.data)
-            self._sums = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(_VALUES[self.data] * packed.powers(n, _P), out=self._sums[1:])
-            self._inverse = packed.powers(n, _P_INVERSE)
-        value = (self._sums[end] - self._sums[start]) * self._inverse[np.minimum(start, len(self._inverse) - 1)]
-        return packed.mix64(value + (end - start).astype(np.uint64))
+    def _hashes(self, start: np.ndarray) -> np.ndarray:
+        """Hash of the window at each place."""
+        weights = packed.powers(self.size, _P)
+        out = np.empty(len(start), dtype=np.uint64)
+        for a in range(0, len(start), 8192):
+            at = start[a : a + 8192, None] + np.arange(self.size)
+            out[a : a + 8192] = (_VALUES[self.data[at]] * weights).sum(axis=1, dtype=np.uint64)
+        return packed.mix64(out + np.uint64(self.size))
 
     def bytes_of(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start, end = self.start[self.distinct[strings]], self.end[self.distinct[strings]]
@@ -316,31 +360,50 @@ def _find_holders(size: int):
         # A stretch that is alone under its key shares no window with another.
         _, group, several = np.unique(key[one], return_inverse=True, return_counts=True)
         mixed = np.flatnonzero(several[group.reshape(-1)] > 1)
-        owners: dict[int, np.ndarray] = {}
-        if len(mixed):
-            start = np.cumsum(length) - length
-            pick = one[mixed]
+        least_of: list[np.ndarray] = [np.zeros(0, np.int64)]
+        start = np.cumsum(length) - length
+        # Keys are worked through some at a time: no window spans two of them.
+        until = np.cumsum(length[one[mixed]])
+        names = key[one[mixed]]
+        last = np.ones(len(mixed), dtype=bool)
+        last[:-1] = names[1:] != names[:-1]
+        ends_of_keys = np.flatnonzero(last) + 1
+        a = 0
+        while a < len(mixed):
+            done = until[a - 1] if a else 0
+            fits = ends_of_keys[(ends_of_keys > a) & (until[ends_of_keys - 1] - done <= CHUNK)]
+            b = int(fits[-1]) if len(fits) else int(ends_of_keys[np.searchsorted(ends_of_keys, a, side="right")])
+            pick = one[mixed[a:b]]
             lengths = length[pick]
             first = np.cumsum(lengths) - lengths
             body = data[np.repeat(start[pick] - first, lengths) + np.arange(int(lengths.sum()))]
-            owners = dict(zip(mixed.tolist(), RunLengthIndex(body, lengths, holder[mixed], size).least_owners()))
+            least_of.append(RunLengthIndex(body, lengths, holder[mixed[a:b]], size).least_owners())
+            a = b
+        # Runs of windows with one least document: one run for a stretch that is alone.
+        flat = np.concatenate(least_of)
+        windows = length[one[mixed]] - size + 1
+        first = np.cumsum(windows) - windows
+        change = np.ones(len(flat), dtype=bool)
+        change[1:] = flat[1:] != flat[:-1]
+        change[first] = True
+        at = np.flatnonzero(change)
+        in_string = np.searchsorted(first, at, side="right") - 1
+        n_runs = np.ones(len(one), dtype=np.int64)
+        n_runs[mixed] = np.bincount(in_string, minlength=len(mixed))
+        run_ends = np.repeat(length[one] - size + 1, n_runs)
+        run_ids = np.repeat(holder, n_runs)
+        of_mixed = np.repeat(several[group.reshape(-1)] > 1, n_runs)
+        run_ends[of_mixed] = np.append(at[1:], len(flat))[: len(at)] - first[in_string]
+        run_ids[of_mixed] = flat[at]
+        run_first = np.cumsum(n_runs) - n_runs
         answers, place = [], 0
         for count in n:
-            runs, ends, ids = [], [], []
-            for string in range(place, place + count):
-                found = owners.get(int(which[string]))
-                if found is None:
-                    runs.append(1)
-                    ends.append([length[string] - size + 1])
-                    ids.append([holder[which[string]]])
-                else:
-                    change = np.append(np.flatnonzero(found[1:] != found[:-1]) + 1, len(found))
-                    runs.append(len(change))
-                    ends.append(change)
-                    ids.append(found[change - 1])
+            asked = which[place : place + count]
             place += count
-            packed_runs = (np.array(runs, np.int32), np.concatenate(ends).astype(np.int32), np.concatenate(ids).astype(np.int64))
-            answers.append([len(packed_runs[1]), *map(exchange.squeezed, packed_runs)])
+            runs = n_runs[asked]
+            at = np.repeat(run_first[asked] - (np.cumsum(runs) - runs), runs) + np.arange(int(runs.sum()))
+            packed_runs = (runs.astype(np.int32), run_ends[at].astype(np.int32), run_ids[at])
+            answers.append([len(at), *map(exchange.squeezed, packed_runs)])
         columns = list(zip(*answers))
         return pa.table(
             {
