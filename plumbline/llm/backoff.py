@@ -136,7 +136,7 @@ def score(
     text: str = "text",
     order: int = 2,
     penalty: float = 0.4,
-    batch_bytes: int = 16 * 2**20,
+    batch_bytes: int = 4 * 2**20,
     bucket_bytes: int = 4 * 2**20,
 ) -> DataFrame:
     """Columns of ``docs`` but the text, with ``n_words``, ``n_backed_off`` and ``score``.
