@@ -21,7 +21,9 @@ from plumbline.llm import packed
 from plumbline.llm.components import components
 from plumbline.llm.tables import row_hash, stored
 
-SHINGLE, PERCENT, BLOCK = 4, 85, 4096
+SHINGLE, PERCENT = 4, 85
+STARS = 2  # rounds in which a cell's classes are compared with one of them
+BLOCK = 4096  # classes of a cell compared pair by pair in one task
 
 
 def most_different(total: int | np.ndarray, percent: int = PERCENT):
@@ -251,10 +253,11 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """Every row of ``docs`` (its id) with ``n_shingles`` and ``component_id``.
 
     Rows with equal shingle sets are one class and linked. Of the classes that
-    share a cell, the least is first compared with all others; what that
-    leaves in different components is compared pair by pair in blocks of
-    ``BLOCK`` rows, sketches first, so that no link is lost and no cell, not
-    even one that a third of all rows share, is gathered in one task.
+    share a cell, one at random is compared with all others, ``STARS`` times;
+    what that leaves in different components is compared pair by pair in
+    blocks of ``BLOCK`` classes, sketches first, so that no link is lost and
+    no cell, not even one that a third of all rows share, is gathered in one
+    task.
 
     Rows without words (NULL, empty) link with nothing: ``n_shingles`` is 0 and
     the component their own id. NULL ids take part and never name a component
@@ -274,12 +277,13 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     info = stored(info, "parity-classes")
 
     in_cell = Window.partitionBy("h")
-    shared = stored(
+    cells = stored(
         rows.select("text")
         .mapInArrow(_cells, "h bigint, cls bigint")
-        .withColumns({"centre": F.min("cls").over(in_cell), "last": F.max("cls").over(in_cell)})
-        .where("centre < last")
-        .select("h", "cls", "centre"),
+        .withColumns({"least": F.min("cls").over(in_cell), "most": F.max("cls").over(in_cell)})
+        .where("least < most")
+        .select("h", "cls")
+        .distinct(),
         "parity-cells",
     )
 
@@ -298,32 +302,41 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             "parity-sets",
         )
 
-    stars = stored(
-        near(shared.where("cls != centre").select(F.col("centre").alias("a"), F.col("cls").alias("b")).distinct()),
-        "parity-stars",
-    )
-    links = stored(_links(stars, members(stars)), "parity-links")
-    labels = components(links)
+    def open_cells(labels: DataFrame | None, seed: int) -> DataFrame:
+        """Cells whose classes are not all in one component, each with a centre."""
+        if labels is None:
+            labelled = cells.withColumn("label", F.col("cls"))
+        else:
+            labelled = cells.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+                "label", F.coalesce("label", "cls")
+            )
+        pick = F.min(F.struct(F.xxhash64(F.lit(seed), "h", "cls").alias("by"), "cls", "label")).over(in_cell)
+        return (
+            labelled.withColumns(
+                {"least": F.min("label").over(in_cell), "most": F.max("label").over(in_cell), "centre": pick}
+            )
+            .where("least < most")
+            .select("h", "cls", "label", "centre")
+        )
+
+    links, labels = None, None
+    for seed in range(STARS):
+        stars = open_cells(labels, seed).where("label != centre.label")
+        pairs = stars.select(
+            F.least("cls", "centre.cls").alias("a"), F.greatest("cls", "centre.cls").alias("b")
+        ).distinct()
+        pairs = stored(near(pairs), "parity-stars")
+        found = stored(_links(pairs, members(pairs)), "parity-links")
+        links = found if links is None else links.union(found)
+        labels = components(links)
 
-    labelled = shared.distinct().join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "label", F.coalesce("label", "cls")
-    )
-    blocks = F.ceil(F.col("in_cell") / F.lit(BLOCK)).cast("int")
-    other = F.col("other")
     split = (
-        labelled.withColumns(
-            {
-                "least": F.min("label").over(in_cell),
-                "most": F.max("label").over(in_cell),
-                "in_cell": F.count("*").over(in_cell),
-            }
-        )
-        .where("least < most AND cls != centre")  # the centre has met all others
-        .withColumn("blocks", blocks)
+        open_cells(labels, STARS - 1)
+        .withColumn("blocks", F.ceil(F.count("*").over(in_cell) / F.lit(BLOCK)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "h", F.least("block", other).alias("i"), F.greatest("block", other).alias("j"), "block", "cls", "label"
+            "h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "label"
         )
         .join(info.select("cls", "n", "sketch"), "cls")
         .select("h", "i", "j", "block", "cls", "label", "n", "sketch")
