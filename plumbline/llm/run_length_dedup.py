@@ -1,6 +1,6 @@
 """Removal of long repeats across documents with a run-length compressed index.
 
-Every window of ``size`` bytes is filed under its least 16-byte hash, so equal
+Every window of ``size`` bytes is filed under its least 24-byte hash, so equal
 windows meet in one bucket wherever they stand. Four steps follow:
 
 1. Batches of documents name the keys of their windows; buckets tell which
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from plumbline.llm import exchange, packed
 
-KMER = 16
+KMER = 24  # shorter strings recur by chance, longer ones cut more and smaller stretches
 CHUNK = 2**20  # bytes of text worked on at a time, in batches and in buckets
 NO_ID = np.int64(2**63 - 1)  # NULL ids come after all others
 _P = np.uint64(0xD1342543DE82EF95)
@@ -131,13 +131,17 @@ class RunLengthIndex:
 
 
 def _least_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Least hash of the 16-byte strings in each window of ``size`` bytes."""
+    """Least hash of the 24-byte strings in each window of ``size`` bytes."""
     if len(data) < size:
         return np.zeros(0, np.uint32)
     wide = data.astype(np.uint64)
     for step in (1, 2, 4):
         wide = wide[:-step] | wide[step:] << np.uint64(8 * step)
-    mixed = wide[:-8] * np.uint64(0x9E3779B97F4A7C15) + wide[8:] * _P
+    n = len(data) - KMER + 1
+    mixed = wide[:n].copy()
+    for place in range(8, KMER, 8):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + wide[place : place + n]
+        mixed ^= mixed >> np.uint64(29)
     mixed ^= mixed >> np.uint64(32)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     hashes = (mixed >> np.uint64(32)).astype(np.uint32)
@@ -148,6 +152,16 @@ def _least_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return hashes if reach == width else np.minimum(hashes[: -(width - reach)], hashes[width - reach :])
 
 
+def _hashes_between(
+    data: np.ndarray, start: np.ndarray, end: np.ndarray, powers: np.ndarray, inverse: np.ndarray
+) -> np.ndarray:
+    """Hash of the bytes from each start to its end; spans may overlap."""
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_VALUES[data] * powers[: len(data)], out=sums[1:])
+    value = (sums[end] - sums[start]) * inverse[start] if len(start) else np.zeros(0, np.uint64)
+    return packed.mix64(value + (end - start).astype(np.uint64))
+
+
 def _chunk_stretches(
     data: np.ndarray, offsets: np.ndarray, size: int, powers: np.ndarray, inverse: np.ndarray
 ) -> list[np.ndarray]:
@@ -171,11 +185,8 @@ def _chunk_stretches(
     after = np.ones(n + 1, dtype=bool)
     after[:-1] = change[1:] | ~ok[1:]
     end = np.flatnonzero(ok & after) + size
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[data] * powers[: len(data)], out=sums[1:])
-    value = (sums[end] - sums[start]) * inverse[start] if len(start) else np.zeros(0, np.uint64)
     text = np.searchsorted(offsets, start, side="right") - 1
-    return [start, end, text, key[start], packed.mix64(value + (end - start).astype(np.uint64))]
+    return [start, end, text, key[start], _hashes_between(data, start, end, powers, inverse)]
 
 
 class _Stretches:
@@ -220,6 +231,13 @@ class _Stretches:
         np.maximum.at(most, self.inverse, ids)
         return least < most
 
+    def surroundings(self) -> np.ndarray:
+        """Distinct stretches under each key, beyond the first."""
+        order = np.lexsort((self.hash, self.inverse))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (self.inverse[order][1:] != self.inverse[order][:-1]) | (self.hash[order][1:] != self.hash[order][:-1])
+        return np.bincount(self.inverse[order][new], minlength=len(self.keys)) - 1
+
     def shared(self, answers: pa.Table) -> None:
         """Keeps the stretches under keys that buckets report; those of frequent keys by window."""
         shared = np.zeros(len(self.keys), dtype=bool)
@@ -235,8 +253,7 @@ class _Stretches:
         start, end, text, key = self.start[rest], self.end[rest], self.text[rest], self.key[rest]
         hashes = self.hash[rest]
         if single.any():
-            # A key that very many documents hold, in ever different surroundings:
-            # each window goes by its own hash.
+            # A key in very many different surroundings: each window goes by its own hash.
             n = (self.end - self.start - self.size + 1)[single]
             first = np.cumsum(n) - n
             more = np.repeat(self.start[single], n) + np.arange(int(n.sum())) - np.repeat(first, n)
@@ -282,31 +299,36 @@ def _name_keys(doc_id: str, text: str, size: int, buckets: int):
         two = found.in_two_texts()
         names, bounds = exchange.bucket_bounds(found.keys >> np.uint64(32))
         low = found.keys.astype(np.uint32)
+        around = np.minimum(found.surroundings(), 65535).astype(np.uint16)
         return pa.table(
             {
                 "bucket": pa.array(names.astype(np.int32)),
                 "batch": pa.array(np.full(len(names), batch, np.int32)),
                 "keys": pa.array([low[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
                 "two": pa.array([np.packbits(two[a:b]).tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
+                "around": pa.array([exchange.squeezed(around[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
             }
         )
 
     return run
 
 
-def _tell_shared(often_batches: int):
+def _tell_shared(often: int):
     def run(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()]
         counts = np.array([len(k) for k in keys])
         two = np.concatenate(
             [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(table.column("two").to_pylist(), counts)]
         )
+        around = np.concatenate(
+            [exchange.loose(x, n, np.uint16) for x, n in zip(table.column("around").to_pylist(), counts)]
+        )
         _, inverse, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         inverse = inverse.reshape(-1)
         shared = (n > 1) | (np.bincount(inverse, weights=two) > 0)
-        often = n >= often_batches
+        many = np.bincount(inverse, weights=around) >= often
         first = np.concatenate([[0], np.cumsum(counts)])
-        flags = [(shared[inverse[a:b]], often[inverse[a:b]]) for a, b in zip(first, first[1:])]
+        flags = [(shared[inverse[a:b]], many[inverse[a:b]]) for a, b in zip(first, first[1:])]
         return pa.table(
             {
                 "batch": table.column("batch"),
@@ -321,7 +343,7 @@ def _tell_shared(often_batches: int):
 
 def _send_stretches(doc_id: str, text: str, size: int, buckets: int):
     schema = pa.schema(
-        [("bucket", pa.int32()), ("batch", pa.int32()), ("n", pa.int32()), ("n_bytes", pa.int64()), ("body", pa.binary()), ("meta", pa.binary())]
+        [("bucket", pa.int32()), ("batch", pa.int32()), ("n", pa.int32()), ("n_bytes", pa.int64()), ("body", pa.binary()), ("lengths", pa.binary()), ("keys", pa.binary()), ("least", pa.binary())]
     )
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -334,8 +356,10 @@ def _send_stretches(doc_id: str, text: str, size: int, buckets: int):
         rows = []
         for name, a, b in zip(names, bounds, bounds[1:]):
             body, length = found.bytes_of(np.arange(a, b))
-            meta = np.stack([length.astype(np.uint64), found.string_key[a:b], found.string_hash[a:b], found.least[a:b].view(np.uint64)])
-            rows.append((int(name), batch, int(b - a), len(body), exchange.squeezed(body), exchange.squeezed(meta)))
+            low = found.string_key[a:b].astype(np.uint32)
+            low = np.diff(low, prepend=np.uint32(0))  # sorted: differences pack better
+            meta = (length.astype(np.uint32), low, found.least[a:b])
+            rows.append((int(name), batch, int(b - a), len(body), exchange.squeezed(body), *map(exchange.squeezed, meta)))
         return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)] if rows else schema.empty_table().columns, schema=schema)
 
     return run
@@ -345,10 +369,19 @@ def _find_holders(size: int):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         n = [row["n"] for row in rows]
-        meta = [exchange.loose(row["meta"], 4 * row["n"], np.uint64).reshape(4, -1) for row in rows]
-        length, key, hashes, least = np.concatenate(meta, axis=1)
-        length, least = length.astype(np.int64), least.view(np.int64)
-        data = np.concatenate([exchange.loose(row["body"], row["n_bytes"], np.uint8) for row in rows])
+        unpack = lambda name, kind: [exchange.loose(row[name], row["n"], kind) for row in rows]
+        lengths_of = [x.astype(np.int64) for x in unpack("lengths", np.uint32)]
+        length = np.concatenate(lengths_of)
+        key = np.concatenate([np.cumsum(x, dtype=np.uint32) for x in unpack("keys", np.uint32)])
+        least = np.concatenate(unpack("least", np.int64))
+        bodies = [exchange.loose(row["body"], row["n_bytes"], np.uint8) for row in rows]
+        longest = max(CHUNK, *map(len, bodies), int(length.max()))
+        table_of = [packed.powers(longest, _P), packed.powers(longest, _P_INVERSE)]
+        ends_of = [np.cumsum(x) for x in lengths_of]
+        hashes = np.concatenate(
+            [_hashes_between(x, e - n, e, *table_of) for x, n, e in zip(bodies, lengths_of, ends_of)]
+        )
+        data = np.concatenate(bodies)
         order = np.lexsort((hashes, key))
         new = np.ones(len(order), dtype=bool)
         new[1:] = (key[order][1:] != key[order][:-1]) | (hashes[order][1:] != hashes[order][:-1])
@@ -377,7 +410,19 @@ def _find_holders(size: int):
             lengths = length[pick]
             first = np.cumsum(lengths) - lengths
             body = data[np.repeat(start[pick] - first, lengths) + np.arange(int(lengths.sum()))]
-            least_of.append(RunLengthIndex(body, lengths, holder[mixed[a:b]], size).least_owners())
+            if len(body) > len(table_of[0]):
+                table_of = [packed.powers(len(body), _P), packed.powers(len(body), _P_INVERSE)]
+            # Stretches without a window that another one has need no index.
+            n_windows = lengths - size + 1
+            first_window = np.cumsum(n_windows) - n_windows
+            at = np.repeat(first - first_window, n_windows) + np.arange(int(n_windows.sum()))
+            _, same, times = np.unique(_hashes_between(body, at, at + size, *table_of), return_inverse=True, return_counts=True)
+            met = np.add.reduceat((times > 1)[same.reshape(-1)], first_window, dtype=np.int64) > 0
+            out = np.repeat(holder[mixed[a:b]], n_windows)
+            if met.any():
+                index = RunLengthIndex(body[np.repeat(met, lengths)], lengths[met], holder[mixed[a:b]][met], size)
+                out[np.repeat(met, n_windows)] = index.least_owners()
+            least_of.append(out)
             a = b
         # Runs of windows with one least document: one run for a stretch that is alone.
         flat = np.concatenate(least_of)
@@ -481,7 +526,7 @@ def remove_repeats(
     keep_bytes: bool = True,
     batch_bytes: int = 8 * 2**20,
     bucket_bytes: int = 4 * 2**20,
-    often_batches: int = 64,
+    often: int = 4096,
 ) -> DataFrame:
     """Removes what a document shares with one of a smaller id, in strings of ``size`` bytes.
 
@@ -493,6 +538,10 @@ def remove_repeats(
     NULL texts are empty. NULL ids come after all others; rows with equal ids
     remove nothing from one another. Texts shorter than ``size`` stay whole.
     ``docs`` must be the same rows whenever it is read, as from stored tables.
+
+    A batch's texts and a bucket's stretches are worked on whole, both of
+    bounded size: copies of a stretch count once per batch, and a key with
+    ``often`` different stretches is split by window.
     """
     if size < KMER:
         raise ValueError(f"size must be at least {KMER}")
@@ -504,14 +553,14 @@ def remove_repeats(
     by_batch = dealt.groupBy(exchange.BATCH)
 
     named = by_batch.applyInArrow(
-        _name_keys(doc_id, text, size, buckets), "bucket int, batch int, keys binary, two binary"
+        _name_keys(doc_id, text, size, buckets), "bucket int, batch int, keys binary, two binary, around binary"
     )
     shared = named.groupBy("bucket").applyInArrow(
-        _tell_shared(often_batches), "batch int, bucket int, shared binary, often binary"
+        _tell_shared(often), "batch int, bucket int, shared binary, often binary"
     )
     sent = by_batch.cogroup(shared.groupBy("batch")).applyInArrow(
         _send_stretches(doc_id, text, size, buckets),
-        "bucket int, batch int, n int, n_bytes bigint, body binary, meta binary",
+        "bucket int, batch int, n int, n_bytes bigint, body binary, lengths binary, keys binary, least binary",
     )
     held = sent.groupBy("bucket").applyInArrow(
         _find_holders(size), "batch int, bucket int, n_runs int, runs binary, ends binary, ids binary"
