@@ -140,10 +140,9 @@ def histogram_sort(
         run += counts.get(bucket, (0, 0))[1]
     in_bucket = Window.partitionBy(_BUCKET).orderBy(_RANK)
     start = F.get(F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>"), F.col(_BUCKET))
-    return (
-        _place(ranked.drop(_SIZE), splitters, _BUCKET)
-        .withColumn("__hs_slot", F.row_number().over(in_bucket) - 1 + start)
-        .withColumn("shard", F.expr(f"cast({_BUCKET} div {pieces} as int)"))
-        .withColumn("slot", F.col("__hs_slot").cast("bigint"))
-        .drop("__hs_slot", _BUCKET, _RANK)
+    kept = [F.col(f"`{c}`") for c in columns if c.lower() not in ("shard", "slot")]
+    return _place(ranked.drop(_SIZE), splitters, _BUCKET).select(
+        *kept,
+        F.expr(f"cast({_BUCKET} div {pieces} as int)").alias("shard"),
+        (F.row_number().over(in_bucket) - 1 + start).cast("bigint").alias("slot"),
     )

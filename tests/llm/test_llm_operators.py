@@ -1,0 +1,391 @@
+"""Every operator against its plain version, and on awkward tables."""
+
+import math
+from collections import Counter
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from plumbline.llm import (
+    backoff,
+    decontaminate,
+    disclosure,
+    licences,
+    mixing,
+    packed,
+    parity_join,
+    repetition,
+    run_length_dedup,
+    secret_scan,
+)
+from plumbline.llm.components import components
+from plumbline.llm.histogram_sort import histogram_sort
+
+def size():
+    return F.coalesce(F.octet_length("text"), F.lit(0)) + 8
+
+
+def pairs(rows):
+    return [(row[0], row[1]) for row in rows]
+
+
+def collected(frame, *names):
+    return Counter(tuple(row) for row in frame.select(*names).collect())
+
+
+# --- sharding ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("piece_bytes", [2**28, 500])
+def test_shards(docs, rows, piece_bytes):
+    got = histogram_sort(docs, "doc_id", size(), 5, piece_bytes=piece_bytes)
+    want = Counter((i, shard, slot) for i, _, _, shard, slot in brute.shards(pairs(rows), 5))
+    assert collected(got, "doc_id", "shard", "slot") == want
+    assert got.columns == [*docs.columns, "shard", "slot"]
+
+
+def test_shards_of_odd_rows(odd, empty):
+    got = histogram_sort(odd, "doc_id", F.lit(1), 4)
+    assert got.dtypes[-2:] == [("shard", "int"), ("slot", "bigint")]
+    counts = Counter(row["shard"] for row in got.collect())
+    assert sum(counts.values()) == odd.count()
+    for shard in range(4):
+        slots = sorted(row["slot"] for row in got.where(F.col("shard") == shard).collect())
+        assert slots == list(range(counts[shard]))
+    assert histogram_sort(empty, "doc_id", size(), 4).count() == 0
+
+
+def test_a_hot_key_is_cut(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    counts = [r["count"] for r in histogram_sort(rows, "doc_id", F.lit(1), 7).groupBy("shard").count().collect()]
+    assert len(counts) == 7 and max(counts) - min(counts) <= 1
+
+
+def test_tolerance(docs, rows):
+    got = histogram_sort(docs.where("n_chars < 1000"), "doc_id", size(), 4, tolerance=0.1, probes=2)
+    sizes = [r[1] for r in got.groupBy("shard").agg(F.sum(size())).collect()]
+    assert len(sizes) == 4 and max(sizes) <= 1.5 * min(sizes)
+
+
+# --- mixing -----------------------------------------------------------------------
+
+
+def test_targets():
+    assert mixing.targets({"a": 10, "b": 80, None: 10}, {"a": 1, "b": 1, None: 2}) == {"a": 30.0, "b": 40.0, None: 30.0}
+    assert mixing.cyclic_weights(["b", None, "a", ""]) == {"": 1, "a": 2, "b": 3, None: 1}
+
+
+def test_splitting_tree():
+    out = mixing.splitting_tree([100, 0, 37, 5], 6, seed=1)
+    assert out.sum(axis=0).tolist() == [100, 0, 37, 5]
+    assert out.sum(axis=1).max() - out.sum(axis=1).min() <= 1
+    assert (out == mixing.splitting_tree([100, 0, 37, 5], 6, seed=1)).all()
+    assert mixing.splitting_tree([], 3, 1).shape == (3, 0)
+    draws = np.array([mixing.splitting_tree([60, 40], 2, seed=s)[0, 0] for s in range(300)])
+    assert abs(draws.mean() - 30) < 1 and abs(draws.std() - 2.46) < 0.5  # hypergeometric
+
+
+def test_mix(docs, rows):
+    small = docs.where("n_chars IS NULL OR n_chars < 5000")
+    report = mixing.mix_report(small, "source", mixing.n_words(F.col("text")), blocks=16).collect()
+    sizes = Counter()
+    for row in report:
+        assert row["taken"] == row["size"] * row["copies"] <= 3 * row["size"]
+        sizes[row["source"]] += row["size"]
+    want = mixing.targets(sizes, mixing.cyclic_weights(list(sizes)))
+    for source, target in want.items():
+        own = [row for row in report if row["source"] == source]
+        assert {row["source_size"] for row in own} == {sizes[source]}
+        assert all(math.isclose(row["target"], target) for row in own)
+        assert abs(sum(row["taken"] for row in own) - target) <= 60
+    mixed = mixing.mix(small, "source", mixing.n_words(F.col("text")), blocks=16)
+    assert mixed.columns == small.columns
+    copies = Counter(row["doc_id"] for row in mixed.collect())
+    assert copies == Counter({row["doc_id"]: row["copies"] for row in report if row["copies"]})
+
+
+def test_mix_of_odd_rows(odd, empty):
+    first = collected(mixing.mix(odd, "source", F.length("text")), *[f"`{c}`" for c in odd.columns])
+    assert first == collected(mixing.mix(odd, "source", F.length("text")), *[f"`{c}`" for c in odd.columns])
+    assert mixing.mix(empty, "source", F.lit(1)).count() == 0
+    assert mixing.mix_report(empty, "source", F.lit(1)).count() == 0
+
+
+# --- decontamination ----------------------------------------------------------------
+
+
+def items_of(rows):
+    long = [text for _, text, *_ in rows if text and len(text.split()) > 30]
+    return [(7, " ".join(long[0].split()[5:25])), (70, long[3].upper()), (8, "Hut ink"), (9, ""), (10, None), (8, "Hut ink"), (None, "kit, log; MUD")]
+
+
+@pytest.mark.parametrize("most_windows", [2_000_000, 20])
+def test_decontaminate(spark, docs, rows, most_windows):
+    items = items_of(rows)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    scanned = decontaminate.scan(docs, benchmark, most_windows=most_windows)
+    want = Counter(brute.decontaminate(pairs(rows), [("" if i is None else i, t) for i, t in items]))
+    got = collected(decontaminate.report(scanned), "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert got == want
+
+
+def test_clean(spark, odd, empty):
+    benchmark = spark.createDataFrame([(1, "one two three")], "item_id bigint, text string")
+    docs = spark.createDataFrame(
+        [(1, "é One, TWO; three four five six seven."), (2, "one two three four"), (3, "untouched"), (4, None)],
+        "doc_id bigint, text string",
+    )
+    kept = dict(decontaminate.clean(decontaminate.scan(docs, benchmark)).collect())
+    assert kept == {1: "é  four five six seven.", 3: "untouched", 4: None}
+    left = decontaminate.clean(decontaminate.scan(odd, benchmark))
+    assert left.count() == odd.count() and "n_words" not in left.columns
+    assert decontaminate.clean(decontaminate.scan(empty, benchmark)).count() == 0
+    assert decontaminate.report(decontaminate.scan(docs, benchmark.limit(0))).where("contaminated").count() == 0
+
+
+# --- repetition ---------------------------------------------------------------------
+
+
+def test_repetition(docs, rows):
+    names = ["doc_id", *[name for name, _ in repetition.COLUMNS]]
+    assert collected(repetition.assess(docs), *names) == Counter(brute.quality(pairs(rows)))
+
+
+def test_repetition_of_odd_rows(odd, empty):
+    got = repetition.assess(odd)
+    assert got.count() == odd.count() and dict(got.dtypes)["kept"] == "boolean"
+    assert repetition.keep(empty).count() == 0
+    assert repetition.keep(odd).columns == odd.columns
+
+
+def test_longest_repeat_overlaps_itself():
+    words = np.array([1, 2] * 10 + [3], dtype=np.uint64)
+    places, lengths = repetition.longest_repeats(words, np.array([0, 21]), 8)
+    assert lengths.max() == 18 and places.tolist() == list(range(13))
+
+
+# --- long repeats -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("settings", [{}, {"batch_bytes": 3000, "bucket_bytes": 2000}, {"batch_bytes": 3000, "often": 1}])
+def test_remove_repeats(docs, rows, settings):
+    got = run_length_dedup.remove_repeats(docs, keep_bytes=False, **settings)
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert collected(got, *names) == Counter(brute.repeats(pairs(rows)))
+
+
+def test_remove_repeats_of_odd_rows(odd, empty):
+    got = run_length_dedup.remove_repeats(odd).collect()
+    assert len(got) == odd.count()
+    for row in got:
+        gone = sum(b - a for a, b in row["removed"])
+        assert gone == row["n_removed"] and len(row["removed"]) == row["n_spans"]
+        assert len(row["kept"]) == row["n_bytes"] - gone and brute.sha(row["kept"]) == row["kept_sha256"]
+    assert run_length_dedup.remove_repeats(empty).count() == 0
+
+
+def test_run_length_index():
+    strings = [b"abracadabra", b"cadabra", b"abracadabra", b"xxxxxxxxxx"]
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    lengths = np.array([len(s) for s in strings])
+    index = run_length_dedup.RunLengthIndex(data, lengths, np.array([5, 3, 9, 1]), 4)
+    least = []
+    for number, s in enumerate(strings):
+        for i in range(len(s) - 3):
+            least.append(min(o for o, t in zip([5, 3, 9, 1], strings) if s[i : i + 4] in t))
+    assert index.least_owners().tolist() == least
+    assert len(index.run_start) < int(lengths.sum())
+
+
+# --- backoff ------------------------------------------------------------------------
+
+
+def plain_scores(texts, order=2, penalty=0.4):
+    split = [brute.re.findall(brute.SPACES, (t or "").translate(brute.LOWER)) for t in texts]
+    total, own = Counter(), []
+    for w in split:
+        mine = Counter(tuple(w[i - n + 1 : i + 1]) for n in range(0, order + 1) for i in range(n - 1 if n else 0, len(w)))
+        mine[()] = len(w)
+        own.append(mine)
+        total += mine
+    out = []
+    for w, mine in zip(split, own):
+        others = lambda g: total[g] - mine[g]  # noqa: E731, B023
+        logs = []
+        for i in range(len(w)):
+            factor, value = 1.0, None
+            for n in range(min(order, i + 1), 0, -1):
+                gram = tuple(w[i - n + 1 : i + 1])
+                if others(gram) > 0:
+                    value = factor * others(gram) / others(gram[:-1])
+                    break
+                factor *= penalty
+            logs.append(math.log(factor / (others(()) + 1) if value is None else value))
+        out.append(round(sum(logs) / len(logs), 6) if logs else None)
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_backoff(spark, docs, rows, order):
+    some = [r for r in rows if r[1] is None or len(r[1]) < 2000]
+    frame = spark.createDataFrame([(r[0], r[1]) for r in some], "doc_id bigint, text string")
+    got = dict(backoff.score(frame, order=order, batch_bytes=4000, bucket_bytes=3000).select("doc_id", F.round("score", 6)).collect())
+    want = dict(zip([r[0] for r in some], plain_scores([r[1] for r in some], order)))
+    assert got.keys() == want.keys()
+    for doc, score in want.items():
+        assert (got[doc] is None) == (score is None) and (score is None or abs(got[doc] - score) < 2e-6)
+
+
+def test_backoff_of_odd_rows(odd, empty):
+    assert backoff.score(odd).count() == odd.count()
+    assert backoff.score(empty).count() == 0
+
+
+# --- personal data ------------------------------------------------------------------
+
+PERSONAL = [
+    "mail a.b@c.de, x@y, q@r.s.t_u@v.w; 1.2.3.4.5.6.7.8 256.1.1.1 0001.2.3.004",
+    "+1 (663) 555-6869 and +12345 and ++1 23-456-789 0 card 4785 3805-9239 1139 4785380592391130",
+    "5555555555554444x4111 1111 1111 1111 1",
+    "",
+    None,
+    "é😀 me@host.org 😀 8.8.8.8",
+    "a" * 3000 + "@" + "b." * 500,
+    "+" * 500 + "1" * 40,
+    "1 " * 3000,
+]
+
+
+def test_personal_data(spark):
+    rows = list(enumerate(PERSONAL))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = disclosure.sanitise(frame)
+    assert collected(got, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == Counter(brute.personal(rows))
+    masked = {r["doc_id"]: r["sanitised"] for r in got.collect()}
+    assert masked[5] == "é😀 [email] 😀 [ip]" and masked[3] is None
+
+
+def test_disclosing_terms(spark, odd, empty):
+    rows = [(i, f"ask Quintessa about jane@corp.org today {'x' * i}", i) for i in range(1, 6)]
+    rows += [(100 + i, f"about today and ask bob{i}@corp.org or about it", 0) for i in range(200)]
+    rows += [(400, "Quintessa quintessas", 0), (500, "nothing", 0)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, spans int")
+    got = {r["doc_id"]: r for r in disclosure.sanitise(frame).collect()}
+    assert len(got) == len(rows)
+    assert got[1]["spans"] == "email:20:33,term:4:13" and got[1]["sanitised"].startswith("ask [term] about [email] today")
+    assert all(got[i]["n_term"] == 0 for i in (100, 150, 400, 500))
+    assert disclosure.sanitise(odd).count() == odd.count()
+    assert disclosure.sanitise(empty).count() == 0
+
+
+# --- secrets ------------------------------------------------------------------------
+
+
+def test_secret_scan(spark, odd, empty):
+    rng = np.random.default_rng(2)
+    token = lambda: "".join(rng.choice(list("0123456789abcdef"), 40))
+    rows = []
+    for i in range(400):
+        if i % 4 == 0:
+            rows.append((i, f'some words then token = "{token()}" more words', "a.py"))
+        elif i % 4 == 1:
+            rows.append((i, f"the revision {token()} was built", "log.txt"))
+        else:
+            rows.append((i, "plain words and internationalizationisms here", None))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, path string")
+    found = secret_scan.candidates(frame, path="path")
+    held_out = F.xxhash64("value") % 2 == 0
+    forest = secret_scan.train(secret_scan.labelled(found.where(~held_out)), secret_scan.corpus_model(frame))
+    judged = secret_scan.labelled(secret_scan.judge(found.where(held_out), forest))
+    right = judged.agg(F.avg(((F.col("probability") >= 0.5).cast("double") == F.col("label")).cast("double"))).first()[0]
+    assert right > 0.95
+    got = {r["doc_id"]: r for r in secret_scan.scan(frame, path="path").collect()}
+    assert len(got) == 400 and got[0]["secret_spans"] == "25:65" and got[1]["n_candidates"] == 1
+    assert got[1]["n_secrets"] == 0 and got[2]["n_secrets"] == 0
+    assert secret_scan.scan(odd).count() == odd.count()
+    assert secret_scan.scan(empty).count() == 0
+
+
+# --- licences -----------------------------------------------------------------------
+
+
+def test_licences(spark, odd, empty):
+    mit = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this. The above copyright notice and this permission notice shall be included in all copies. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND."
+    rows = [
+        (1, f"x {mit} y"), (2, "Released under the MIT License. Licensed under CC BY-NC 4.0"), (3, mit.split(". ")[1]),
+        (4, None), (5, ""), (6, f"{mit} {mit}"), (7, "released under the mit licensee"),
+    ]
+    got = {r["doc_id"]: r for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert (got[1]["licences"], got[1]["n_sentences"], got[1]["licence_spans"]) == ("MIT", 3, "MIT:1:41")
+    assert got[2]["licences"] == "CC-BY-NC-4.0-notice,MIT-notice"
+    assert (got[3]["n_sentences"], got[3]["licences"]) == (1, "")
+    assert [got[i]["n_sentences"] for i in (4, 5, 7)] == [0, 0, 0] and got[6]["n_licences"] == 2
+    assert licences.scan(odd).count() == odd.count()
+    assert licences.scan(empty).count() == 0
+
+
+# --- similarity join ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("block", [4096, 2])
+def test_similar(docs, rows, block, monkeypatch):
+    monkeypatch.setattr(parity_join, "BLOCK", block)
+    got = collected(parity_join.similar(docs), "doc_id", "n_shingles", "component_id")
+    assert got == Counter(brute.similar(pairs(rows)))
+
+
+def test_similar_chain(spark):
+    """Links in a row, none of which reaches beyond its neighbours."""
+    rng = np.random.default_rng(1)
+    text = [f"w{x}" for x in rng.integers(0, 10**6, 300)]
+    rows = []
+    for i in range(40):
+        rows.append((1000 - i, " ".join(text)))
+        at = rng.integers(0, 300, 3)
+        for place in at:
+            text[place] = f"v{rng.integers(0, 10**6)}"
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert collected(parity_join.similar(frame), "doc_id", "n_shingles", "component_id") == Counter(brute.similar(rows))
+
+
+def test_similar_odd_rows(odd, empty, docs, rows):
+    got = parity_join.similar(odd).collect()
+    assert len(got) == odd.count()
+    assert all(r["component_id"] is None for r in got if r["doc_id"] is None and r["n_shingles"] == 0)
+    assert parity_join.similar(empty).count() == 0
+    kept = [r["doc_id"] for r in parity_join.keep_one(docs).collect()]
+    want = {root for _, n, root in brute.similar(pairs(rows)) if n} | {d for d, n, _ in brute.similar(pairs(rows)) if not n}
+    assert sorted(kept) == sorted(want)
+    assert parity_join.keep_one(odd).columns == odd.columns
+
+
+def test_cells_find_every_pair():
+    """Random pairs at the threshold always share a cell, in one band or in two."""
+    rng = np.random.default_rng(3)
+    for size in (7, 8, 12, 13, 20, 40, 150, 1200):
+        for _ in range(30):
+            union = rng.integers(0, 2**63, size, dtype=np.uint64)
+            different = 15 * size // 100
+            cut = int(rng.integers(0, different + 1))
+            a, b = np.sort(union[: size - cut]), np.sort(union[different - cut :])
+            keys = []
+            for part in (a, b):
+                keys.append(set(parity_join.cell_keys(part, np.array([0, len(part)]))[0].tolist()))
+            assert different == 0 or keys[0] & keys[1]
+
+
+def test_components(spark):
+    links = [(1, 2), (2, 3), (5, 4), (3, 1), (7, 7), (10, 9), (9, 8), (8, 12), (2, 1)] + [(20, k) for k in range(21, 60)]
+    got = dict(components(spark.createDataFrame(links, "a bigint, b bigint")).collect())
+    assert got[1] == got[2] == got[3] == 1 and got[4] == got[5] == 4 and got[12] == got[10] == 8 and 7 not in got
+    assert {got[k] for k in range(20, 60)} == {20}
+
+
+def test_chunks_keep_all_rows():
+    import pyarrow as pa
+
+    batch = pa.record_batch({"text": pa.array(["a" * n for n in (0, 5, 50, 3, 0, 700, 1)] + [None])})
+    parts = list(packed.chunks(batch, "text", limit=60))
+    assert sum(p.num_rows for p in parts) == 8 and all(p.num_rows for p in parts)
