@@ -303,7 +303,7 @@ RESULTS: dict[str, str] = {
         SELECT estimate_id, cost_code, item_type, CAST(total AS DOUBLE) AS quantity, uom,
             CAST(unit_cost_mid AS DOUBLE) AS unit_cost_mid,
             CAST(round(total * unit_cost_mid, 2) AS DOUBLE) AS extended_cost_mid
-        FROM newest_estimate JOIN (
+        FROM stg_estimates JOIN (
             SELECT project_id, cost_code, min(item_type) AS item_type, min(uom) AS uom,
                 sum(quantity) AS total
             FROM stg_takeoff_items GROUP BY project_id, cost_code

@@ -12,7 +12,7 @@ from plumbline.schemas import RAW_TABLES
 from plumbline.session import scratch_folder, tuned
 from plumbline.sources import raw_csv
 from plumbline.sources.driver_tables import RUN_TIMES, DriverTables
-from plumbline.sources.tables import TableStore, column_audit, load_audit
+from plumbline.sources.tables import TableStore, column_audit
 
 # The test tables have text keys where the reference data has numbers.
 KEY_TYPES = {
@@ -26,6 +26,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
+        self.folder = folder
         self.raw = DriverTables(spark, folder)
         self._built: dict[str, DataFrame] = {}
 
@@ -44,7 +45,7 @@ class Warehouse:
             return self.raw_table(name.removeprefix("raw."))
         if name.startswith("stg_"):
             raw = name.removeprefix("stg_")
-            return stages.STAGING[raw](self.raw_table(raw))
+            return stages.STAGING[raw](self.table(f"raw.{raw}"))
         stg = {raw: f"stg_{raw}" for raw in RAW_TABLES}
         t = self.table
         if name == "fct_takeoffs":
@@ -64,7 +65,7 @@ class Warehouse:
             )
         if name == "mart_takeoff_quality_monitoring":
             return marts.mart_takeoff_quality_monitoring(
-                self.project_takeoffs, t(stg["blueprint_pages"]), t(stg["projects"]),
+                t(stg["takeoff_items"]), t(stg["blueprint_pages"]), t(stg["projects"]),
                 t(stg["qa_reviews"]),
             )
         if name == "mart_estimation_dashboard":
@@ -74,62 +75,21 @@ class Warehouse:
             )
         raise KeyError(name)
 
-    # Narrower frames with the same rows, for queries that need fewer lookups.
-
-    @cached_property
-    def line_takeoffs(self) -> DataFrame:
-        """Staged takeoffs without project, item type and unit: no join at all."""
-        return staging.stg_takeoff_items(self.raw.takeoff_items(project=False, item=False))
-
-    @cached_property
-    def project_takeoffs(self) -> DataFrame:
-        """Staged takeoffs with their project, without item type and unit."""
-        return staging.stg_takeoff_items(self.raw.takeoff_items(item=False))
-
     @cached_property
     def takeoff_totals(self) -> DataFrame:
-        return marts.takeoffs_by_project(self.project_takeoffs)
-
-    @cached_property
-    def takeoff_facts(self) -> DataFrame:
-        """``fct_takeoffs`` without item type and unit."""
-        return marts.fct_takeoffs(
-            self.project_takeoffs, self.table("stg_blueprint_pages"), self.table("stg_projects"),
-            self.table("stg_cost_library"),
-        )
-
-    @cached_property
-    def plain_estimates(self) -> DataFrame:
-        """Staged estimates without their version."""
-        return staging.stg_estimates(self.raw.estimates(version=False))
+        return marts.takeoffs_by_project(self.table("stg_takeoff_items"))
 
     @cached_property
-    def estimate_facts(self) -> DataFrame:
-        """The rows of ``fct_estimates`` with the estimate's own columns."""
-        return marts.estimates_of_known_projects(self.plain_estimates, self.table("stg_projects"))
-
-    def tested(self, name: str) -> DataFrame:
-        """A table with the columns that the declared tests read."""
-        narrow = {
-            "raw.takeoff_items": lambda: self.raw.takeoff_items(item=False),
-            "raw.estimates": lambda: self.raw.estimates(version=False),
-            "stg_takeoff_items": lambda: self.project_takeoffs,
-            "stg_estimates": lambda: self.plain_estimates,
-            "fct_takeoffs": lambda: self.takeoff_facts,
-            "fct_estimates": lambda: self.estimate_facts,
-        }
-        return narrow[name]() if name in narrow else self.table(name)
-
-    def tested_alone(self, name: str) -> DataFrame:
-        """The same for tests of columns that are no foreign keys."""
-        if name == "raw.takeoff_items":
-            return self.raw.takeoff_items(project=False, item=False)
-        return self.line_takeoffs if name == "stg_takeoff_items" else self.tested(name)
+    def kept(self) -> StoredWarehouse:
+        """The same tables, each stored when first asked for, for jobs that read one often."""
+        return StoredWarehouse(self.spark, self.folder)
 
     @cached_property
     def checks(self) -> DataFrame:
         return quality.checks_summary(
-            self.takeoff_facts, self.estimate_facts, self.table("mart_estimation_dashboard")
+            self.table("fct_takeoffs"),
+            self.table("fct_estimates"),
+            self.table("mart_estimation_dashboard"),
         )
 
     @cached_property
@@ -141,29 +101,36 @@ class Warehouse:
         return history
 
 
+class StoredWarehouse(Warehouse):
+    """Raw tables, facts and marts as stored tables; staging stays a view over them."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__(spark, folder)
+        self.store = TableStore(spark, scratch_folder(spark, "tables"))
+
+    def _build(self, name: str) -> DataFrame:
+        rows = super()._build(name)
+        return rows if name.startswith("stg_") else self.store.replace(name, rows)
+
+
 def _csv_round_trip(w: Warehouse, name: str) -> DataFrame:
     folder = scratch_folder(w.spark, "csv")
     raw_csv.write_csv(w.raw_table(name), folder, name)
     return raw_csv.read_csv(w.spark, folder, name, **KEY_TYPES.get(name, {}))
 
 
-def _loaded_columns(w: Warehouse) -> DataFrame:
-    """Rows and values per column after all raw tables went through CSV into storage."""
+def _load(w: Warehouse) -> tuple[TableStore, DataFrame]:
+    """All raw tables through CSV into storage, and the audit of that load."""
     folder = scratch_folder(w.spark, "load")
     store = TableStore(w.spark, f"{folder}/tables")
     stages.extract({name: w.raw_table(name) for name in RAW_TABLES}, f"{folder}/csv")
-    stages.load(w.spark, f"{folder}/csv", store, KEY_TYPES)
-    return column_audit({name: store.read(f"raw.{name}") for name in RAW_TABLES})
+    return store, stages.load(w.spark, f"{folder}/csv", store, KEY_TYPES)
 
 
-def _load_audit(w: Warehouse) -> DataFrame:
-    return load_audit(
-        {
-            # Looked-up columns do not change the number of rows.
-            name: w.tested_alone(f"raw.{name}")
-            for name in RAW_TABLES
-        }
-    )
+def _loaded_columns(w: Warehouse) -> DataFrame:
+    """Rows and values per column of the tables as loaded."""
+    store, _ = _load(w)
+    return column_audit({name: store.read(f"raw.{name}") for name in RAW_TABLES})
 
 
 def _rollup_versions(w: Warehouse) -> DataFrame:
@@ -191,6 +158,18 @@ def _business_keys(w: Warehouse) -> DataFrame:
     return codes.unionByName(sheets)
 
 
+def _summary(w: Warehouse) -> DataFrame:
+    return reports.summary(
+        w.table("stg_projects"),
+        w.table("stg_blueprint_pages"),
+        w.table("fct_takeoffs"),
+        w.table("fct_estimates"),
+        w.table("stg_qa_reviews"),
+        w.table("mart_estimation_dashboard"),
+        w.checks,
+    )
+
+
 def _tables(names: str):
     return lambda w: w.table(names)
 
@@ -208,21 +187,19 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "agg_estimate_details": lambda w: marts.line_items_by_estimate(
         w.table("stg_estimate_line_items")
     ),
-    "agg_confidence_stats": lambda w: marts.confidence_by_project(w.project_takeoffs),
-    "agg_method_mix": lambda w: marts.method_mix_by_project(w.project_takeoffs),
+    "agg_confidence_stats": lambda w: marts.confidence_by_project(w.table("stg_takeoff_items")),
+    "agg_method_mix": lambda w: marts.method_mix_by_project(w.table("stg_takeoff_items")),
     "agg_qa_by_project": lambda w: marts.qa_by_project(w.table("stg_qa_reviews")),
     "latest_estimate_per_project": lambda w: marts.latest_estimates(w.table("stg_estimates")),
     # roll-ups and keys
     "estimate_rollup": lambda w: rollups.estimate_rollup(
         _rollup_versions(w),
-        w.project_takeoffs,
+        w.table("stg_takeoff_items"),
         w.table("stg_cost_library"),
         counted=w.raw.estimates(version=False),
     ),
     "estimate_line_item_rollup": lambda w: rollups.estimate_line_item_rollup(
-        marts.latest_estimates(w.table("stg_estimates")),
-        w.table("stg_takeoff_items"),
-        w.table("stg_cost_library"),
+        w.table("stg_estimates"), w.table("stg_takeoff_items"), w.table("stg_cost_library")
     ),
     "derive_business_keys": _business_keys,
     # price history
@@ -230,48 +207,40 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.raw.cost_library, RUN_TIMES[0]
     ),
     "cost_library_snapshot_merge": lambda w: w.price_history,
-    "cost_library_as_of": lambda w: snapshots.priced_as_of(w.line_takeoffs, w.price_history),
+    "cost_library_as_of": lambda w: snapshots.priced_as_of(w.table("stg_takeoff_items"), w.price_history),
     "cost_library_price_change": lambda w: snapshots.price_changes(w.price_history),
     # data tests and checks
-    "dq_unique": lambda w: quality.unique_results(w.tested_alone),
-    "dq_not_null": lambda w: quality.not_null_results(w.tested),
-    "dq_accepted_values": lambda w: quality.accepted_values_results(w.tested_alone),
-    "dq_relationships": lambda w: quality.relationships_results(w.tested),
-    "dq_positive_quantities": lambda w: quality.positive_quantities(w.line_takeoffs),
-    "dq_valid_confidence": lambda w: quality.valid_confidence(w.line_takeoffs),
-    "dq_test_results": lambda w: quality.test_results(w.tested, w.tested_alone),
-    "dq_orphans": lambda w: quality.orphans(w.tested),
-    "dq_checks_summary": lambda w: w.checks,
+    "dq_unique": lambda w: quality.unique_results(w.kept.table),
+    "dq_not_null": lambda w: quality.not_null_results(w.kept.table),
+    "dq_accepted_values": lambda w: quality.accepted_values_results(w.kept.table),
+    "dq_relationships": lambda w: quality.relationships_results(w.kept.table),
+    "dq_positive_quantities": lambda w: quality.positive_quantities(w.table("stg_takeoff_items")),
+    "dq_valid_confidence": lambda w: quality.valid_confidence(w.table("stg_takeoff_items")),
+    "dq_test_results": lambda w: quality.test_results(w.kept.table),
+    "dq_orphans": lambda w: quality.orphans(w.kept.table),
+    "dq_checks_summary": lambda w: w.kept.checks,
     "dq_high_low_confidence_projects": lambda w: quality.high_low_confidence_projects(
         w.table("mart_estimation_dashboard")
     ),
     "dq_first_low_confidence_projects": lambda w: quality.first_high_low_confidence_projects(
         w.table("mart_estimation_dashboard")
     ),
-    "check_valid_quantities": lambda w: quality.check_valid_quantities(w.takeoff_facts),
+    "check_valid_quantities": lambda w: quality.check_valid_quantities(w.table("fct_takeoffs")),
     "check_confidence_distribution": lambda w: quality.check_confidence_distribution(
-        w.takeoff_facts
+        w.table("fct_takeoffs")
     ),
     # report
     "rpt_counts": lambda w: reports.counts(w.table("stg_projects"), w.table("stg_blueprint_pages")),
     "rpt_pages_by_discipline": lambda w: reports.pages_by_discipline(
         w.table("stg_blueprint_pages")
     ),
-    "rpt_takeoff_stats": lambda w: reports.takeoff_stats(w.takeoff_facts),
-    "rpt_estimate_stats": lambda w: reports.estimate_stats(w.estimate_facts),
+    "rpt_takeoff_stats": lambda w: reports.takeoff_stats(w.table("fct_takeoffs")),
+    "rpt_estimate_stats": lambda w: reports.estimate_stats(w.table("fct_estimates")),
     "rpt_top_cost_codes": lambda w: reports.top_cost_codes(w.table("fct_takeoffs")),
     "rpt_qa_stats": lambda w: reports.qa_stats(w.table("stg_qa_reviews"), w.table("stg_projects")),
     "rpt_readiness": lambda w: reports.readiness(w.table("mart_estimation_dashboard")),
-    "rpt_summary": lambda w: reports.summary(
-        w.table("stg_projects"),
-        w.table("stg_blueprint_pages"),
-        w.table("fct_takeoffs"),
-        w.estimate_facts,
-        w.table("stg_qa_reviews"),
-        w.table("mart_estimation_dashboard"),
-        w.checks,
-    ),
-    "adhoc_top_cost_codes": lambda w: reports.top_divisions_by_cost(w.takeoff_facts),
+    "rpt_summary": lambda w: _summary(w.kept),
+    "adhoc_top_cost_codes": lambda w: reports.top_divisions_by_cost(w.table("fct_takeoffs")),
     "adhoc_readiness_summary": lambda w: reports.readiness_summary(
         w.table("mart_estimation_dashboard")
     ),
@@ -281,10 +250,10 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.table("mart_estimation_dashboard")
     ),
     "dash_cost_drivers": lambda w: dashboards.cost_drivers(w.table("fct_takeoffs")),
-    "dash_ai_performance": lambda w: dashboards.extraction_performance(w.takeoff_facts),
+    "dash_ai_performance": lambda w: dashboards.extraction_performance(w.table("fct_takeoffs")),
     "dash_readiness": lambda w: dashboards.readiness(w.table("mart_estimation_dashboard")),
     "dash_recent_activity": lambda w: dashboards.recent_activity(
-        w.estimate_facts, w.table("stg_projects")
+        w.table("fct_estimates"), w.table("stg_projects")
     ),
     # CSV and load
     "raw_csv_roundtrip": _loaded_columns,
@@ -292,7 +261,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         f"raw_csv_roundtrip_{name}": (lambda table: lambda w: _csv_round_trip(w, table))(name)
         for name in RAW_TABLES
     },
-    "load_audit": _load_audit,
+    "load_audit": lambda w: _load(w)[1],
 }
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -25,23 +24,26 @@ def number_within(
     """
     cut = rows.withColumns(dict(buckets))
     columns = [key, *buckets]
-    sizes = cut.groupBy(*columns).agg(F.count("*").alias("_size"))
+    # Two plain columns per key, so that windows, counts and the join agree on
+    # the partitioning and NULL keys still meet.
+    for column in columns:
+        cut = cut.withColumn(f"_of_{column}", F.coalesce(F.col(column).cast("string"), F.lit("")))
+        cut = cut.withColumn(f"_no_{column}", F.col(column).isNull())
+    plain = {column: [f"_of_{column}", f"_no_{column}"] for column in columns}
+    every = [name for names in plain.values() for name in names]
+    sizes = cut.groupBy(*every).agg(
+        F.count("*").alias("_size"), *[F.first(bucket).alias(bucket) for bucket in buckets]
+    )
     earlier = (
-        Window.partitionBy(key)
+        Window.partitionBy(*plain[key])
         .orderBy(*[F.asc_nulls_last(bucket) for bucket in buckets])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = sizes.select(
-        *[F.col(column).alias(f"_of_{column}") for column in columns],
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
-    )
-    same = reduce(
-        Column.__and__, [F.col(column).eqNullSafe(F.col(f"_of_{column}")) for column in columns]
-    )
-    position = F.row_number().over(Window.partitionBy(*columns).orderBy(*order))
+    starts = sizes.select(*every, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    position = F.row_number().over(Window.partitionBy(*every).orderBy(*order))
     return (
         cut.withColumn("_position", position)
-        .join(starts, same)
+        .join(starts, every)
         .withColumn(name, F.col("_start") + F.col("_position"))
-        .drop(*buckets, *[f"_of_{column}" for column in columns], "_start", "_position")
+        .drop(*buckets, *every, "_start", "_position")
     )

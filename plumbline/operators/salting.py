@@ -25,8 +25,8 @@ def salted_join(
     dealt out by the hash of ``spread_by``, its lookup row is repeated once per
     salt. All other keys have the single salt 0.
 
-    The broadcast list holds the hot keys alone, at most ``count / hot_rows``
-    of them. ``counted`` may name a cheaper frame with the same keys to count.
+    The hot keys alone, at most ``count / hot_rows``, are joined without a
+    hint, so their size decides how. ``counted`` may name a cheaper frame with the same keys to count.
     """
     counted = rows if counted is None else counted
     hot = (
@@ -38,7 +38,7 @@ def salted_join(
     salts = F.coalesce(F.col("_salts"), F.lit(1))
 
     def with_salts(frame: DataFrame) -> DataFrame:
-        return frame.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+        return frame.join(hot, F.col(key) == F.col("_hot"), "left")
 
     dealt = with_salts(rows).withColumn("_salt", F.pmod(F.xxhash64(spread_by), salts))
     repeated = with_salts(lookup).withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))

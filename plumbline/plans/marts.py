@@ -22,7 +22,7 @@ from plumbline.functions import (
     tier_from,
 )
 from plumbline.operators.latest import latest_per_key
-from plumbline.operators.salting import salted_join
+from plumbline.operators.salting import HOT_ROWS, salted_join
 
 UPDATED_AT = "_updated_at"
 
@@ -184,11 +184,13 @@ def fct_estimates(
     line_items: DataFrame,
     takeoff_totals: DataFrame,
     counted: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per estimate version with its line items and its project's takeoffs.
 
-    ``takeoff_totals`` comes from ``takeoffs_by_project``. ``counted`` may name a cheaper frame with the project of every estimate, to
-    find the projects with very many.
+    ``takeoff_totals`` comes from ``takeoffs_by_project``. ``counted`` may name
+    a cheaper frame with the project of every estimate, to find the projects
+    with more than ``hot_rows``.
     """
     context = projects.select("project_id", *PROJECT_CONTEXT).join(
         takeoff_totals, "project_id", "left"
@@ -199,6 +201,7 @@ def fct_estimates(
         "project_id",
         spread_by=F.col("estimate_id"),
         counted=estimates if counted is None else counted,
+        hot_rows=hot_rows,
     )
     total = F.col("estimate_total_mid")
     calculated = F.col("calculated_total")

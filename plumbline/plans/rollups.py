@@ -67,8 +67,7 @@ def estimate_line_item_rollup(
     """Priced line items, one per estimate and cost code of its project.
 
     The versions of a project share the same items, so the result has one copy
-    of them per estimate passed in. Pass one estimate per project, its latest,
-    to keep the result as large as the project's codes.
+    of them per estimate.
     """
     priced = quantities_by_project_and_code(takeoffs).join(
         costs.select("cost_code", "unit_cost_mid"), "cost_code"
@@ -78,7 +77,6 @@ def estimate_line_item_rollup(
         estimates.select("estimate_id", "project_id"),
         "project_id",
         F.col("cost_code"),
-        counted=takeoffs.select("project_id", "cost_code").distinct(),
     ).select(
         "estimate_id",
         "cost_code",

@@ -38,15 +38,6 @@ _DDL = {
 }
 
 RAW_TABLES = tuple(_DDL)
-PRIMARY_KEYS = {
-    "projects": "project_id",
-    "blueprint_pages": "page_id",
-    "cost_library": "cost_code",
-    "takeoff_items": "takeoff_id",
-    "estimates": "estimate_id",
-    "estimate_line_items": "line_item_id",
-    "qa_reviews": "review_id",
-}
 
 
 def raw_columns(table: str) -> dict[str, str]:

@@ -96,14 +96,14 @@ def test_takeoff_fact_splits_hot_keys(spark, frames):
     assert plan.split("Initial Plan")[0].count("skew=true") == 3
 
 
-def test_estimate_fact_keeps_all_rows_of_a_hot_project(spark, frames, monkeypatch):
-    monkeypatch.setattr(marts.salted_join, "__defaults__", ("inner", None, 1000))
+def test_estimate_fact_keeps_all_rows_of_a_hot_project(spark, frames):
     with scaled_down(spark):
         fact = marts.fct_estimates(
             frames["estimates"],
             frames["projects"],
             frames["lines"],
             marts.takeoffs_by_project(frames["takeoffs"]),
+            hot_rows=1000,
         )
         counts = {
             row["project_id"]: row["count"] for row in fact.groupBy("project_id").count().collect()
