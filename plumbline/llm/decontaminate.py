@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.llm import packed
-from plumbline.llm.tables import stored
+from plumbline.llm.tables import in_small_batches, stored
 
 # Words are runs of a-z, 0-9 and everything beyond ASCII, after lower-casing A-Z.
 _IS_WORD = np.zeros(256, dtype=bool)
@@ -129,7 +129,7 @@ def scan(
         known = docs.sparkSession.sparkContext.broadcast(
             vars(WindowSet([(row[0], row[1]) for row in part.collect()], size))
         )
-        out = out.mapInArrow(_scanner(known, text), out.schema)
+        out = in_small_batches(out).mapInArrow(_scanner(known, text), out.schema)
         if blocks > 1 and block < blocks - 1:
             out = stored(out, "decontamination")
     return out
@@ -194,7 +194,7 @@ def clean(scanned: DataFrame, text: str = "text", drop_from: float = 0.5) -> Dat
         F.col("hit_words").isNull() | (hit_count(F.col("hit_words")) < drop_from * F.col("n_words"))
     )
     kept = [field for field in hit.schema.fields if field.name not in ("n_words", "hit_words", "found_items")]
-    return hit.mapInArrow(_cutter(text, [f.name for f in kept]), T.StructType(kept))
+    return in_small_batches(hit).mapInArrow(_cutter(text, [f.name for f in kept]), T.StructType(kept))
 
 
 def _cut(text: str, marks: bytes) -> str:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from plumbline.llm import packed
+from plumbline.llm.tables import in_small_batches
 
 # Sentences of well-known licence texts and notices, normalised
 # to lower-case words, and the order in which a licence has them.
@@ -158,4 +159,4 @@ def scan(
                 ]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *added])
 
-    return docs.mapInArrow(run, schema)
+    return in_small_batches(docs).mapInArrow(run, schema)

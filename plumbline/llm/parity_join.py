@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from plumbline.llm import packed
 from plumbline.llm.components import components
-from plumbline.llm.tables import row_hash, stored
+from plumbline.llm.tables import in_small_batches, row_hash, stored
 
 SHINGLE, PERCENT = 4, 85
 STARS = 2  # rounds in which a cell's classes are compared with one of them
@@ -263,7 +263,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     the component their own id. NULL ids take part and never name a component
     that has another id. Repeated rows and ids are each returned.
     """
-    rows = docs.select(
+    rows = in_small_batches(docs).select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
     ).withColumn("row", row_hash("doc_id", "text"))
     described = stored(

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from plumbline.llm import packed
+from plumbline.llm.tables import in_small_batches
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(mark) for mark in "#*$%&|<>"]] = True
@@ -162,7 +163,7 @@ def assess(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> Da
                     [*batch.columns, *found], names=[*batch.schema.names, *names]
                 )
 
-    return docs.mapInArrow(run, schema)
+    return in_small_batches(docs).mapInArrow(run, schema)
 
 
 def keep(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataFrame:

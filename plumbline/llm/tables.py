@@ -26,3 +26,13 @@ def row_hash(*columns: Column | str, seed: int = 0) -> Column:
     """64-bit hash of columns that tells a NULL from an empty value and from a missing one."""
     parts = [F.col(c) if isinstance(c, str) else c for c in columns]
     return F.xxhash64(F.lit(seed), *[x for c in parts for x in (c.isNull(), c)])
+
+
+def in_small_batches(rows: DataFrame, most: int = 1024) -> DataFrame:
+    """``rows`` for Arrow functions, at most ``most`` in a batch.
+
+    Sets the session's batch size. The default of 10,000 rows is made for
+    numbers; with texts and sets of shingles it fills an executor's memory.
+    """
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(most))
+    return rows
