@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -13,35 +13,30 @@ def value_counts(rows: DataFrame, column: str, scale: int = 2) -> DataFrame:
     return rows.groupBy(units.alias("_units")).agg(F.count("*").alias("_n"))
 
 
+# Bits of the ranges that are searched, widest first. A decimal(14,2) has fewer
+# than 2**48 units, so at most 2**11 ranges of 2**37 units, then 2**10 in each.
+LEVELS = (37, 27, 17)
+
+
 def exact_percentiles(
-    counts: DataFrame, points: Mapping[str, float], scale: int = 2, width: int = 10_000_000
+    counts: DataFrame, points: Mapping[str, float], scale: int = 2, levels: Sequence[int] = LEVELS
 ) -> DataFrame:
     """One row with a linearly interpolated percentile per entry of ``points``.
 
     The built-in exact percentile keeps every distinct value of a group in one
-    buffer. Here the ``value_counts`` are cut into ranges of ``width`` units.
-    Only the ranges that hold a wanted rank, at most two per point, are ordered
-    by value, and each has at most ``2 * width`` distinct values. The range
-    totals themselves are few: a decimal(14,2) spans at most
-    ``2 * 10**14 / width`` ranges.
+    buffer. Here the ``value_counts`` are searched level by level: the rows of
+    every range of ``2**bits`` units are counted, and only the ranges with a
+    wanted rank, at most two per point, are cut into those of the next level.
+    The last level are single values. By the default levels no window orders
+    more than 2**11 ranges, or the 2**17 values of one range.
+
+    NULL weighs nothing instead of being filtered out, and ranges are shifts,
+    which no filter is inferred for: the counts below stay the same in every
+    level and are computed once.
     """
-    values = counts.where(F.col("_units").isNotNull()).withColumn(
-        "_range", F.expr(f"_units div {width}")
-    )
-    by_range = Window.orderBy("_range")
-    ranges = (
-        values.groupBy("_range")
-        .agg(F.sum("_n").alias("_rows"))
-        .select(
-            "_range",
-            "_rows",
-            F.coalesce(
-                F.sum("_rows").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_before"),
-            F.sum("_rows")
-            .over(by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-            .alias("_total"),
-        )
+    values = counts.select(
+        F.coalesce("_units", F.lit(0).cast("bigint")).alias("_units"),
+        F.when(F.col("_units").isNull(), F.lit(0)).otherwise(F.col("_n")).alias("_n"),
     )
 
     def position(point: float):
@@ -53,29 +48,50 @@ def exact_percentiles(
     ranks = [end(position(point)) for point in points.values() for end in (F.floor, F.ceil)]
     wanted = F.lit(False)
     for rank in ranks:
-        wanted = wanted | holds(rank, F.col("_before"), F.col("_rows"))
-    hit = F.broadcast(ranges.where(wanted).select("_range", "_before", "_total"))
+        wanted = wanted | holds(rank, F.col("_first"), F.col("_rows"))
 
-    smaller = (
-        Window.partitionBy("_range").orderBy("_units").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = values.join(hit, "_range").withColumn(
-        "_first", F.col("_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0))
-    )
+    rows = F.sum("_n").alias("_rows")
+    found, above = None, None
+    for bits in (*levels, 0):
+        cell = F.shiftright("_units", bits).alias("_cell")
+        if found is None:
+            sizes = values.groupBy(cell).agg(rows)
+            within = Window.orderBy("_cell")
+            whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            start, total = F.lit(0), F.sum("_rows").over(whole)
+        else:
+            outer = found.select(
+                F.col("_cell").alias("_outer"), F.col("_first").alias("_start"), "_total"
+            )
+            sizes = (
+                values.join(F.broadcast(outer), F.shiftright("_units", above) == F.col("_outer"))
+                .groupBy("_outer", "_start", "_total", cell)
+                .agg(rows)
+            )
+            within = Window.partitionBy("_outer").orderBy("_cell")
+            start, total = F.col("_start"), F.col("_total")
+        earlier = F.sum("_rows").over(within.rowsBetween(Window.unboundedPreceding, -1))
+        found = sizes.select(
+            "_cell",
+            "_rows",
+            (start + F.coalesce(earlier, F.lit(0))).alias("_first"),
+            total.alias("_total"),
+        ).where(wanted)
+        above = bits
 
     def value_at(rank):
-        return F.max(F.when(holds(rank, F.col("_first"), F.col("_n")), F.col("_units")))
+        return F.max(F.when(holds(rank, F.col("_first"), F.col("_rows")), F.col("_cell")))
 
-    found = []
+    ends = []
     for name, point in points.items():
         at = position(point)
-        found += [
+        ends += [
             value_at(F.floor(at)).alias(f"{name}_low"),
             value_at(F.ceil(at)).alias(f"{name}_high"),
             F.max(at - F.floor(at)).alias(f"{name}_part"),
         ]
     unit = F.lit(float(10**scale))
-    return placed.agg(*found).select(
+    return found.agg(*ends).select(
         *[
             (
                 F.col(f"{name}_low") / unit

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.latest import latest_per_key
 from plumbline.operators.numbering import number_within
-from plumbline.operators.percentiles import exact_percentiles, value_counts
+from plumbline.operators.percentiles import LEVELS, exact_percentiles, value_counts
 from plumbline.operators.salting import salted_join
 
 
@@ -76,9 +76,9 @@ def test_salted_join_spreads_the_hot_key(spark, skewed):
     assert sizes.sum() == 1000 and len(sizes) > 4 and sizes.max() < 500
 
 
-@pytest.mark.parametrize("width", [1, 7, 100, 10_000_000])
+@pytest.mark.parametrize("levels", [(), (0,), (3,), (7, 2), (40,), LEVELS])
 @pytest.mark.parametrize("rows", [1, 2, 11, 1000])
-def test_percentiles_equal_numpy(spark, rows, width):
+def test_percentiles_equal_numpy(spark, rows, levels):
     random = np.random.default_rng(rows)
     cents = random.integers(-5_000, 90_000, rows)
     cents[: rows // 3] = 777
@@ -87,7 +87,7 @@ def test_percentiles_equal_numpy(spark, rows, width):
     )
     frame = frame.unionByName(spark.sql("SELECT CAST(NULL AS DECIMAL(14, 2)) AS amount"))
     points = {"low": 0.1, "mid": 0.5, "high": 0.9, "top": 1.0}
-    row = exact_percentiles(value_counts(frame, "amount"), points, width=width).first()
+    row = exact_percentiles(value_counts(frame, "amount"), points, levels=levels).first()
     for name, point in points.items():
         assert row[name] == pytest.approx(np.quantile(cents / 100, point), abs=1e-9)
 
@@ -97,6 +97,17 @@ def test_percentiles_of_nothing(spark):
     assert exact_percentiles(value_counts(empty, "amount"), {"mid": 0.5}).first()["mid"] is None
 
 
+def test_percentiles_read_the_values_once(spark, tmp_path):
+    path = str(tmp_path / "amounts")
+    spark.range(5000).selectExpr("cast(id % 900 as decimal(14, 2)) AS amount").write.parquet(path)
+    counts = value_counts(spark.read.parquet(path), "amount")
+    found = exact_percentiles(counts, {"mid": 0.5, "high": 0.9})
+    found.collect()
+    plan = executed_plan(found)
+    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_latest_per_key(skewed):
     latest = latest_per_key(skewed, "key", [F.desc("version"), F.desc("id")])
     found = latest.toPandas().set_index("key")["id"]
