@@ -27,15 +27,15 @@ def initial_history(source: DataFrame, key: str, run_time: str) -> DataFrame:
     return source.withColumns(_opened(key, run_time))
 
 
-def merge_history(
-    history: DataFrame,
+def merge_open(
+    open_rows: DataFrame,
     source: DataFrame,
     key: str,
     check: Sequence[str],
     run_time: str,
     invalidate_hard_deletes: bool = True,
 ) -> DataFrame:
-    """History after ``source`` was delivered at ``run_time``.
+    """The open versions after ``source`` was delivered at ``run_time``, and those it closed.
 
     A key whose ``check`` columns differ (NULL equals NULL) closes its open
     version and opens a new one; a key gone from the source closes; a key not
@@ -46,9 +46,7 @@ def merge_history(
     no key can be hot, and a change yields both of its rows from that join.
     """
     names = [*source.columns, *HISTORY_COLUMNS]
-    history = history.select(*names)
-    is_open = F.col("valid_to").isNull()
-    old_rows = history.where(is_open).select(F.col(key).alias("_old_key"), F.struct(*names).alias("old"))
+    old_rows = open_rows.select(F.col(key).alias("_old_key"), F.struct(*names).alias("old"))
     new_rows = initial_history(source, key, run_time).select(
         F.col(key).alias("_new_key"), F.struct(*names).alias("new")
     )
@@ -63,12 +61,28 @@ def merge_history(
         .when(same, F.array(old))
         .otherwise(F.array(closed, new))
     )
-    current = (
+    return (
         old_rows.join(new_rows, F.col("_old_key") == F.col("_new_key"), "full_outer")
         .select(F.explode(versions).alias("version"))
         .select(*[F.col(f"version.{name}").alias(name) for name in names])
     )
-    return history.where(~is_open).unionByName(current)
+
+
+def merge_history(
+    history: DataFrame,
+    source: DataFrame,
+    key: str,
+    check: Sequence[str],
+    run_time: str,
+    invalidate_hard_deletes: bool = True,
+) -> DataFrame:
+    """A whole history after a delivery: its closed versions, and ``merge_open`` of the others."""
+    history = history.select(*source.columns, *HISTORY_COLUMNS)
+    is_open = F.col("valid_to").isNull()
+    merged = merge_open(
+        history.where(is_open), source, key, check, run_time, invalidate_hard_deletes
+    )
+    return history.where(~is_open).unionByName(merged)
 
 
 def as_of(

@@ -32,6 +32,10 @@ def merged(history: DataFrame, raw_costs: DataFrame, run_time: str) -> DataFrame
     return scd.merge_history(history, snapshot_rows(raw_costs), KEY, CHECKED, run_time)
 
 
+def merged_open(open_rows: DataFrame, raw_costs: DataFrame, run_time: str) -> DataFrame:
+    return scd.merge_open(open_rows, snapshot_rows(raw_costs), KEY, CHECKED, run_time)
+
+
 def priced_as_of(takeoffs: DataFrame, history: DataFrame) -> DataFrame:
     """Staged takeoffs with the unit costs valid when they were created."""
     rows = scd.as_of(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbline.operators import data_tests
 from plumbline.plans import marts, quality, reports, snapshots, staging
 from plumbline.sources import raw_csv
+from plumbline.sources.history_store import HistoryStore
 from plumbline.sources.tables import TableStore, load_audit
 
 STAGING = {
@@ -82,20 +83,23 @@ def transform(store: TableStore, run_time: str) -> None:
 
 
 def snapshot(store: TableStore, raw_costs: DataFrame, run_time: str) -> DataFrame:
-    """Add a run to the price history; running the same time again gives the same history.
+    """Add a run to the price history; running the last one again gives the same history.
 
-    The history is read from and written to storage, so a merge never plans
-    the runs before it again.
+    The open versions are read from and written to storage, so a merge never
+    plans the runs before it again, and closed versions are not touched.
     """
     unusable = data_tests.unusable_keys(raw_costs, snapshots.KEY).first()
     if unusable["repeated"] or unusable["missing"]:
         raise ValueError("the cost library has repeated or missing cost codes")
-    history = store.read_history(SNAPSHOT, before=run_time)
-    if history is None:
-        rows = snapshots.initial(raw_costs, run_time)
-    else:
-        rows = snapshots.merged(history, raw_costs, run_time)
-    return store.add_history(SNAPSHOT, run_time, rows)
+    stored = history(store)
+    open_rows = stored.open_before(run_time)
+    if open_rows is None:
+        return stored.add(run_time, snapshots.initial(raw_costs, run_time))
+    return stored.add(run_time, snapshots.merged_open(open_rows, raw_costs, run_time))
+
+
+def history(store: TableStore) -> HistoryStore:
+    return HistoryStore(store.spark, store.path(SNAPSHOT))
 
 
 def check(store: TableStore) -> DataFrame:

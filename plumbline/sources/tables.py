@@ -47,33 +47,6 @@ class TableStore:
     def register(self, name: str) -> None:
         self.read(name).createOrReplaceTempView(name.replace(".", "_"))
 
-    # A history is never written over the folder it is read from. Each run
-    # writes its own folder, and a repeated run overwrites only that.
-
-    def add_history(self, name: str, run_time: str, rows: DataFrame) -> DataFrame:
-        folder = f"{self.path(name)}/run={_run_folder(run_time)}"
-        rows.write.mode("overwrite").parquet(folder)
-        return self.spark.read.schema(rows.schema).parquet(folder)
-
-    def read_history(self, name: str, before: str | None = None) -> DataFrame | None:
-        """History of the latest run, or of the latest one before a run time."""
-        history = self._find(name)
-        if history is None:
-            return None
-        runs = history if before is None else history.where(F.col("run") < _run_folder(before))
-        # Only the partition column is read; one value reaches the driver.
-        latest = runs.agg(F.max("run")).first()[0]
-        if latest is None:
-            return None
-        return (
-            self.spark.read.schema(history.drop("run").schema)
-            .parquet(f"{self.path(name)}/run={latest}")
-        )
-
-
-def _run_folder(run_time: str) -> str:
-    return "t" + "".join(mark for mark in run_time if mark.isdigit())
-
 
 def table_exists(spark: SparkSession, table: str, schema: str = "default") -> bool:
     """Whether the catalog knows the table."""

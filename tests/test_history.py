@@ -123,7 +123,64 @@ def test_stored_runs_can_be_repeated(spark, deliveries, tmp_path, history):
     assert stored.exceptAll(history).count() == 0 and stored.count() == history.count()
     again = stages.snapshot(store, deliveries[2], RUNS[3])
     assert again.exceptAll(history).count() == 0 and again.count() == history.count()
-    assert store.read_history(stages.SNAPSHOT).count() == history.count()
+    assert stages.history(store).read().count() == history.count()
+    with pytest.raises(ValueError):
+        stages.snapshot(store, deliveries[1], RUNS[1])
+    # A rerun with another delivery forgets what the first try did.
+    other = stages.snapshot(store, deliveries[0], RUNS[3])
+    expected = snapshots.initial(deliveries[0], RUNS[0])
+    for run, rows in zip(RUNS[1:], [*deliveries[1:], deliveries[0]]):
+        expected = snapshots.merged(expected, rows, run)
+    assert other.exceptAll(expected).count() == 0 and other.count() == expected.count()
+
+
+def test_the_first_run_can_be_repeated(spark, deliveries, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    stages.snapshot(store, deliveries[0], RUNS[0])
+    again = stages.snapshot(store, deliveries[1], RUNS[0])
+    expected = snapshots.initial(deliveries[1], RUNS[0])
+    assert again.exceptAll(expected).count() == 0 and again.count() == expected.count()
+
+
+def stored_rows(spark, path):
+    """Rows of the closed folders, and of the live open one."""
+    closed = spark.read.parquet(f"{path}/closed/*").count()
+    last = stages.HistoryStore(spark, path).commits()[-1]["sequence"]
+    return closed, spark.read.parquet(f"{path}/open/{last % 2}").where("_closed = 0").count()
+
+
+def test_storage_grows_by_changes(spark, deliveries, tmp_path, history):
+    runs = [*RUNS, "2024-05-01 00:00:00"]
+    same, changed = (TableStore(spark, str(tmp_path / name)) for name in ("same", "changed"))
+    for run in runs:
+        stages.snapshot(same, deliveries[0], run)
+    assert stored_rows(spark, same.path(stages.SNAPSHOT)) == (0, deliveries[0].count())
+    for run, rows in zip(runs, [*deliveries, deliveries[2], deliveries[2]]):
+        stages.snapshot(changed, rows, run)
+    still_open = history.where("valid_to IS NULL").count()
+    assert stored_rows(spark, changed.path(stages.SNAPSHOT)) == (
+        history.count() - still_open, still_open,
+    )
+
+
+def test_a_failed_run_changes_nothing(spark, deliveries, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    before = stages.snapshot(store, deliveries[0], RUNS[0]).toPandas()
+    broken = costs(spark, same=(2.0, {})).withColumn(
+        "unit_cost_mid", F.raise_error(F.lit("lost")).cast("double")
+    )
+    with pytest.raises(Exception, match="lost"):
+        stages.snapshot(store, broken, RUNS[1])
+    after = stages.history(store).read().toPandas()
+    assert before.sort_values("cost_code").equals(after.sort_values("cost_code"))
+
+
+def test_an_emptied_library_closes_everything(spark, deliveries, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    stages.snapshot(store, deliveries[0], RUNS[0])
+    emptied = stages.snapshot(store, deliveries[0].where("false"), RUNS[1])
+    assert emptied.count() == emptied.where("valid_to IS NOT NULL").count() == 5
+    assert stages.snapshot(store, deliveries[0], RUNS[2]).count() == 10
 
 
 def test_repeated_codes_are_refused(spark, deliveries, tmp_path):

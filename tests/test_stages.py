@@ -91,7 +91,7 @@ def test_full_refresh_and_partial_runs(spark, tmp_path):
     results = store.read("dq_test_results")
     assert results.count() == 90 and results.where("NOT passed").count() == 0
     assert store.read("mart_estimation_dashboard").count() == 1
-    assert store.read_history(stages.SNAPSHOT).count() == 1
+    assert stages.history(store).read().count() == 1
 
     # Stages run alone on what the earlier ones stored, as often as wanted.
     raw["takeoff_items"] = table(spark, "takeoff_items", {}, dict(quantity=0.0))
@@ -99,7 +99,7 @@ def test_full_refresh_and_partial_runs(spark, tmp_path):
     stages.load(spark, str(tmp_path / "csv"), store)
     stages.transform(store, RUN)
     stages.transform(store, RUN)
-    assert store.read_history(stages.SNAPSHOT).count() == 1
+    assert stages.history(store).read().count() == 1
     checks = {row["check"]: row for row in stages.check(store).collect()}
     assert checks["invalid_quantities"]["value"] == 1
     values = {row["metric"]: row["value"] for row in stages.publish(store).collect()}
