@@ -93,3 +93,23 @@ TABLES = {
         SELECT * REPLACE (cost_code || 'N' AS cost_code)
         FROM raw_cost_library WHERE division = '{mapping.RELABELLED_DIVISION}'""",
 }
+
+# The tables with offences: each reads the one above, renamed.
+DISPUTED = {
+    "raw_cost_library": f"""
+        SELECT * FROM changed_library WHERE division <> '{mapping.WITHDRAWN_DIVISION}'""",
+    "raw_takeoff_items": """
+        SELECT * REPLACE (
+            if(extraction_method = 'hybrid', -quantity, quantity) AS quantity,
+            if(extraction_method = 'manual', confidence + CAST(0.25 AS DOUBLE), confidence)
+                AS confidence)
+        FROM undisputed_raw_takeoff_items""",
+    "raw_estimate_line_items": """
+        SELECT * REPLACE (
+            if(uom = 'LF', 40, 1) * quantity AS quantity,
+            if(uom = 'LF', 40, 1) * extended_cost_mid AS extended_cost_mid)
+        FROM undisputed_raw_estimate_line_items""",
+    "raw_qa_reviews": """
+        SELECT * REPLACE (if(severity = 'critical', 'wrong_uom', issue_type) AS issue_type)
+        FROM undisputed_raw_qa_reviews""",
+}

@@ -11,7 +11,7 @@ from plumbline.plans import dashboards, marts, quality, reports, rollups, snapsh
 from plumbline.schemas import RAW_TABLES
 from plumbline.session import scratch_folder, tuned
 from plumbline.sources import raw_csv
-from plumbline.sources.driver_tables import RUN_TIMES, DriverTables
+from plumbline.sources.driver_tables import RUN_TIMES, DisputedTables, DriverTables
 from plumbline.sources.tables import TableStore, column_audit
 
 # The test tables have text keys where the reference data has numbers.
@@ -24,10 +24,12 @@ KEY_TYPES = {
 class Warehouse:
     """All tables of one folder as lazy frames, built when first asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(
+        self, spark: SparkSession, folder: str, tables: type[DriverTables] = DriverTables
+    ):
         self.spark = spark
         self.folder = folder
-        self.raw = DriverTables(spark, folder)
+        self.raw = tables(spark, folder)
         self._built: dict[str, DataFrame] = {}
 
     def raw_table(self, name: str) -> DataFrame:
@@ -82,7 +84,7 @@ class Warehouse:
     @cached_property
     def kept(self) -> StoredWarehouse:
         """The same tables, each stored when first asked for, for jobs that read one often."""
-        return StoredWarehouse(self.spark, self.folder)
+        return StoredWarehouse(self.spark, self.folder, type(self.raw))
 
     @cached_property
     def checks(self) -> DataFrame:
@@ -104,8 +106,10 @@ class Warehouse:
 class StoredWarehouse(Warehouse):
     """Raw tables, facts and marts as stored tables; staging stays a view over them."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        super().__init__(spark, folder)
+    def __init__(
+        self, spark: SparkSession, folder: str, tables: type[DriverTables] = DriverTables
+    ):
+        super().__init__(spark, folder, tables)
         self.store = TableStore(spark, scratch_folder(spark, "tables"))
 
     def _build(self, name: str) -> DataFrame:
@@ -264,6 +268,21 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "load_audit": lambda w: _load(w)[1],
 }
 
+# Queries that run once more over tables with offences to be found.
+DISPUTED = [
+    "stg_estimate_line_items", "stg_qa_reviews", "fct_takeoffs", "mart_takeoff_quality_monitoring",
+    "dq_relationships", "dq_orphans", "dq_positive_quantities", "dq_valid_confidence",
+    "dq_test_results", "dq_checks_summary", "check_valid_quantities",
+]
+
+
+def _over_disputed(name: str) -> Callable[[Warehouse], DataFrame]:
+    query = QUERIES[name]
+    return lambda w: query(Warehouse(w.spark, w.folder, DisputedTables))
+
+
+QUERIES.update({f"{name}_disputed": _over_disputed(name) for name in DISPUTED})
+
 
 def comparable(rows: DataFrame) -> DataFrame:
     """A result in the types the SQL checks use.

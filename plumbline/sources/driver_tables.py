@@ -277,3 +277,39 @@ class DriverTables:
         second = changed.where(division != WITHDRAWN_DIVISION)
         return list(zip(RUN_TIMES, [first, second, changed, changed]))
 
+
+class DisputedTables(DriverTables):
+    """The same tables with offences that data tests and checks should find.
+
+    The cost library is the second delivery, which lacks a division, so codes
+    of takeoffs and line items are orphans. Hybrid takeoffs have negative
+    quantities, manual ones a confidence up to 1.25. Line items in LF have
+    forty times the quantity, and critical reviews are about a wrong unit.
+    """
+
+    @cached_property
+    def cost_library(self) -> DataFrame:
+        return DriverTables(self._spark, self._folder).cost_library_versions[1][1]
+
+    def takeoff_items(self, project: bool = True, item: bool = True) -> DataFrame:
+        method, quantity, confidence = (
+            F.col(name) for name in ("extraction_method", "quantity", "confidence")
+        )
+        return super().takeoff_items(project, item).withColumns(
+            {
+                "quantity": F.when(method == "hybrid", -quantity).otherwise(quantity),
+                "confidence": F.when(method == "manual", confidence + 0.25).otherwise(confidence),
+            }
+        )
+
+    @cached_property
+    def estimate_line_items(self) -> DataFrame:
+        factor = F.when(F.col("uom") == "LF", F.lit(40.0)).otherwise(F.lit(1.0))
+        return super().estimate_line_items.withColumns(
+            {name: F.col(name) * factor for name in ("quantity", "extended_cost_mid")}
+        )
+
+    @cached_property
+    def qa_reviews(self) -> DataFrame:
+        issue = F.when(F.col("severity") == "critical", "wrong_uom").otherwise(F.col("issue_type"))
+        return super().qa_reviews.withColumn("issue_type", issue)

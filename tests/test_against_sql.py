@@ -28,6 +28,23 @@ def test_query_equals_sql(spark, connection, name):
         assert slow not in plan
 
 
+def test_offences_are_found(connection):
+    """The disputed tables have orphans, bad quantities and confidences, and wrong units."""
+    sql = entry_points.oracle_sql()
+
+    def rows(name, where):
+        return connection.execute(f"SELECT count(*) FROM ({sql[name]}) WHERE {where}").fetchone()[0]
+
+    assert rows("dq_orphans_disputed", "missing_key IS NOT NULL") > 0
+    assert rows("dq_positive_quantities_disputed", "quantity < 0") > 0
+    assert rows("dq_valid_confidence_disputed", "confidence > 1") > 0
+    assert rows("dq_relationships_disputed", "NOT passed") == 2
+    assert rows("dq_checks_summary_disputed", "NOT passed") >= 3
+    assert rows("check_valid_quantities_disputed", "NOT passed") == 1
+    assert rows("stg_estimate_line_items_disputed", "cost_impact = 'Major'") > 0
+    assert rows("stg_qa_reviews_disputed", "issue_type = 'wrong_uom'") > 0
+
+
 def test_comparison_sees_a_changed_value(spark, connection):
     frame = entry_points.queries()["rpt_counts"](spark, FOLDER)
     changed = entry_points.oracle_sql()["rpt_counts"].replace("count(*)", "count(*) + 1", 1)
