@@ -24,6 +24,7 @@ from plumbline.llm.tables import in_small_batches, row_hash, stored
 SHINGLE, PERCENT = 4, 85
 STARS = 2  # rounds in which a cell's classes are compared with one of them
 BLOCK = 4096  # classes of a cell compared pair by pair in one task
+PARTS = 255  # tasks that classes of a cell met within a batch are dealt to
 
 
 def most_different(total: int | np.ndarray, percent: int = PERCENT):
@@ -138,6 +139,11 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells of each set. Where sets of a batch meet in one, it is ``shared``.
+
+    Then one of them stands for the batch in part 0, which finds out if other
+    batches have the cell; the others need not go there.
+    """
     seen: set[int] = set()  # sets already sent by this task: copies add nothing
     for whole in batches:
         for batch in packed.chunks(whole, "text"):
@@ -148,8 +154,15 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(seen) > 2_000_000:
                 seen.clear()
             kept = new[sets]
+            keys, classes = keys[kept].view(np.int64), names[sets[kept]]
+            order = np.argsort(keys)
+            keys, classes = keys[order], classes[order]
+            repeated = np.zeros(len(keys) + 1, dtype=bool)
+            repeated[1:-1] = keys[1:] == keys[:-1]
+            part = np.where(repeated[:-1], 1 + classes % PARTS, 0).astype(np.int16)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[kept].view(np.int64)), pa.array(names[sets[kept]])], names=["h", "cls"]
+                [pa.array(keys), pa.array(classes), pa.array(part), pa.array(repeated[:-1] | repeated[1:])],
+                names=["h", "cls", "part", "shared"],
             )
 
 
@@ -257,7 +270,9 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     what that leaves in different components is compared pair by pair in
     blocks of ``BLOCK`` classes, sketches first, so that no link is lost and
     no cell, not even one that a third of all rows share, is gathered in one
-    task.
+    task: a cell sends one class per batch to the task that finds whether it is
+    shared, its counts combine before they are shuffled, and its classes meet
+    them in a plain join, which adaptive execution can split.
 
     Rows without words (NULL, empty) link with nothing: ``n_shingles`` is 0 and
     the component their own id. NULL ids take part and never name a component
@@ -276,12 +291,18 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     ).select("cls", "n", F.col("least.row").alias("row"), F.col("least.sketch").alias("sketch"))
     info = stored(info, "parity-classes")
 
-    in_cell = Window.partitionBy("h")
+    in_part = Window.partitionBy("h", "part")
     cells = stored(
         rows.select("text")
-        .mapInArrow(_cells, "h bigint, cls bigint")
-        .withColumns({"least": F.min("cls").over(in_cell), "most": F.max("cls").over(in_cell)})
-        .where("least < most")
+        .mapInArrow(_cells, "h bigint, cls bigint, part smallint, shared boolean")
+        .withColumns(
+            {
+                "least": F.min("cls").over(in_part),
+                "most": F.max("cls").over(in_part),
+                "shared": F.max("shared").over(in_part),
+            }
+        )
+        .where("shared OR least < most")
         .select("h", "cls")
         .distinct(),
         "parity-cells",
@@ -303,21 +324,25 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         )
 
     def open_cells(labels: DataFrame | None, seed: int) -> DataFrame:
-        """Cells whose classes are not all in one component, each with a centre."""
+        """Classes of the cells that are not all in one component, with the cell's size and a centre."""
         if labels is None:
             labelled = cells.withColumn("label", F.col("cls"))
         else:
             labelled = cells.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
                 "label", F.coalesce("label", "cls")
             )
-        pick = F.min(F.struct(F.xxhash64(F.lit(seed), "h", "cls").alias("by"), "cls", "label")).over(in_cell)
-        return (
-            labelled.withColumns(
-                {"least": F.min("label").over(in_cell), "most": F.max("label").over(in_cell), "centre": pick}
+        centre = F.min(F.struct(F.xxhash64(F.lit(seed), "h", "cls").alias("by"), "cls", "label"))
+        several = stored(
+            labelled.groupBy("h")
+            .agg(
+                F.min("label").alias("least"), F.max("label").alias("most"),
+                F.count("*").alias("size"), centre.alias("centre"),
             )
             .where("least < most")
-            .select("h", "cls", "label", "centre")
-        )
+            .select("h", "size", "centre"),
+            "parity-open",
+        )
+        return labelled.join(several, "h").select("h", "cls", "label", "size", "centre")
 
     links, labels = None, None
     for seed in range(STARS):
@@ -332,7 +357,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
     split = (
         open_cells(labels, STARS - 1)
-        .withColumn("blocks", F.ceil(F.count("*").over(in_cell) / F.lit(BLOCK)).cast("int"))
+        .withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
