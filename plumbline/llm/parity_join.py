@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.llm import packed
 from plumbline.llm.components import components
@@ -133,8 +133,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.diff(firsts)
             names = pa.array(set_hashes(values, firsts), mask=counts == 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(counts), names, pa.array(sketches(values, firsts), pa.binary())],
-                names=["row", "n", "cls", "sketch"],
+                [*(batch.column(c) for c in ("row", "doc_id")), pa.array(counts), names, pa.array(sketches(values, firsts), pa.binary())],
+                names=["row", "doc_id", "n", "cls", "sketch"],
             )
 
 
@@ -262,8 +262,8 @@ def _links(pairs: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row of ``docs`` (its id) with ``n_shingles`` and ``component_id``.
+def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (row, doc_id, n, cls) and the label of every class that is linked to another.
 
     Rows with equal shingle sets are one class and linked. Of the classes that
     share a cell, one at random is compared with all others, ``STARS`` times;
@@ -272,23 +272,21 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     no cell, not even one that a third of all rows share, is gathered in one
     task: a cell sends one class per batch to the task that finds whether it is
     shared, its counts combine before they are shuffled, and its classes meet
-    them in a plain join, which adaptive execution can split.
-
-    Rows without words (NULL, empty) link with nothing: ``n_shingles`` is 0 and
-    the component their own id. NULL ids take part and never name a component
-    that has another id. Repeated rows and ids are each returned.
+    them in a plain join, which adaptive execution can split. A row without
+    words has a NULL class.
     """
     rows = in_small_batches(docs).select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
     ).withColumn("row", row_hash("doc_id", "text"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
     described = stored(
-        rows.select("row", "text")
-        .mapInArrow(_describe, "row bigint, n bigint, cls bigint, sketch binary"),
+        rows.select("row", "doc_id", "text")
+        .mapInArrow(_describe, f"row bigint, doc_id {id_type}, n bigint, cls bigint, sketch binary"),
         "parity-rows",
     )
     info = described.where("cls IS NOT NULL").groupBy("cls").agg(
-        F.first("n").alias("n"), F.min(F.struct("row", "sketch")).alias("least")
-    ).select("cls", "n", F.col("least.row").alias("row"), F.col("least.sketch").alias("sketch"))
+        F.first("n").alias("n"), F.min(F.struct("row", "doc_id", "sketch")).alias("least")
+    ).select("cls", "n", "least.row", "least.doc_id", "least.sketch")
     info = stored(info, "parity-classes")
 
     in_part = Window.partitionBy("h", "part")
@@ -317,10 +315,10 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
     def members(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        chosen = wanted.join(info, "cls").select("cls", "row")
+        chosen = wanted.join(info, "cls").select("cls", F.col("row").alias("of"), F.col("doc_id").alias("id"))
+        texts = rows.join(chosen, _same_row("row", "doc_id", "of", "id")).dropDuplicates(["cls"])
         return stored(
-            rows.join(chosen, "row").dropDuplicates(["cls"]).select("cls", "text").mapInArrow(_sets, "cls bigint, members binary"),
-            "parity-sets",
+            texts.select("cls", "text").mapInArrow(_sets, "cls bigint, members binary"), "parity-sets"
         )
 
     def open_cells(labels: DataFrame | None, seed: int) -> DataFrame:
@@ -374,21 +372,34 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         "parity-apart",
     )
     more = stored(_links(apart, members(apart)), "parity-links")
-    labels = components(links.union(more))
+    labels = components(links.union(more)).withColumnRenamed("node", "cls")
+    return described.drop("sketch"), labels
 
-    ids = stored(
-        rows.select("row", "doc_id").join(described.select("row", "n", "cls").distinct(), "row"), "parity-ids"
-    )
-    lowest = (
-        ids.where("cls IS NOT NULL")
-        .groupBy("cls")
-        .agg(F.min("doc_id").alias("lowest"))
-        .join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-        .withColumn("label", F.coalesce("label", "cls"))
+
+def _same_row(row: str, doc_id: str, other_row: str, other_id: str) -> Column:
+    """Equal hash and id: at this number of rows a hash alone may stand for two of them."""
+    return (F.col(row) == F.col(other_row)) & F.col(doc_id).eqNullSafe(F.col(other_id))
+
+
+def _labelled(per_class: DataFrame, labels: DataFrame) -> DataFrame:
+    return per_class.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+
+
+def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every row of ``docs`` (its id) with ``n_shingles`` and ``component_id``.
+
+    Rows without words (NULL, empty) link with nothing: ``n_shingles`` is 0 and
+    the component their own id. NULL ids take part and never name a component
+    that has another id. Repeated rows and ids are each returned; equal ids
+    alone are no link.
+    """
+    described, labels = _classes(docs, doc_id, text)
+    lowest = _labelled(
+        described.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("lowest")), labels
     )
     named = lowest.groupBy("label").agg(F.min("lowest").alias("component_id"))
     by_class = lowest.join(named, "label").select("cls", "component_id")
-    return ids.join(by_class, "cls", "left").select(
+    return described.join(by_class, "cls", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
@@ -398,20 +409,28 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per component: the one with the least id. Rows without words all stay.
 
-    Among rows with that id, the least by a hash of the row stays; of rows
-    equal in every column one stays.
+    Components are told apart by their texts: rows of different components
+    stay although their ids are equal or NULL. A NULL id comes after all
+    others. Among rows with the least id, the least by a hash of id and text
+    stays, and of rows equal in both the least by a hash of all columns.
     """
-    joined = similar(docs, doc_id, text).where("n_shingles > 0")
-    kept = joined.groupBy("component_id").count().select(F.col("component_id").alias("__pj_id"))
-    key = row_hash(*[F.col(f"`{c}`") for c in docs.columns])
+    described, labels = _classes(docs, doc_id, text)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    per_class = described.where("cls IS NOT NULL").groupBy("cls").agg(first)
+    kept = (
+        _labelled(per_class, labels)
+        .groupBy("label")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.row").alias("__pj_of"), F.col("first.doc_id").alias("__pj_id"))
+    )
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     words = F.coalesce(F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-    one = Window.partitionBy("__pj_id").orderBy("__pj_key")
+    one = Window.partitionBy("__pj_row", doc_id).orderBy("__pj_key")
     with_words = (
         docs.where(words)
-        .withColumn("__pj_key", key)
-        .join(kept, F.col(doc_id).eqNullSafe(F.col("__pj_id")))
+        .withColumns({"__pj_row": row_hash(doc_id, text), "__pj_key": row_hash(*columns)})
+        .join(kept, _same_row("__pj_row", doc_id, "__pj_of", "__pj_id"))
         .withColumn("__pj_place", F.row_number().over(one))
         .where("__pj_place = 1")
     )
-    columns = [F.col(f"`{c}`") for c in docs.columns]
     return with_words.select(*columns).union(docs.where(~words).select(*columns))

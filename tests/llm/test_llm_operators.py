@@ -361,6 +361,21 @@ def test_similar_odd_rows(odd, empty, docs, rows):
     assert parity_join.keep_one(odd).columns == odd.columns
 
 
+def test_keep_one_tells_components_by_text(spark):
+    """NULL and repeated ids link nothing; a component keeps its least id."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(4)]
+    near = texts[3].rsplit(" ", 1)[0] + " other"
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[0]), (7, texts[1]), (7, texts[2]), (7, texts[2])]
+    rows += [(9, texts[3]), (8, near), (None, texts[3]), (None, None), (None, ""), (7, " ")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = [(None, texts[0]), (7, texts[1]), (7, texts[2]), (8, near), (None, None), (None, ""), (7, " ")]
+    assert collected(parity_join.keep_one(frame), "doc_id", "text") == Counter(want)
+    named = frame.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    assert parity_join.similar(named).where("doc_id = 'd9'").first()["component_id"] == "d8"
+    assert parity_join.keep_one(named).count() == len(want)
+
+
 def test_cells_find_every_pair():
     """Random pairs at the threshold always share a cell, in one band or in two."""
     rng = np.random.default_rng(3)
