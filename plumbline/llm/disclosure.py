@@ -26,7 +26,7 @@ PATTERNS = {
 }
 _HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _TERM = r"\p{L}{3,}+"
-_LINE_REACH = 400
+_REACH = 400  # code points from a value within which a word counts as next to it
 
 
 def _digits(value: Column) -> Column:
@@ -77,12 +77,18 @@ def _terms(text: Column) -> Column:
     return matches(F.lower(text), F.lit(_TERM))
 
 
-def _near(text: Column, span: Column, words: int) -> Column:
-    """Terms up to ``words`` before and after a span, on its line."""
-    first = F.greatest(span["start"] - _LINE_REACH, F.lit(0))
-    before = F.substring_index(F.substring(text, first + 1, span["start"] - first), "\n", -1)
-    after = F.substring_index(F.substring(text, span["end"] + 1, F.lit(_LINE_REACH)), "\n", 1)
-    left, right = _terms(before), _terms(after)
+def _near(text: Column, span: Column, words: int, reach: int) -> Column:
+    """Terms up to ``words`` before and after a span, on its line and wholly within ``reach``.
+
+    One code point more is read on each side: letters at that edge belong to a
+    word that reaches beyond it, or are one too far.
+    """
+    first = F.greatest(span["start"] - (reach + 1), F.lit(0))
+    before = F.substring(text, first + 1, span["start"] - first)
+    before = F.when(span["start"] > reach, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
+    after = F.substring(text, span["end"] + 1, F.lit(reach + 1))
+    after = F.when(F.length(after) > reach, F.regexp_replace(after, r"\p{L}++\z", "")).otherwise(after)
+    left, right = _terms(F.substring_index(before, "\n", -1)), _terms(F.substring_index(after, "\n", 1))
     size = F.least(F.size(left), F.lit(words))
     nearest = F.when(size > 0, F.slice(left, -size, size)).otherwise(left)
     return F.array_distinct(F.concat(nearest, F.slice(right, 1, words)))
@@ -150,7 +156,9 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limi
     ``base_sha256``, ``n_term``, ``spans`` and ``sanitised``.
 
     ``spans`` lists kind:start:end (code points, end exclusive) by kind, the
-    four first and ``term`` last, then start. ``sanitised`` is the text with
+    four first and ``term`` last, then start. Words next to a value are the
+    ``words`` (5) on either side of it, on its line and within ``reach`` (400)
+    code points. ``sanitised`` is the text with
     every span generalised to its kind in brackets, NULL where nothing was
     found. A term counts where it occurs as a whole run of letters in a row
     that holds the entity it discloses, outside the other spans.
@@ -174,10 +182,10 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limi
         "disclosure-found",
     )
     with_spans = held.where("doc IS NOT NULL")
-    words = limits.pop("words", 5)
+    words, reach = limits.pop("words", 5), limits.pop("reach", _REACH)
     near = stored(
         with_spans.select("doc", "copy", "text", F.explode(all_spans).alias("s")).select(
-            "doc", "copy", F.col("s.entity").alias("entity"), _near(F.col("text"), F.col("s"), words).alias("near")
+            "doc", "copy", F.col("s.entity").alias("entity"), _near(F.col("text"), F.col("s"), words, reach).alias("near")
         ),
         "disclosure-near",
     )

@@ -280,6 +280,14 @@ def test_disclosing_terms(spark, odd, empty):
     assert disclosure.sanitise(empty).count() == 0
 
 
+def test_words_within_reach(spark):
+    """A word counts if it lies wholly within reach; no part of a longer one does."""
+    rows = [("Quint ab@c.de Essa", 6, 13), ("xQuint ab@c.de Essay", 7, 14), ("Quint\nab@c.de\nEssa", 6, 13), ("Essa, ab@c.de éssa", 6, 13), ("ab@c.de Essa \nx", 0, 7), ("ab@c.de, Essa\n", 0, 7)]
+    frame = spark.createDataFrame(rows, "text string, start int, end int")
+    got = frame.select(F.sort_array(disclosure._near(F.col("text"), F.struct("start", "end"), 5, 6))).collect()
+    assert [r[0] for r in got] == [["essa", "quint"], ["essay"], [], ["essa", "éssa"], ["essa"], ["essa"]]
+
+
 # --- secrets ------------------------------------------------------------------------
 
 
