@@ -8,11 +8,18 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+COMMITS = "number bigint"
+
 
 class TableStore:
     """Tables named ``schema.table`` or ``table``, one folder each.
 
-    A catalog is not needed; ``register`` makes the tables visible to SQL.
+    A table has two sides that take turns, and one small commit row for each
+    time it was written. A write goes to the side that is not live and the
+    commit, appended last, makes it so; a job that fails before leaves the
+    table as it was. A frame that was read stays valid through one further
+    write. A catalog is not needed; ``register`` makes the tables visible to
+    SQL.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -22,25 +29,34 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
+    def _written(self, name: str) -> int:
+        """How often a table was written."""
+        commits = self.spark.read.schema(COMMITS).json(f"{self.path(name)}/commits")
+        return commits.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
+
+    def _side(self, name: str, number: int) -> str:
+        return f"{self.path(name)}/{number % 2}"
+
     def replace(self, name: str, rows: DataFrame) -> DataFrame:
-        """Write a table anew and return it as stored. ``rows`` must not read the same table."""
-        rows.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(rows.schema).parquet(self.path(name))
+        """Write a table anew and return it as stored. ``rows`` may read the same table."""
+        number = self._written(name) + 1 if self.exists(name) else 1
+        rows.write.mode("overwrite").parquet(self._side(name, number))
+        self.spark.createDataFrame([(number,)], COMMITS).coalesce(1).write.mode("append").json(
+            f"{self.path(name)}/commits"
+        )
+        return self.spark.read.schema(rows.schema).parquet(self._side(name, number))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.parquet(self._side(name, self._written(name)))
 
-    def _find(self, name: str) -> DataFrame | None:
+    def exists(self, name: str) -> bool:
         try:
-            return self.read(name)
+            return self._written(name) > 0
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
             raise
 
-    def exists(self, name: str) -> bool:
-        return self._find(name) is not None
-
     def row_count(self, name: str) -> int:
         return self.read(name).count()
 

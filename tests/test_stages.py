@@ -65,6 +65,22 @@ def test_missing_files_are_skipped(spark, tmp_path):
     assert store.row_count("raw.projects") == 2
 
 
+def test_a_failed_write_keeps_the_table(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    assert not store.exists("raw.t")
+    broken = spark.range(5).selectExpr("if(id = 4, raise_error('broken'), id) AS id")
+    with pytest.raises(Exception, match="broken"):
+        store.replace("raw.t", broken).count()
+    assert not store.exists("raw.t")
+    for size in (3, 4):
+        before = store.replace("raw.t", spark.range(size))
+        with pytest.raises(Exception, match="broken"):
+            store.replace("raw.t", broken)
+        assert store.row_count("raw.t") == before.count() == size
+    assert store.replace("raw.t", store.read("raw.t").where("id > 0")).count() == 3
+    assert store.row_count("raw.t") == 3
+
+
 def test_catalog_helpers(spark):
     table(spark, "projects", {}).createOrReplaceTempView("some_projects")
     assert row_count(spark, "some_projects") == 1
