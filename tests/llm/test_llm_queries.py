@@ -7,6 +7,7 @@ import corpus_pipeline
 import pyarrow.parquet as pq
 import pytest
 from compare import connect, difference
+from test_llm_operators import plain_scores
 
 from plumbline.llm import mixing
 from plumbline.llm.oracle import LLM_SQL
@@ -43,6 +44,13 @@ def test_query_equals_plain_version(spark, documents, name, names, plain):
     assert rows(QUERIES[name](spark, FOLDER), *names) == Counter(plain(pairs))
 
 
+def test_backoff_of_order_3(spark, documents):
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op6_backoff_scores_order3"](spark, FOLDER).collect()}
+    want = dict(zip([r["doc_id"] for r in documents], plain_scores([r["text"] for r in documents], order=3)))
+    assert got.keys() == want.keys()
+    assert all((got[d] is None) == (s is None) and (s is None or abs(got[d] - s) < 2e-6) for d, s in want.items())
+
+
 @pytest.mark.parametrize("name", ["op3_secret_scan", "op7_disclosure", "op10_histogram_sort"])
 def test_native_plans(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
