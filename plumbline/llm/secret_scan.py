@@ -15,15 +15,31 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline.llm.located import located, matches
 from plumbline.llm.tables import row_hash, stored
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
-# Words before an assigned secret.
-KEYWORDS = r"(?i)(token|secret|password|passwd|pwd|api_?key|apikey|access_?key|private_?key|credential|auth|bearer)"
-ASSIGNED = KEYWORDS + r"\W{0,3}(?:=>|:=|[=:]|\s)\W{0,3}$"
+# Words before an assigned secret, beginnings of well-known tokens.
+_WORDS = r"(?:token|secret|password|passwd|pwd|api_?key|apikey|access_?key|private_?key|credential|auth|bearer)"
+KEYWORDS = f"(?i){_WORDS}"
+_ASSIGNS = _WORDS + r"(?:[_-]\w{1,12})?\W{0,3}(?:=>|:=|[=:])"
+ASSIGNED = rf"(?i)(?:{_ASSIGNS}|{_WORDS}\W{{0,3}}\s)\W{{0,3}}$"
+_BEGIN, _END = (rf"-----{side}\x20[A-Z0-9\x20]{{0,30}}PRIVATE\x20KEY(?:\x20BLOCK)?-----" for side in ("BEGIN", "END"))
+_LINES = r"(?:(?:\s|\\[nr]){1,8}(?:[A-Za-z0-9+/]{16,}+={0,2}|[A-Z][A-Za-z-]{2,20}:\x20[^\r\n]{0,80})){0,200}"
+_BLOCK = rf"{_BEGIN}(?:[A-Za-z0-9+/=\s:,.()\\-]{{0,8192}}?{_END}|{_LINES})"
+_RUN, _PADDING = "[A-Za-z0-9+/_-]", r"(?:={1,2}+(?![A-Za-z0-9+/_=-]))?"
+_MARKS = "+/_=-.@!#$%^*~?:"
+_FREE = "[A-Za-z0-9+/_@!#$%^*~-]"
+# The first lookbehind is cheap and fails at nearly every place.
+_VALUE = rf"(?<=[=:]>?[\s\"'`]{{0,3}})(?<=(?i:{_ASSIGNS})[\s\"'`]{{0,3}}){_FREE}(?:{_FREE}|[.?:](?={_FREE})){{3,}}+{_PADDING}"
+# A key block, the value assigned to a keyword, or a long run; "=" only ends one.
+CANDIDATE = rf"{_BLOCK}|{_VALUE}|{_RUN}{{20,}}+{_PADDING}"
+KNOWN = (
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36}|github_pat_\w{22}"
+    r"|glpat-[\w-]{20}|xox[abprs]-[A-Za-z0-9-]{10}|[sr]k_(?:live|test)_[A-Za-z0-9]{16}|AIza[\w-]{35}|npm_[A-Za-z0-9]{36})"
+    r"|^-----BEGIN"
+)
 _BEFORE, _AFTER = 48, 24
 _TERM = r"[a-z]{3,}+"
 FEATURES = [
     "length", "digits", "uppers", "marks", "switches", "transition", "coverage",
-    "keyword", "assigned", "quoted", "path_rate", "word_rate",
+    "keyword", "assigned", "quoted", "known", "path_rate", "word_rate",
 ]
 
 
@@ -97,8 +113,8 @@ def _value_features(found: DataFrame, model: CorpusModel) -> DataFrame:
     )
     kinds = F.translate(
         "value",
-        "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-",
-        "a" * 26 + "A" * 26 + "0" * 10 + "-" * 5,
+        "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + _MARKS,
+        "a" * 26 + "A" * 26 + "0" * 10 + "-" * len(_MARKS),
     )
     count = lambda keep: F.length(F.regexp_replace(kinds, f"[^{keep}]", ""))
     squeezed = F.regexp_replace(kinds, r"(.)\1+", "$1")
@@ -127,6 +143,7 @@ def _context(found: DataFrame) -> DataFrame:
         flag(F.col("before").rlike(KEYWORDS)).alias("keyword"),
         flag(F.col("before").rlike(r"[=:]\W{0,3}$")).alias("assigned"),
         flag(F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")).alias("quoted"),
+        flag(F.col("value").rlike(KNOWN)).alias("known"),
         F.lower(F.regexp_extract("before", r"([A-Za-z_]+)\W*$", 1)).alias("word"),
     )
 
@@ -134,11 +151,12 @@ def _context(found: DataFrame) -> DataFrame:
 def labelled(found: DataFrame, most: int = 20_000) -> DataFrame:
     """Findings with a ``label``, as a stand-in for reviewed ones.
 
-    A string assigned to a keyword is a secret unless it is all letters.
+    A string assigned to a keyword is a secret unless it has no digit; so are
+    tokens of a known beginning and key blocks, wherever they stand.
     ``most`` findings, chosen by hash, bound the training; everything else
     covers all documents.
     """
-    secret = F.col("before").rlike(ASSIGNED) & F.col("value").rlike("[0-9]")
+    secret = F.col("before").rlike(ASSIGNED) & F.col("value").rlike("[0-9]") | F.col("value").rlike(KNOWN)
     return (
         found.withColumn("label", F.when(secret, 1.0).otherwise(0.0))
         .orderBy(F.xxhash64(F.lit(3), "value", "before"), "row", "start")
@@ -219,7 +237,8 @@ def scan(
 
     ``secret_spans`` lists start:end (code points, end exclusive) of candidates
     with a probability of ``at_least``, by start. ``findings`` are labelled
-    candidates to learn from; without them ``labelled`` derives some.
+    candidates to learn from; without them ``labelled`` derives some, and
+    ``KNOWN`` ones count whatever the forest says, as few may be in training.
 
     NULL and empty texts have no candidates, NULL paths count as one path.
     Rows equal in every column are each returned with the same findings.
@@ -228,6 +247,8 @@ def scan(
     found = stored(candidates(docs, text, path).distinct(), "secret-candidates")
     forest = train(labelled(found) if findings is None else findings, corpus_model(docs, text))
     secret = F.col("probability") >= at_least
+    if findings is None:
+        secret = secret | F.col("value").rlike(KNOWN)
     spans = F.sort_array(F.collect_list(F.when(secret, F.struct("start", "end"))))
     per_row = (
         judge(found, forest)
