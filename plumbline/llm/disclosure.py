@@ -4,7 +4,8 @@ Patterns find e-mail and IP addresses, card and phone numbers. Words that stand
 next to such a value in several texts are then weighed by information content:
 the pointwise mutual information of word and value tells how much of the value
 (its information content) the word discloses. Words above a threshold are
-personal data too where they occur with the value. DataFrame functions only.
+personal data too, where they occur with the value or wherever they occur.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ PATTERNS = {
 _HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _TERM = r"\p{L}{3,}+"
 _REACH = 400  # code points from a value within which a word counts as next to it
+_ROUND = 200_000  # terms broadcast at once
 
 
 def _digits(value: Column) -> Column:
@@ -77,8 +79,8 @@ def _terms(text: Column) -> Column:
     return matches(F.lower(text), F.lit(_TERM))
 
 
-def _near(text: Column, span: Column, words: int, reach: int) -> Column:
-    """Terms up to ``words`` before and after a span, on its line and wholly within ``reach``.
+def _near(text: Column, span: Column, words: int, reach: int, own_line: bool = True) -> Column:
+    """Terms up to ``words`` before and after a span, wholly within ``reach``, and on its line if ``own_line``.
 
     One code point more is read on each side: letters at that edge belong to a
     word that reaches beyond it, or are one too far.
@@ -88,7 +90,9 @@ def _near(text: Column, span: Column, words: int, reach: int) -> Column:
     before = F.when(span["start"] > reach, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
     after = F.substring(text, span["end"] + 1, F.lit(reach + 1))
     after = F.when(F.length(after) > reach, F.regexp_replace(after, r"\p{L}++\z", "")).otherwise(after)
-    left, right = _terms(F.substring_index(before, "\n", -1)), _terms(F.substring_index(after, "\n", 1))
+    if own_line:
+        before, after = F.substring_index(before, "\n", -1), F.substring_index(after, "\n", 1)
+    left, right = _terms(before), _terms(after)
     size = F.least(F.size(left), F.lit(words))
     nearest = F.when(size > 0, F.slice(left, -size, size)).otherwise(left)
     return F.array_distinct(F.concat(nearest, F.slice(right, 1, words)))
@@ -135,6 +139,22 @@ def disclosing(
     )
 
 
+def _terms_held(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """``doc`` and the ``terms`` among the words of its ``text``, where there are any.
+
+    The terms are broadcast in rounds, so that no word's documents gather in a task.
+    """
+    terms = stored(terms.distinct(), "disclosure-terms")
+    rounds = max(1, -(-terms.count() // _ROUND))
+    words = texts.select("doc", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
+    found = None
+    for turn in range(rounds):
+        some = terms.where(F.pmod(F.xxhash64("term"), F.lit(rounds)) == turn)
+        hits = words.join(F.broadcast(some), "term")
+        found = hits if found is None else found.union(hits)
+    return found.groupBy("doc").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+
+
 def _mask(text: Column, spans: Column) -> Column:
     """``text`` with each span replaced by its kind in brackets."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -151,17 +171,20 @@ def _mask(text: Column, spans: Column) -> Column:
     )
 
 
-def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
+def sanitise(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", everywhere: bool = False, **limits
+) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``,
     ``base_sha256``, ``n_term``, ``spans`` and ``sanitised``.
 
     ``spans`` lists kind:start:end (code points, end exclusive) by kind, the
     four first and ``term`` last, then start. Words next to a value are the
-    ``words`` (5) on either side of it, on its line and within ``reach`` (400)
-    code points. ``sanitised`` is the text with
+    ``words`` (5) on either side of it within ``reach`` (400) code points, on
+    any line unless ``own_line``. ``sanitised`` is the text with
     every span generalised to its kind in brackets, NULL where nothing was
-    found. A term counts where it occurs as a whole run of letters in a row
-    that holds the entity it discloses, outside the other spans.
+    found. A term counts where it occurs as a whole run of letters outside the
+    other spans: in every row if ``everywhere``, else in rows that hold the
+    entity it discloses.
 
     NULL and empty texts hold nothing. Repeated rows and ids are each
     returned; copies count as documents but not as support. Other columns are
@@ -176,29 +199,41 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limi
             "doc_id",
             *kinds,
             F.when(F.col("any"), F.col("text")).alias("text"),
-            F.when(F.col("any"), F.xxhash64("doc_id", "text")).alias("doc"),
+            "any",
+            F.xxhash64("doc_id", "text").alias("doc"),
             F.when(F.col("any"), F.xxhash64("text")).alias("copy"),
         ),
         "disclosure-found",
     )
-    with_spans = held.where("doc IS NOT NULL")
-    words, reach = limits.pop("words", 5), limits.pop("reach", _REACH)
+    with_spans = held.where("any")
+    words, reach, own_line = limits.pop("words", 5), limits.pop("reach", _REACH), limits.pop("own_line", False)
     near = stored(
         with_spans.select("doc", "copy", "text", F.explode(all_spans).alias("s")).select(
-            "doc", "copy", F.col("s.entity").alias("entity"), _near(F.col("text"), F.col("s"), words, reach).alias("near")
+            "doc", "copy", F.col("s.entity").alias("entity"), _near(F.col("text"), F.col("s"), words, reach, own_line).alias("near")
         ),
         "disclosure-near",
     )
-    texts = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    texts = docs.select(
+        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
+    ).withColumn("doc", F.xxhash64("doc_id", "text"))
     pairs = disclosing(near, texts, words, **limits)
-    terms = (
-        near.select("doc", "entity").distinct().join(pairs, "entity")
-        .groupBy("doc").agg(F.sort_array(F.collect_set("term")).alias("terms"))
-    )
+    without = held.where("NOT any")
+    if everywhere:
+        terms = stored(_terms_held(texts, pairs.select("term")), "disclosure-rows")
+        terms_alone = stored(terms.join(with_spans.select("doc"), "doc", "left_anti"), "disclosure-alone")
+        alone = texts.join(terms_alone, "doc").select("doc_id", *[no_spans().alias(k) for k in kinds], "text", "doc", "terms")
+        rest = without.join(terms_alone, "doc", "left_anti")
+    else:
+        terms = (
+            near.select("doc", "entity").distinct().join(pairs, "entity")
+            .groupBy("doc").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+        )
+        alone, rest = None, without
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
     base = F.concat(*[F.transform(k, lambda s: F.struct(s["start"], s["end"])) for k in kinds])
+    spanned = with_spans.join(terms, "doc", "left").select("doc_id", *kinds, "text", "doc", "terms")
     clear = (
-        with_spans.join(terms, "doc", "left")
+        (spanned if alone is None else spanned.union(alone))
         .withColumn("pattern", pattern)
         .withColumn("m_term", F.when(F.col("terms").isNotNull(), matches(F.col("text"), F.col("pattern"))))
         .withColumn("base", base)
@@ -214,7 +249,7 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limi
         )
         .select("doc_id", *kinds, "text", "term")
     )
-    rest = held.where("doc IS NULL").select("doc_id", *kinds, "text", no_spans().alias("term"))
+    rest = rest.select("doc_id", *kinds, "text", no_spans().alias("term"))
     listed = F.flatten(F.array(*[written(k, F.col(k)) for k in kinds]))
     masked = F.flatten(F.array(*[_kinds(k) for k in [*kinds, "term"]]))
     return clear.union(rest).select(

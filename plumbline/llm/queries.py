@@ -66,7 +66,7 @@ def op6_backoff_scores_order3(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_disclosure(spark: SparkSession, folder: str) -> DataFrame:
-    return disclosure.sanitise(table(spark, folder, "documents")).drop("sanitised")
+    return disclosure.sanitise(table(spark, folder, "documents"), everywhere=True).drop("sanitised")
 
 
 def op8_licences(spark: SparkSession, folder: str) -> DataFrame:

@@ -280,6 +280,26 @@ def test_disclosing_terms(spark, odd, empty):
     assert disclosure.sanitise(empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [200_000, 1])
+def test_disclosing_terms_everywhere(spark, odd, empty, most, monkeypatch):
+    """Names go in rows without the value too, and a name on the line above its value counts."""
+    monkeypatch.setattr(disclosure, "_ROUND", most)
+    rows = [(i, f"{'x' * i} Zylinski Marek\njane@corp.org") for i in range(1, 12)]
+    rows += [(50, "Zylinski alone; zylinskis"), (50, "Zylinski alone; zylinskis"), (51, "Zylinski wrote bob7@corp.org")]
+    rows += [(100 + i, f"about today and ask bob{i}@corp.org or about it") for i in range(200)]
+    rows += [(500, "nothing"), (None, "of Marek"), (501, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = disclosure.sanitise(frame, everywhere=True).collect()
+    by = {r["doc_id"]: r for r in got}
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    assert by[2]["sanitised"] == "xx [term] [term]\n[email]"
+    assert [r["sanitised"] for r in got if r["doc_id"] == 50] == ["[term] alone; zylinskis"] * 2
+    assert (by[50]["spans"], by[50]["n_email"], by[51]["sanitised"]) == ("term:0:8", 0, "[term] wrote [email]")
+    assert by[None]["sanitised"] == "of [term]" and by[500]["sanitised"] is None and by[150]["n_term"] == 0
+    assert disclosure.sanitise(odd, everywhere=True).count() == odd.count()
+    assert disclosure.sanitise(empty, everywhere=True).count() == 0
+
+
 def test_words_within_reach(spark):
     """A word counts if it lies wholly within reach; no part of a longer one does."""
     rows = [("Quint ab@c.de Essa", 6, 13), ("xQuint ab@c.de Essay", 7, 14), ("Quint\nab@c.de\nEssa", 6, 13), ("Essa, ab@c.de éssa", 6, 13), ("ab@c.de Essa \nx", 0, 7), ("ab@c.de, Essa\n", 0, 7)]
