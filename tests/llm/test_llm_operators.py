@@ -383,6 +383,40 @@ def test_licences(spark, odd, empty):
     assert licences.scan(empty).count() == 0
 
 
+def test_licence_notices(spark):
+    gpl = "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the Free Software Foundation; {2}. This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"
+    later = "either version {} of the License, or (at your option) any later version"
+    texts = {
+        "Licensed under the MIT License.": "MIT-notice",
+        "# SPDX-License-Identifier: GPL-2.0-or-later\nint x;": "GPL-2.0-or-later-notice",
+        "// SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause-notice",
+        "SPDX-License-Identifier: MIT": "MIT-notice",
+        "licensed under the GNU General Public License version 2": "GPL-2.0-notice",
+        "this work is licensed under the GNU General Public License, version 3": "GPL-3.0-notice",
+        "released under the GPLv3 or later": "GPL-3.0-or-later-notice",
+        gpl.format("program", "", later.format(2)): "GPL-2.0-or-later",
+        gpl.format("program", "", later.format(3)): "GPL-3.0-or-later",
+        gpl.format("program", "", "version 2 of the License"): "GPL-2.0-only",
+        gpl.format("library", "Lesser ", later.format("2.1")): "LGPL-2.1-or-later",
+        gpl.format("program", "Affero ", later.format(3)): "AGPL-3.0-or-later",
+        gpl.format("program", "", "see the file COPYING"): "GPL-header",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0-notice",
+        "made available under the terms of the Eclipse Public License 2.0": "EPL-2.0-notice",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0-notice",
+        "under a Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0-notice",
+        "licensed under CC BY 4.0": "CC-BY-4.0-notice",
+        "https://creativecommons.org/licenses/by-nc-nd/3.0/": "CC-BY-NC-ND-3.0-notice",
+        "licensed under CC0 1.0 Universal": "CC0-1.0-notice",
+        "Licensed under the Apache License 2.0": "Apache-2.0-notice",
+        "Permission is granted to anyone to use this software for any purpose. Altered source versions must be plainly marked as such": "Zlib",
+        "under the terms of the contract, version 2 of the license plate": "",
+    }
+    got = dict(licences.scan(spark.createDataFrame(list(zip(texts, texts)), "doc_id string, text string")).select("doc_id", "licences").collect())
+    assert got == texts
+
+
+
 # --- similarity join ----------------------------------------------------------------
 
 
