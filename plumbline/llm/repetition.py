@@ -58,6 +58,22 @@ def _repeated_windows(words: np.ndarray, firsts: np.ndarray, size: int) -> np.nd
     return np.sort(places[order][again])
 
 
+def _window_ranks(words: np.ndarray, firsts: np.ndarray, places: np.ndarray, text: np.ndarray, size: int) -> np.ndarray:
+    """Ranks of ``places`` by text, then by each of their next ``size`` words; a text's end comes first."""
+    last = firsts[1:][text]
+    keys = [text.astype(np.uint64)]
+    for ahead in range(size):
+        at = places + ahead
+        keys.append(np.where(at < last, words[np.minimum(at, len(words) - 1)], np.uint64(0)))
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(places), dtype=bool)
+    for key in keys:
+        new[1:] |= key[order][1:] != key[order][:-1]
+    rank = np.empty(len(places), dtype=np.int64)
+    rank[order] = np.cumsum(new)
+    return rank
+
+
 def longest_repeats(words: np.ndarray, firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes that share at least ``size`` words with another of the same text.
 
@@ -65,38 +81,39 @@ def longest_repeats(words: np.ndarray, firsts: np.ndarray, size: int) -> tuple[n
     occurs elsewhere in its text: the larger of the longest common prefixes
     with both neighbours in the suffix array. The array holds only suffixes
     whose first ``size`` words repeat, as no other one has a neighbour within
-    an interval of that length. It is sorted by prefix doubling: ``level[k]``
-    ranks the suffixes by their first ``size * 2**k`` words.
+    an interval of that length, and what follows their windows, as the words
+    there still order the suffixes before them. It is sorted by prefix
+    doubling: ``level[k]`` ranks the suffixes by their first ``size * 2**k``
+    words, word by word in the order of their hashes.
     """
     places = _repeated_windows(words, firsts, size)
     if not len(places):
         return places, places
-    text = packed.owners(firsts)[places]
-    window = packed.window_hashes(words, size)[places]
-    _, rank = np.unique(np.stack([text.astype(np.uint64), window], axis=1), axis=0, return_inverse=True)
-    levels = [rank.reshape(-1).astype(np.int64)]
+    text_of = packed.owners(firsts)
+    text = text_of[places]
+    every = np.union1d(places, places[places + size < firsts[1:][text]] + size)
+    levels = [_window_ranks(words, firsts, every, text_of[every], size)]
     reach = size
     while True:
         rank = levels[-1]
-        if int(rank.max()) + 1 == len(places):
+        if int(rank.max()) + 1 == len(every):
             break
-        follower = np.searchsorted(places, places + reach)
-        found = (follower < len(places)) & (places[np.minimum(follower, len(places) - 1)] == places + reach)
-        found &= text[np.minimum(follower, len(places) - 1)] == text
-        # A suffix whose continuation does not repeat is alone from here on.
-        second = np.where(found, rank[np.minimum(follower, len(places) - 1)], -1 - np.arange(len(places)))
-        _, joint = np.unique(np.stack([rank, second], axis=1), axis=0, return_inverse=True)
+        # Suffixes that share all words so far are followed by one of ``every`` or the text's end.
+        follower = np.minimum(np.searchsorted(every, every + reach), len(every) - 1)
+        found = (every[follower] == every + reach) & (text_of[every[follower]] == text_of[every])
+        second = np.where(found, rank[follower] + 1, 0)
+        _, joint = np.unique(rank * (len(every) + 1) + second, return_inverse=True)
         levels.append(joint.reshape(-1).astype(np.int64))
         reach *= 2
-    order = np.argsort(levels[-1], kind="stable")
+    order = np.argsort(levels[-1][np.searchsorted(every, places)], kind="stable")
     a, b = places[order][:-1].copy(), places[order][1:].copy()
     last = firsts[1:][text[order]]
     same_text = text[order][1:] == text[order][:-1]
     common = np.zeros(len(a), dtype=np.int64)
     for depth in range(len(levels) - 1, -1, -1):
-        x, y = np.searchsorted(places, a + common), np.searchsorted(places, b + common)
-        x, y = np.minimum(x, len(places) - 1), np.minimum(y, len(places) - 1)
-        equal = same_text & (places[x] == a + common) & (places[y] == b + common)
+        x, y = np.searchsorted(every, a + common), np.searchsorted(every, b + common)
+        x, y = np.minimum(x, len(every) - 1), np.minimum(y, len(every) - 1)
+        equal = same_text & (every[x] == a + common) & (every[y] == b + common)
         equal &= levels[depth][x] == levels[depth][y]
         common = np.where(equal, common + size * 2**depth, common)
     # Fewer than ``size`` words are left to compare one by one.

@@ -166,6 +166,42 @@ def test_longest_repeat_overlaps_itself():
     assert lengths.max() == 18 and places.tolist() == list(range(13))
 
 
+def test_longest_repeat_passes_over_a_shorter_one(spark):
+    """Three occurrences, the middle one shorter: A and C share 103 words, B the first 100 of them."""
+    shared = [f"s{i}" for i in range(103)]
+    fill = iter(f"u{i}" for i in range(2000))
+    text = []
+    for take in (103, 100, 103):
+        text += [next(fill) for _ in range(200)] + shared[:take]
+    text += [next(fill) for _ in range(1100 - len(text))]
+    got = repetition.assess(spark.createDataFrame([(1, " ".join(text))], "doc_id bigint, text string")).first()
+    assert (got["n_words"], got["longest_repeat"], got["base_failed"], got["kept"]) == (1100, 103, False, False)
+
+
+def test_longest_repeats_at_every_place():
+    rng = np.random.default_rng(7)
+    for turn in range(40):
+        texts = [rng.integers(1, 3 + turn % 4, rng.integers(0, 150)) for _ in range(3)]
+        block = rng.integers(1, 9, 45)
+        texts.append(np.concatenate([x for k in rng.integers(5, 46, 8) for x in (rng.integers(1, 9, 5), block[:k])]))
+        firsts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        words = packed.mix64(np.concatenate(texts).astype(np.uint64))
+        places, lengths = repetition.longest_repeats(words, firsts, 8)
+        want = {}
+        for first, t in zip(firsts, texts):
+            t = t.tolist()
+            for i in range(len(t)):
+                best = 0
+                for j in range(len(t)):
+                    n = 0
+                    while i != j and max(i, j) + n < len(t) and t[i + n] == t[j + n]:
+                        n += 1
+                    best = max(best, n)
+                if best >= 8:
+                    want[int(first) + i] = best
+        assert dict(zip(places.tolist(), lengths.tolist())) == want
+
+
 # --- long repeats -------------------------------------------------------------------
 
 
