@@ -12,6 +12,7 @@ the rest is verified on the sets themselves.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -126,10 +127,10 @@ def cell_keys(values: np.ndarray, firsts: np.ndarray, percent: int = PERCENT) ->
     return np.concatenate(keys), np.concatenate(sets)
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in packed.chunks(whole, "text"):
-            values, firsts = shingle_sets(batch.column("text"))
+            values, firsts = shingle_sets(batch.column("text"), size)
             counts = np.diff(firsts)
             names = pa.array(set_hashes(values, firsts), mask=counts == 0)
             yield pa.RecordBatch.from_arrays(
@@ -138,7 +139,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cells(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Cells of each set. Where sets of a batch meet in one, it is ``shared``.
 
     Then one of them stands for the batch in part 0, which finds out if other
@@ -147,9 +148,9 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()  # sets already sent by this task: copies add nothing
     for whole in batches:
         for batch in packed.chunks(whole, "text"):
-            values, firsts = shingle_sets(batch.column("text"))
+            values, firsts = shingle_sets(batch.column("text"), size)
             names = set_hashes(values, firsts)
-            keys, sets = cell_keys(values, firsts)
+            keys, sets = cell_keys(values, firsts, percent)
             new = np.array([not (name in seen or seen.add(name)) for name in names.tolist()], dtype=bool)
             if len(seen) > 2_000_000:
                 seen.clear()
@@ -166,10 +167,10 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in packed.chunks(whole, "text"):
-            values, firsts = shingle_sets(batch.column("text"))
+            values, firsts = shingle_sets(batch.column("text"), size)
             flat = values.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("cls"), pa.array([flat[8 * a : 8 * b] for a, b in zip(firsts, firsts[1:])], pa.binary())],
@@ -184,11 +185,11 @@ def _folded(sketch: bytes, width: int) -> np.ndarray:
     return bits
 
 
-def _may_link(sizes_a, sizes_b, distance) -> np.ndarray:
-    return distance <= most_different(sizes_a + sizes_b)
+def _may_link(sizes_a, sizes_b, distance, percent: int) -> np.ndarray:
+    return distance <= most_different(sizes_a + sizes_b, percent)
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _near(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches leave a link possible."""
     for batch in batches:
         sizes = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb")]
@@ -197,11 +198,11 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for place, (x, y) in enumerate(zip(left, right)):
             width = min(len(x), len(y)) // 8
             distance[place] = np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum()
-        close = _may_link(*sizes, distance)
+        close = _may_link(*sizes, distance, percent)
         yield batch.select(["a", "b"]).filter(pa.array(close))
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose sets are similar, with the size of their intersection."""
     for batch in batches:
         left, right = batch.column("ma").to_pylist(), batch.column("mb").to_pylist()
@@ -211,7 +212,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.concatenate([x, y])
             both.sort()
             common = int((both[1:] == both[:-1]).sum())
-            linked.append(100 * common >= PERCENT * (len(x) + len(y) - common))
+            linked.append(100 * common >= percent * (len(x) + len(y) - common))
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
@@ -231,7 +232,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray
         yield rest.to_pydict()
 
 
-def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _apart(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of one cell in different components whose sketches leave a link possible."""
     for group in _groups(batches):
         width = min(len(s) for s in group["sketch"]) // 8
@@ -244,7 +245,7 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             open_ = (label[rest] != label[place]) & ((group["i"][0] == group["j"][0]) | (block[rest] != block[place]))
             at = np.flatnonzero(open_) + place + 1
             distance = np.bitwise_count(bits[at] ^ bits[place]).sum(axis=1, dtype=np.int64)
-            at = at[_may_link(size[at], size[place], distance)]
+            at = at[_may_link(size[at], size[place], distance, percent)]
             a.append(np.full(len(at), names[place]))
             b.append(names[at])
         if a and sum(map(len, a)):
@@ -254,15 +255,17 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _links(pairs: DataFrame, members: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     left = members.select(F.col("cls").alias("a"), F.col("members").alias("ma"))
     right = members.select(F.col("cls").alias("b"), F.col("members").alias("mb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(
-        _verified, "a bigint, b bigint"
+        partial(_verified, percent=percent), "a bigint, b bigint"
     )
 
 
-def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _classes(
+    docs: DataFrame, doc_id: str, text: str, size: int = SHINGLE, percent: int = PERCENT
+) -> tuple[DataFrame, DataFrame]:
     """Rows (row, doc_id, n, cls) and the label of every class that is linked to another.
 
     Rows with equal shingle sets are one class and linked. Of the classes that
@@ -281,7 +284,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     id_type = rows.schema["doc_id"].dataType.simpleString()
     described = stored(
         rows.select("row", "doc_id", "text")
-        .mapInArrow(_describe, f"row bigint, doc_id {id_type}, n bigint, cls bigint, sketch binary"),
+        .mapInArrow(partial(_describe, size=size), f"row bigint, doc_id {id_type}, n bigint, cls bigint, sketch binary"),
         "parity-rows",
     )
     info = described.where("cls IS NOT NULL").groupBy("cls").agg(
@@ -292,7 +295,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     in_part = Window.partitionBy("h", "part")
     cells = stored(
         rows.select("text")
-        .mapInArrow(_cells, "h bigint, cls bigint, part smallint, shared boolean")
+        .mapInArrow(partial(_cells, size=size, percent=percent), "h bigint, cls bigint, part smallint, shared boolean")
         .withColumns(
             {
                 "least": F.min("cls").over(in_part),
@@ -310,7 +313,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
         left = info.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         right = info.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
         return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(
-            _near, "a bigint, b bigint"
+            partial(_near, percent=percent), "a bigint, b bigint"
         )
 
     def members(pairs: DataFrame) -> DataFrame:
@@ -318,7 +321,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
         chosen = wanted.join(info, "cls").select("cls", F.col("row").alias("of"), F.col("doc_id").alias("id"))
         texts = rows.join(chosen, _same_row("row", "doc_id", "of", "id")).dropDuplicates(["cls"])
         return stored(
-            texts.select("cls", "text").mapInArrow(_sets, "cls bigint, members binary"), "parity-sets"
+            texts.select("cls", "text").mapInArrow(partial(_sets, size=size), "cls bigint, members binary"), "parity-sets"
         )
 
     def open_cells(labels: DataFrame | None, seed: int) -> DataFrame:
@@ -349,7 +352,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
             F.least("cls", "centre.cls").alias("a"), F.greatest("cls", "centre.cls").alias("b")
         ).distinct()
         pairs = stored(near(pairs), "parity-stars")
-        found = stored(_links(pairs, members(pairs)), "parity-links")
+        found = stored(_links(pairs, members(pairs), percent), "parity-links")
         links = found if links is None else links.union(found)
         labels = components(links)
 
@@ -367,11 +370,11 @@ def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     apart = stored(
         split.repartition("h", "i", "j")
         .sortWithinPartitions("h", "i", "j")
-        .mapInArrow(_apart, "a bigint, b bigint")
+        .mapInArrow(partial(_apart, percent=percent), "a bigint, b bigint")
         .distinct(),
         "parity-apart",
     )
-    more = stored(_links(apart, members(apart)), "parity-links")
+    more = stored(_links(apart, members(apart), percent), "parity-links")
     labels = components(links.union(more)).withColumnRenamed("node", "cls")
     return described.drop("sketch"), labels
 
@@ -406,15 +409,20 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """One row per component: the one with the least id. Rows without words all stay.
 
+    Two rows are linked whose sets of ``size`` words have a Jaccard of at least
+    ``percent``.
+
     Components are told apart by their texts: rows of different components
     stay although their ids are equal or NULL. A NULL id comes after all
     others. Among rows with the least id, the least by a hash of id and text
     stays, and of rows equal in both the least by a hash of all columns.
     """
-    described, labels = _classes(docs, doc_id, text)
+    described, labels = _classes(docs, doc_id, text, size, percent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
     per_class = described.where("cls IS NOT NULL").groupBy("cls").agg(first)
     kept = (

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import brute
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -503,6 +504,16 @@ def test_keep_one_tells_components_by_text(spark):
     assert parity_join.keep_one(named).count() == len(want)
 
 
+def test_pipeline_links_at_five_words_and_80_percent(spark):
+    """One word of 50 replaced: Jaccard 41 / 51 by five words, 43 / 51 by four."""
+    text = [f"w{i}" for i in range(50)]
+    rows = [(1, " ".join(text)), (2, " ".join(text[:25] + ["other"] + text[26:])), (3, " ".join(f"v{i}" for i in range(50)))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in parity_join.keep_one(frame).collect()) == [1, 2, 3]
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert sorted(r["doc_id"] for r in stage(spark, frame, "").collect()) == [1, 3]
+
+
 def test_cells_find_every_pair():
     """Random pairs at the threshold always share a cell, in one band or in two."""
     rng = np.random.default_rng(3)
