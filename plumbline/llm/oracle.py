@@ -92,3 +92,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b, 0) AS BIGINT)
 FROM words LEFT JOIN scored USING (doc_id)"""
 
 LLM_SQL |= {"op5_repetition": REPETITION, "op6_backoff_scores": BACKOFF}
+
+LEXICAL = rf"""
+WITH held AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM documents),
+docs AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM held WHERE len(w) > 0),
+corpus AS (SELECT count(*) AS total, CAST(sum(n) AS BIGINT) AS length FROM docs),
+items AS (
+    SELECT item_id, i, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w
+    FROM (SELECT item_id, text, row_number() OVER () AS i FROM (SELECT DISTINCT item_id, text FROM benchmark))),
+item_terms AS (SELECT i, item_id, unnest(w) AS term FROM items),
+item_counts AS (SELECT i, item_id, term, count(*) AS q FROM item_terms GROUP BY ALL),
+doc_terms AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs)
+    WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL),
+holders AS (SELECT term, count(*) AS df FROM doc_terms GROUP BY term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * total + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM holders, corpus),
+impacts AS (
+    SELECT r, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * total) // length)) AS impact
+    FROM doc_terms JOIN docs USING (r), corpus),
+scores AS (
+    SELECT i, item_id, r, doc_id, CAST(sum(q * weight * impact) AS BIGINT) AS score
+    FROM item_counts JOIN weights USING (term) JOIN impacts USING (term) JOIN docs USING (r) GROUP BY ALL),
+ranked AS (
+    SELECT item_id, doc_id, score,
+        row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank
+    FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+LLM_SQL["op11_lexical_search"] = LEXICAL

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.llm import (
     backoff,
+    byte_bpe,
     decontaminate,
     disclosure,
     histogram_sort,
+    importance,
+    lexical_search,
     licences,
     mixing,
     parity_join,
@@ -91,6 +94,31 @@ def op10_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, table(spark, folder, "benchmark"))
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    tokens = byte_bpe.encode(docs, ranks, packed_ids=True, keep_text=False)
+    return byte_bpe.decode(tokens, ranks).select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = importance.score(docs, table(spark, folder, "benchmark"), keep=["doc_id"])
+    return importance.resample(scored).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
@@ -103,4 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_parity_join": op9_parity_join,
     "op10_histogram_sort": op10_histogram_sort,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_importance": op13_importance,
 }

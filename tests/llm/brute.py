@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -172,3 +173,72 @@ def personal(docs):
         ]
         out.append((doc, *map(len, found), sha(",".join(x for f in found for x in f))))
     return out
+
+
+# --- lexical search, tokens, importance ------------------------------------------
+
+
+def search(docs, items, k=10):
+    """(item_id, rank, doc_id, score) for items that are all different."""
+    held = [(doc, bench_words(text)) for doc, text in docs]
+    held = [(doc, Counter(words), len(words)) for doc, words in held if words]
+    total, length = len(held), sum(n for _, _, n in held)
+    df = Counter(term for _, counts, _ in held for term in counts)
+    out = []
+    for item, text in items:
+        found = []
+        for doc, counts, n in held:
+            m = 100 - 75 + 75 * n * total // length
+            score = 0
+            for term in bench_words(text):
+                if tf := counts[term]:
+                    w = math.floor(1000 * math.log((2 * total + 2) / (2 * df[term] + 1)))
+                    score += w * (10**9 * tf // (1000 * tf + 8 * m))
+            if score > 0:
+                found.append((-score, doc is None, doc or 0, doc))
+        for rank, (score, _, _, doc) in enumerate(sorted(found, key=lambda f: f[:3])[:k], 1):
+            out.append((item, rank, doc, -score))
+    return out
+
+
+def tokens(docs, path, pattern):
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) by the tokenizer library."""
+    import base64
+
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    coder = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    out = []
+    for doc, text in docs:
+        ids = coder.encode_ordinary(text or "")
+        out.append((doc, len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha(text or "")))
+    return out
+
+
+def grams(text):
+    words = bench_words(text)
+    return [" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+
+
+def importance(docs, targets, buckets=10_000, percent=5):
+    """(doc_id, n_features, weight, score, rank); NULL ids count as empty and come last."""
+
+    def placed(text):
+        return [zlib.crc32(g.encode()) % buckets for g in grams(text)]
+
+    corpus = Counter(b for _, text in docs for b in placed(text))
+    target = Counter(b for text in targets for b in placed(text))
+    s, t = sum(corpus.values()), sum(target.values())
+    rows = []
+    for doc, text in docs:
+        found = placed(text)
+        weight = sum(
+            math.floor(1000 * math.log((target[b] + 1) * (s + buckets) / ((corpus[b] + 1) * (t + buckets)))) for b in found
+        )
+        h = int(sha(f"42:{'' if doc is None else doc}")[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append((doc, len(found), weight, score, len(bench_words(text))))
+    may = sorted((r for r in rows if r[4] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    drawn = percent * len(may) // 100
+    return [(*r[:4], i if i <= drawn else None) for i, r in enumerate(may, 1)] + [(*r[:4], None) for r in rows if r[4] < 20]
