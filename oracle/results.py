@@ -256,6 +256,29 @@ _SUMMARY = [
         FROM ({_CHECK_ROWS}) WHERE "check" = 'all'""",
 ]
 
+# --- loads with lines that do not fit -------------------------------------------------
+
+_CODE_NUMBER = "CAST(substr(cost_code, 2) AS BIGINT)"
+_BAD_PRICE, _BAD_DATE = f"{_CODE_NUMBER} % 7 = 0", f"{_CODE_NUMBER} % 11 = 0"
+_BAD_LINES = {
+    "projects": "project_id % 13 = 0",
+    "cost_library": f"({_BAD_PRICE} OR {_BAD_DATE})",
+    "takeoff_items": "page_id % 17 = 0",
+}
+_DAMAGED_AUDIT = _all(
+    [
+        f"""SELECT '{name}' AS table_name, count(*) FILTER (NOT {bad}) AS row_count,
+            CAST(1 AS BIGINT) AS tables_loaded, count(*) FILTER ({bad}) AS rejected_rows FROM raw_{name}"""
+        for name, bad in _BAD_LINES.items()
+    ]
+)
+_REASONS = [
+    ("projects", "wrong number of fields", _BAD_LINES["projects"]),
+    ("cost_library", "unit_cost_mid is no double", _BAD_PRICE),
+    ("cost_library", "last_updated is no date", _BAD_DATE),
+    ("takeoff_items", "quantity is no double", _BAD_LINES["takeoff_items"]),
+]
+
 # --- all results -----------------------------------------------------------------------
 
 RESULTS: dict[str, str] = {
@@ -442,4 +465,22 @@ RESULTS: dict[str, str] = {
             + f"), {len(RAW_TABLES)}"
         ]
     ),
+    "table_inventory": _all(
+        [
+            f"SELECT 'raw.{name}' AS table_name, true AS table_exists, count(*) AS row_count FROM raw_{name}"
+            for name in RAW_TABLES
+        ]
+        + ["SELECT 'raw.change_orders', false, NULL"]
+    ),
+    "load_audit_damaged": f"""
+        SELECT * FROM ({_DAMAGED_AUDIT}) UNION ALL
+        SELECT 'total', CAST(sum(row_count) AS BIGINT), count(*), CAST(sum(rejected_rows) AS BIGINT)
+        FROM ({_DAMAGED_AUDIT})""",
+    "load_reject_reasons": _all(
+        [
+            f"SELECT '{name}' AS table_name, '{reason}' AS reason, count(*) AS rows FROM raw_{name} WHERE {bad} HAVING count(*) > 0"
+            for name, reason, bad in _REASONS
+        ]
+    ),
+    "damaged_cost_library": _whole_table("raw_cost_library") + f" WHERE NOT {_BAD_LINES['cost_library']}",
 }

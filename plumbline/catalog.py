@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,6 +11,7 @@ from plumbline.plans import dashboards, marts, quality, reports, rollups, snapsh
 from plumbline.schemas import RAW_TABLES
 from plumbline.session import scratch_folder, tuned
 from plumbline.sources import raw_csv
+from plumbline.sources.damaged import DAMAGED
 from plumbline.sources.driver_tables import RUN_TIMES, DisputedTables, DriverTables
 from plumbline.sources.tables import TableStore, column_audit
 
@@ -134,7 +135,33 @@ def _load(w: Warehouse) -> tuple[TableStore, DataFrame]:
 def _loaded_columns(w: Warehouse) -> DataFrame:
     """Rows and values per column of the tables as loaded."""
     store, _ = _load(w)
-    return column_audit({name: store.read(f"raw.{name}") for name in RAW_TABLES})
+    return column_audit({name: stages.raw_table(store, name) for name in RAW_TABLES})
+
+
+def _inventory(w: Warehouse) -> DataFrame:
+    """The raw tables as loaded, and one that no load makes."""
+    store, _ = _load(w)
+    return store.inventory([*(f"raw.{name}" for name in RAW_TABLES), "raw.change_orders"])
+
+
+def _load_damaged(w: Warehouse) -> TableStore:
+    """Three raw tables through CSV with lines that do not fit, into storage."""
+    folder = scratch_folder(w.spark, "damaged")
+    for name, damage in DAMAGED.items():
+        raw_csv.write_lines(damage(w.raw_table(name)), f"{folder}/csv", name)
+    store = TableStore(w.spark, f"{folder}/tables")
+    stages.load(w.spark, f"{folder}/csv", store, KEY_TYPES)
+    return store
+
+
+def _reject_reasons(w: Warehouse) -> DataFrame:
+    """Rejected lines of the damaged tables by reason."""
+    store = _load_damaged(w)
+    found = [
+        stages.rejects(store, name).select(F.lit(name).alias("table_name"), F.explode("reasons").alias("reason"))
+        for name in DAMAGED
+    ]
+    return reduce(DataFrame.unionByName, found).groupBy("table_name", "reason").agg(F.count("*").alias("rows"))
 
 
 def _rollup_versions(w: Warehouse) -> DataFrame:
@@ -214,15 +241,15 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "cost_library_as_of": lambda w: snapshots.priced_as_of(w.table("stg_takeoff_items"), w.price_history),
     "cost_library_price_change": lambda w: snapshots.price_changes(w.price_history),
     # data tests and checks
-    "dq_unique": lambda w: quality.unique_results(w.kept.table),
-    "dq_not_null": lambda w: quality.not_null_results(w.kept.table),
-    "dq_accepted_values": lambda w: quality.accepted_values_results(w.kept.table),
-    "dq_relationships": lambda w: quality.relationships_results(w.kept.table),
+    "dq_unique": lambda w: quality.unique_results(w.table),
+    "dq_not_null": lambda w: quality.not_null_results(w.table),
+    "dq_accepted_values": lambda w: quality.accepted_values_results(w.table),
+    "dq_relationships": lambda w: quality.relationships_results(w.table),
     "dq_positive_quantities": lambda w: quality.positive_quantities(w.table("stg_takeoff_items")),
     "dq_valid_confidence": lambda w: quality.valid_confidence(w.table("stg_takeoff_items")),
-    "dq_test_results": lambda w: quality.test_results(w.kept.table),
-    "dq_orphans": lambda w: quality.orphans(w.kept.table),
-    "dq_checks_summary": lambda w: w.kept.checks,
+    "dq_test_results": lambda w: quality.test_results(w.table),
+    "dq_orphans": lambda w: quality.orphans(w.table),
+    "dq_checks_summary": lambda w: w.checks,
     "dq_high_low_confidence_projects": lambda w: quality.high_low_confidence_projects(
         w.table("mart_estimation_dashboard")
     ),
@@ -265,7 +292,11 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         f"raw_csv_roundtrip_{name}": (lambda table: lambda w: _csv_round_trip(w, table))(name)
         for name in RAW_TABLES
     },
-    "load_audit": lambda w: _load(w)[1],
+    "load_audit": lambda w: _load(w)[1].drop("rejected_rows"),
+    "table_inventory": _inventory,
+    "load_audit_damaged": lambda w: _load_damaged(w).read("load_audit"),
+    "load_reject_reasons": _reject_reasons,
+    "damaged_cost_library": lambda w: stages.raw_table(_load_damaged(w), "cost_library"),
 }
 
 # Queries that run once more over tables with offences to be found.

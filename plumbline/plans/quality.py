@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,107 +11,85 @@ from plumbline.functions import avg_decimal, conditional_count, percent, round_h
 from plumbline.operators import data_tests
 
 # Gives the frame of a table named as in ``fixed_values``.
-Tables = Callable[[str], DataFrame]
+Tables = data_tests.Tables
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+# --- offending rows -----------------------------------------------------------
 
 
-# --- offending rows -----------------------------------------------------------
+def _not_positive() -> Column:
+    return F.col("quantity") <= 0
+
+
+def _outside_range() -> Column:
+    return (F.col("confidence") < 0) | (F.col("confidence") > 1)
 
 
 def positive_quantities(takeoffs: DataFrame) -> DataFrame:
-    return takeoffs.where(F.col("quantity") <= 0).select("takeoff_id", "quantity")
+    return takeoffs.where(_not_positive()).select("takeoff_id", "quantity")
 
 
 def valid_confidence(takeoffs: DataFrame) -> DataFrame:
-    confidence = F.col("confidence")
-    return takeoffs.where((confidence < 0) | (confidence > 1)).select("takeoff_id", "confidence")
+    return takeoffs.where(_outside_range()).select("takeoff_id", "confidence")
 
 
 # --- declared tests -------------------------------------------------------------
 
 
+def _row_tests(table: str) -> list[data_tests.RowTest]:
+    return [
+        data_tests.RowTest("positive_quantities", table, "quantity", _not_positive()),
+        data_tests.RowTest("valid_confidence", table, "confidence", _outside_range()),
+    ]
+
+
 def unique_results(tables: Tables) -> DataFrame:
-    return _union(
-        [
-            data_tests.unique(tables(table), table, column)
-            for table, columns in fixed.UNIQUE.items()
-            for column in columns
-        ]
-    )
+    return data_tests.results(tables, data_tests.Declared(unique=fixed.UNIQUE))
 
 
 def not_null_results(tables: Tables) -> DataFrame:
-    return _union(
-        [data_tests.not_null(tables(table), table, names) for table, names in fixed.NOT_NULL.items()]
-    )
+    return data_tests.results(tables, data_tests.Declared(not_null=fixed.NOT_NULL))
 
 
 def accepted_values_results(tables: Tables) -> DataFrame:
-    return _union(
-        [
-            data_tests.accepted_values(tables(table), table, accepted)
-            for table, accepted in fixed.ACCEPTED_VALUES.items()
-        ]
-    )
+    return data_tests.results(tables, data_tests.Declared(accepted_values=fixed.ACCEPTED_VALUES))
 
 
 def relationships_results(tables: Tables) -> DataFrame:
-    return _union(
-        [
-            data_tests.relationships(tables(child), child, column, tables(parent), parent_column)
-            for child, column, parent, parent_column in fixed.RELATIONSHIPS
-        ]
-    )
+    return data_tests.results(tables, data_tests.Declared(relationships=fixed.RELATIONSHIPS))
 
 
 def test_results(tables: Tables) -> DataFrame:
-    """All declared tests and the two row tests."""
-    takeoffs = tables("stg_takeoff_items")
-    return _union(
-        [
-            unique_results(tables),
-            not_null_results(tables),
-            accepted_values_results(tables),
-            relationships_results(tables),
-            data_tests.row_test(
-                "positive_quantities", positive_quantities(takeoffs), "stg_takeoff_items", "quantity"
-            ),
-            data_tests.row_test(
-                "valid_confidence", valid_confidence(takeoffs), "stg_takeoff_items", "confidence"
-            ),
-        ]
+    """All declared tests and the two row tests, from one pass over every table."""
+    every = data_tests.Declared(
+        unique=fixed.UNIQUE,
+        not_null=fixed.NOT_NULL,
+        accepted_values=fixed.ACCEPTED_VALUES,
+        relationships=fixed.RELATIONSHIPS,
+        row_tests=_row_tests("stg_takeoff_items"),
     )
+    return data_tests.results(tables, every)
 
 
 def orphans(tables: Tables) -> DataFrame:
     """Staged rows whose parent is missing, per missing key."""
-    frames = []
-    for child, column, parent, parent_column in fixed.RELATIONSHIPS:
-        child, parent = child.replace("raw.", "stg_"), parent.replace("raw.", "stg_")
-        found = data_tests.orphan_keys(tables(child), column, tables(parent), parent_column)
-        frames.append(
-            found.select(
-                F.lit(child).alias("child_table"),
-                F.lit(column).alias("column_name"),
-                F.lit(parent).alias("parent_table"),
-                F.col(column).cast("string").alias("missing_key"),
-                "rows",
-            )
-        )
-    return _union(frames)
+    staged = [
+        (child.replace("raw.", "stg_"), column, parent.replace("raw.", "stg_"), parent_column)
+        for child, column, parent, parent_column in fixed.RELATIONSHIPS
+    ]
+    return data_tests.orphan_keys(tables, staged)
 
 
 # --- warehouse checks -------------------------------------------------------------
 
 
+def _high_low_confidence() -> Column:
+    return F.col("pct_low_confidence") > fixed.MAX_LOW_CONFIDENCE_PCT
+
+
 def high_low_confidence_projects(dashboard: DataFrame) -> DataFrame:
     """Projects with too many low-confidence takeoffs; those without takeoffs have no share."""
-    return dashboard.where(F.col("pct_low_confidence") > fixed.MAX_LOW_CONFIDENCE_PCT).select(
-        "project_id", "project_name", "pct_low_confidence"
-    )
+    return dashboard.where(_high_low_confidence()).select("project_id", "project_name", "pct_low_confidence")
 
 
 def first_high_low_confidence_projects(dashboard: DataFrame) -> DataFrame:
@@ -124,16 +101,59 @@ def _low_confidence() -> Column:
     return F.col("confidence") < F.lit(str(fixed.LOW_CONFIDENCE)).cast("decimal(5,3)")
 
 
+def takeoff_measures() -> dict[str, Column]:
+    """What the checks need of the takeoff fact, as aggregates."""
+    confidence = F.col("confidence")
+    return {
+        "invalid_quantities": F.count_if(_not_positive()),
+        "invalid_confidence": F.count_if(_outside_range()),
+        "total_takeoffs": F.count("*"),
+        "avg_confidence": round_half_away(avg_decimal(confidence, 3), 3),
+        "low_confidence_count": conditional_count(_low_confidence()),
+        "total_extended_cost": F.sum("extended_cost_mid").cast("double"),
+    }
+
+
+def estimate_measures() -> dict[str, Column]:
+    total_mid = F.col("estimate_total_mid")
+    return {
+        "zero_estimates": F.count_if(total_mid.isNull() | (total_mid == 0)),
+        "total_estimates": F.count("*"),
+        "total_estimate_value": F.sum(total_mid).cast("double"),
+        "avg_estimate": round_half_away(avg_decimal(total_mid, 2), 2),
+    }
+
+
+def dashboard_measures() -> dict[str, Column]:
+    return {"projects_with_high_low_confidence": F.count_if(_high_low_confidence())}
+
+
+def _measured(rows: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    return rows.agg(*[measure.alias(name) for name, measure in measures.items()])
+
+
 def checks_summary(takeoffs: DataFrame, estimates: DataFrame, dashboard: DataFrame) -> DataFrame:
+    """``checks_of`` over tables that were not measured when they were written; each is aggregated once."""
+    return checks_of(
+        _measured(takeoffs, takeoff_measures()),
+        _measured(estimates, estimate_measures()),
+        _measured(dashboard, dashboard_measures()),
+        dashboard,
+    )
+
+
+def checks_of(
+    takeoffs: DataFrame, estimates: DataFrame, dashboard: DataFrame, projects: DataFrame
+) -> DataFrame:
     """Warehouse checks as (check, value, passed, issue).
 
     Four rows are checks, the others metrics without a verdict, and ``all``
-    counts the failed checks. Each table is aggregated once; the one-row
-    results are put side by side and unfolded.
+    counts the failed checks. The first three frames are the measures of the
+    facts and the dashboard, one row each; ``projects`` is the dashboard, of
+    which the first offenders are named. The one-row frames are put side by
+    side and unfolded.
     """
-    quantity, confidence = F.col("quantity"), F.col("confidence")
-    total_mid = F.col("estimate_total_mid")
-    names = first_high_low_confidence_projects(dashboard).agg(
+    names = first_high_low_confidence_projects(projects).agg(
         F.concat_ws(
             ", ",
             F.transform(
@@ -143,24 +163,10 @@ def checks_summary(takeoffs: DataFrame, estimates: DataFrame, dashboard: DataFra
         ).alias("names")
     )
     parts = [
-        takeoffs.agg(
-            F.count_if(quantity <= 0).alias("invalid_quantities"),
-            F.count_if((confidence < 0) | (confidence > 1)).alias("invalid_confidence"),
-            F.count("*").alias("total_takeoffs"),
-            round_half_away(avg_decimal(confidence, 3), 3).alias("avg_confidence"),
-            conditional_count(_low_confidence()).alias("low_confidence_count"),
-            F.sum("extended_cost_mid").cast("double").alias("total_extended_cost"),
-        ),
-        high_low_confidence_projects(dashboard).agg(
-            F.count("*").alias("projects_with_high_low_confidence")
-        ),
+        takeoffs.select(*takeoff_measures()),
+        estimates.select(*estimate_measures()),
+        dashboard.select(*dashboard_measures()),
         names,
-        estimates.agg(
-            F.count_if(total_mid.isNull() | (total_mid == 0)).alias("zero_estimates"),
-            F.count("*").alias("total_estimates"),
-            F.sum(total_mid).cast("double").alias("total_estimate_value"),
-            round_half_away(avg_decimal(total_mid, 2), 2).alias("avg_estimate"),
-        ),
     ]
     wide = reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), parts)
     wide = wide.agg(*[F.max(name).alias(name) for name in wide.columns])

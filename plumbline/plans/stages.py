@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.operators import data_tests
 from plumbline.plans import marts, quality, reports, snapshots, staging
@@ -32,7 +32,9 @@ def table(store: TableStore, name: str) -> DataFrame:
     """A stored raw table or mart, or a staging view over its raw table."""
     if name.startswith("stg_"):
         raw = name.removeprefix("stg_")
-        return STAGING[raw](store.read(f"raw.{raw}"))
+        return STAGING[raw](raw_table(store, raw))
+    if name.startswith("raw."):
+        return raw_table(store, name.removeprefix("raw."))
     return store.read(name)
 
 
@@ -46,13 +48,34 @@ def load(
     csv_folder: str,
     store: TableStore,
     overrides: dict[str, dict[str, str]] | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """CSV to raw tables; returns the audit. Tables without a file are left alone."""
-    loaded = {
-        name: store.replace(f"raw.{name}", rows)
-        for name, rows in raw_csv.read_all(spark, csv_folder, overrides).items()
-    }
-    return store.replace("load_audit", load_audit(loaded))
+    """CSV to raw tables; returns the audit. Tables without a file are left alone.
+
+    Lines that do not fit their table are kept beside it with the reasons
+    (``rejects``) and counted in the audit; with ``strict`` the first one stops
+    the load. The counts come from the writes themselves.
+    """
+    reader = raw_csv.read_csv if strict else raw_csv.read_checked
+    counts = {}
+    for name, rows in raw_csv.read_all(spark, csv_folder, overrides, reader).items():
+        store.replace(f"raw.{name}", rows, apart=None if strict else F.size(raw_csv.REASONS) > 0)
+        found = store.measures(f"raw.{name}").first()
+        counts[name] = (found["row_count"], 0 if strict else found["apart_count"])
+    return store.replace("load_audit", load_audit(spark, counts))
+
+
+def raw_table(store: TableStore, name: str) -> DataFrame:
+    """The good lines of a raw table."""
+    return store.read(f"raw.{name}").drop(raw_csv.LINE, raw_csv.REASONS)
+
+
+def rejects(store: TableStore, name: str) -> DataFrame:
+    """Lines of a raw table that did not fit: (line, reasons)."""
+    apart = store.read_apart(f"raw.{name}")
+    if raw_csv.LINE not in apart.columns:
+        return store.spark.createDataFrame([], "line string, reasons array<string>")
+    return apart.select(F.col(raw_csv.LINE).alias("line"), F.col(raw_csv.REASONS).alias("reasons"))
 
 
 def transform(store: TableStore, run_time: str) -> None:
@@ -64,9 +87,11 @@ def transform(store: TableStore, run_time: str) -> None:
     takeoffs, pages, projects = stg("takeoff_items"), stg("blueprint_pages"), stg("projects")
     costs, estimates = stg("cost_library"), stg("estimates")
     lines, reviews = stg("estimate_line_items"), stg("qa_reviews")
-    store.replace("fct_takeoffs", marts.fct_takeoffs(takeoffs, pages, projects, costs))
+    facts = marts.fct_takeoffs(takeoffs, pages, projects, costs)
+    store.replace("fct_takeoffs", facts, quality.takeoff_measures())
     totals = store.replace("takeoffs_by_project", marts.takeoffs_by_project(takeoffs))
-    store.replace("fct_estimates", marts.fct_estimates(estimates, projects, lines, totals))
+    facts = marts.fct_estimates(estimates, projects, lines, totals)
+    store.replace("fct_estimates", facts, quality.estimate_measures())
     store.replace(
         "mart_estimate_cost_breakdown",
         marts.mart_estimate_cost_breakdown(lines, estimates, projects, costs),
@@ -78,8 +103,9 @@ def transform(store: TableStore, run_time: str) -> None:
     store.replace(
         "mart_estimation_dashboard",
         marts.mart_estimation_dashboard(projects, pages, totals, estimates, reviews),
+        quality.dashboard_measures(),
     )
-    snapshot(store, store.read("raw.cost_library"), run_time)
+    snapshot(store, raw_table(store, "cost_library"), run_time)
 
 
 def snapshot(store: TableStore, raw_costs: DataFrame, run_time: str) -> DataFrame:
@@ -103,13 +129,18 @@ def history(store: TableStore) -> HistoryStore:
 
 
 def check(store: TableStore) -> DataFrame:
-    """Declared tests and warehouse checks; failures are rows, the run goes on."""
+    """Declared tests and warehouse checks; failures are rows, the run goes on.
+
+    The tests read each table once; the checks read what was measured while the
+    facts were written, and of the dashboard the first offenders.
+    """
     store.replace("dq_test_results", quality.test_results(lambda name: table(store, name)))
     return store.replace(
         "dq_checks_summary",
-        quality.checks_summary(
-            store.read("fct_takeoffs"),
-            store.read("fct_estimates"),
+        quality.checks_of(
+            store.measures("fct_takeoffs"),
+            store.measures("fct_estimates"),
+            store.measures("mart_estimation_dashboard"),
             store.read("mart_estimation_dashboard"),
         ),
     )

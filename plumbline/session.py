@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A write that keeps rejected lines beside the good ones has two files open and sorts nothing.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
@@ -47,6 +49,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **settings: str
     return spark
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new path in the folder that every executor can reach.
 

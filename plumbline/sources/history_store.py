@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
+from plumbline.session import path_exists
+
 COMMITS = "sequence int, run string, schema string"
 
 
@@ -31,12 +32,9 @@ class HistoryStore:
 
     def commits(self) -> list[Row]:
         """One row per run, with the last of its tries; as many as there are runs."""
-        try:
-            rows = self.spark.read.schema(COMMITS).json(f"{self.root}/commits").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, f"{self.root}/commits"):
             return []
+        rows = self.spark.read.schema(COMMITS).json(f"{self.root}/commits").collect()
         last = {row["run"]: row for row in sorted(rows, key=lambda row: row["sequence"])}
         return [last[run] for run in sorted(last)]
 

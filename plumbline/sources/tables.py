@@ -1,14 +1,33 @@
-"""Stored tables: Parquet folders under one root, and counts over them."""
+"""Stored tables: Parquet folders under one root, measured while they are written."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
-COMMITS = "number bigint"
+from plumbline.session import path_exists
+
+COMMITS = "number bigint, schema string, apart boolean"
+APART = "_apart"
+
+
+def observed(rows: DataFrame, measures: Mapping[str, Column], write: Callable[[DataFrame], None]) -> DataFrame:
+    """Writes ``rows`` and returns one row of aggregates over what was written.
+
+    The aggregates ride on the tasks that write, so nothing is read again, and
+    they count a task once however often it was tried.
+    """
+    columns = [measure.alias(name) for name, measure in measures.items()]
+    shape = rows.agg(*columns)
+    seen = Observation()
+    write(rows.observe(seen, *columns))
+    found = seen.get
+    if set(found) != set(measures):  # the optimizer drops the observation of a table that is empty by its plan
+        return shape
+    return rows.sparkSession.createDataFrame([tuple(found[name] for name in measures)], shape.schema)
 
 
 class TableStore:
@@ -20,6 +39,10 @@ class TableStore:
     table as it was. A frame that was read stays valid through one further
     write. A catalog is not needed; ``register`` makes the tables visible to
     SQL.
+
+    Every write counts its rows, and further ``measures`` if given, while it
+    writes. Rows for which ``apart`` holds are kept beside the table in the
+    same write; ``read`` leaves them out and ``read_apart`` gives them.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -29,40 +52,76 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
-    def _written(self, name: str) -> int:
-        """How often a table was written."""
+    def _commit(self, name: str) -> Row | None:
+        """The last write, or None before the first."""
         commits = self.spark.read.schema(COMMITS).json(f"{self.path(name)}/commits")
-        return commits.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
+        return commits.agg(F.max_by(F.struct("*"), "number").alias("last")).first()["last"]
 
     def _side(self, name: str, number: int) -> str:
         return f"{self.path(name)}/{number % 2}"
 
-    def replace(self, name: str, rows: DataFrame) -> DataFrame:
+    def replace(
+        self,
+        name: str,
+        rows: DataFrame,
+        measures: Mapping[str, Column] | None = None,
+        apart: Column | None = None,
+    ) -> DataFrame:
         """Write a table anew and return it as stored. ``rows`` may read the same table."""
-        number = self._written(name) + 1 if self.exists(name) else 1
-        rows.write.mode("overwrite").parquet(self._side(name, number))
-        self.spark.createDataFrame([(number,)], COMMITS).coalesce(1).write.mode("append").json(
+        number = self._commit(name)["number"] + 1 if self.exists(name) else 1
+        side = self._side(name, number)
+        counted = {"row_count": F.count("*"), **(measures or {})}
+        if apart is not None:
+            rows = rows.withColumn(APART, F.coalesce(apart, F.lit(False)))
+            counted["row_count"] = F.count_if(~F.col(APART))
+            counted["apart_count"] = F.count_if(F.col(APART))
+
+        def write(frame: DataFrame) -> None:
+            writer = frame.write.mode("overwrite")
+            (writer if apart is None else writer.partitionBy(APART)).parquet(side)
+
+        found = observed(rows, counted, write)
+        found.coalesce(1).write.mode("overwrite").parquet(f"{side}-measures")
+        commit = (number, rows.schema.json(), apart is not None)
+        self.spark.createDataFrame([commit], COMMITS).coalesce(1).write.mode("append").json(
             f"{self.path(name)}/commits"
         )
-        return self.spark.read.schema(rows.schema).parquet(self._side(name, number))
+        return self.read(name)
+
+    def _stored(self, name: str) -> tuple[DataFrame, bool]:
+        last = self._commit(name)
+        schema = T.StructType.fromJson(json.loads(last["schema"]))
+        return self.spark.read.schema(schema).parquet(self._side(name, last["number"])), last["apart"]
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._side(name, self._written(name)))
+        rows, apart = self._stored(name)
+        return rows.where(~F.col(APART)).drop(APART) if apart else rows
+
+    def read_apart(self, name: str) -> DataFrame:
+        """The rows that the last write kept beside the table."""
+        rows, apart = self._stored(name)
+        return rows.where(APART).drop(APART) if apart else rows.limit(0)
 
     def exists(self, name: str) -> bool:
-        try:
-            return self._written(name) > 0
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
+        return path_exists(self.spark, f"{self.path(name)}/commits") and self._commit(name) is not None
+
+    def measures(self, name: str) -> DataFrame:
+        """One row: ``row_count`` and what else the last write measured."""
+        return self.spark.read.parquet(f"{self._side(name, self._commit(name)['number'])}-measures")
 
     def row_count(self, name: str) -> int:
-        return self.read(name).count()
+        """Rows of a table, from its last write."""
+        return self.measures(name).first()["row_count"]
 
     def register(self, name: str) -> None:
         self.read(name).createOrReplaceTempView(name.replace(".", "_"))
 
+    def inventory(self, names: Sequence[str]) -> DataFrame:
+        """Whether each table exists and how many rows its last write had."""
+        there = {name: self.exists(name) for name in names}
+        rows = [(name, found, self.row_count(name) if found else None) for name, found in there.items()]
+        return self.spark.createDataFrame(rows, "table_name string, table_exists boolean, row_count bigint")
+
 
 def table_exists(spark: SparkSession, table: str, schema: str = "default") -> bool:
     """Whether the catalog knows the table."""
@@ -74,19 +133,12 @@ def row_count(spark: SparkSession, table: str) -> int:
     return spark.table(table).count()
 
 
-def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per loaded table and a ``total`` row with their sum and number."""
-    counts = [
-        rows.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count", F.lit(1).cast("bigint").alias("tables")
-        )
-        for name, rows in tables.items()
-    ]
-    return (
-        reduce(DataFrame.unionByName, counts)
-        .rollup("table_name")
-        .agg(F.sum("row_count").alias("row_count"), F.sum("tables").alias("tables_loaded"))
-        .withColumn("table_name", F.coalesce("table_name", F.lit("total")))
+def load_audit(spark: SparkSession, counts: Mapping[str, tuple[int, int]]) -> DataFrame:
+    """Rows loaded and rejected per table, and a ``total`` row with their sums and the number of tables."""
+    rows = [(name, kept, 1, rejected) for name, (kept, rejected) in counts.items()]
+    rows.append(("total", sum(r[1] for r in rows), len(rows), sum(r[3] for r in rows)))
+    return spark.createDataFrame(
+        rows, "table_name string, row_count bigint, tables_loaded bigint, rejected_rows bigint"
     )
 
 

@@ -22,7 +22,7 @@ NAMES = [
 def folder(request, tmp_path_factory):
     path = tmp_path_factory.mktemp(f"repeated-{request.param}")
     for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
-        shutil.copy(SOURCE / f"{name}.parquet", path)
+        shutil.copyfile(SOURCE / f"{name}.parquet", path / f"{name}.parquet")
     rows = pq.read_table(SOURCE / f"{request.param}.parquet")
     pq.write_table(pa.concat_tables([rows, rows.slice(0, 3)]), path / f"{request.param}.parquet")
     return str(path)

@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from rows import DEFAULTS, table
 
 from plumbline.plans import stages
@@ -88,12 +89,82 @@ def test_catalog_helpers(spark):
 
 
 def test_load_audit(spark):
-    audit = load_audit({"a": spark.range(3), "b": spark.range(4), "c": spark.range(0)}).collect()
-    assert {row["table_name"]: (row["row_count"], row["tables_loaded"]) for row in audit} == {
-        "a": (3, 1), "b": (4, 1), "c": (0, 1), "total": (7, 3),
+    audit = load_audit(spark, {"a": (3, 0), "b": (4, 2), "c": (0, 0)}).collect()
+    assert {r["table_name"]: (r["row_count"], r["tables_loaded"], r["rejected_rows"]) for r in audit} == {
+        "a": (3, 1, 0), "b": (4, 1, 2), "c": (0, 1, 0), "total": (7, 3, 2),
     }
 
 
+def test_measures_come_with_the_write(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    measures = {"most": F.max("id"), "even": F.count_if(F.col("id") % 2 == 0)}
+    for rows, want in [
+        (spark.range(7).repartition(3), (7, 6, 4)),
+        (spark.range(7).where("id > 10"), (0, None, 0)),
+        (spark.createDataFrame([], "id bigint"), (0, None, 0)),
+        (spark.range(7).where("false"), (0, None, 0)),
+    ]:
+        stored = store.replace("t", rows, measures)
+        assert tuple(store.measures("t").first()) == want and store.row_count("t") == stored.count() == want[0]
+    assert {tuple(r) for r in store.inventory(["t", "u"]).collect()} == {("t", True, 0), ("u", False, None)}
+
+
+def test_rows_kept_apart(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    for limit, kept in ((2, 2), (0, 0), (9, 5)):
+        stored = store.replace("t", spark.range(5), apart=F.col("id") >= limit)
+        assert stored.columns == ["id"] and sorted(r["id"] for r in stored.collect()) == list(range(kept))
+        assert sorted(r["id"] for r in store.read_apart("t").collect()) == list(range(kept, 5))
+        assert tuple(store.measures("t").first()) == (kept, 5 - kept)
+    store.replace("t", spark.range(3))
+    assert store.read("t").count() == 3 and store.read_apart("t").count() == 0
+
+
+HEADER = "cost_code,division,division_name,item_type,uom,unit_cost_low,unit_cost_mid,unit_cost_high,last_updated"
+
+
+def test_bad_lines_are_kept_beside_the_table(spark, tmp_path):
+    lines = {
+        "A,03,C,f,EA,1,2,3,2024-01-01": None,
+        "B,03,C,f,EA,cheap,2,1d,2024-01-01": ["unit_cost_low is no double", "unit_cost_high is no double"],
+        "C,03,C,f,EA,1,2,3,2024-13-45": ["last_updated is no date"],
+        "D,03,C": ["wrong number of fields"],
+        "E,03,C,f,EA,1,2,3,2024-01-01,more": ["wrong number of fields"],
+        'F,03,"C, two",f,EA,,1e3,.5,': None,
+        "G,03,C,f,EA,1,2,3,2024": ["last_updated is no date"],
+    }
+    (tmp_path / "cost_library.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    store = TableStore(spark, str(tmp_path / "tables"))
+    audit = {r["table_name"]: r for r in stages.load(spark, str(tmp_path), store).collect()}
+    assert (audit["cost_library"]["row_count"], audit["cost_library"]["rejected_rows"]) == (2, 5)
+    good = {r["cost_code"]: r for r in stages.raw_table(store, "cost_library").collect()}
+    assert set(good) == {"A", "F"} and good["F"]["division_name"] == "C, two"
+    assert (good["F"]["unit_cost_low"], good["F"]["unit_cost_mid"], good["F"]["unit_cost_high"]) == (None, 1000.0, 0.5)
+    found = {r["line"]: r["reasons"] for r in stages.rejects(store, "cost_library").collect()}
+    assert found == {line: reasons for line, reasons in lines.items() if reasons}
+    assert stages.raw_table(store, "cost_library").schema == raw_csv.read_csv(spark, str(tmp_path), "cost_library").schema
+    with pytest.raises(Exception, match="cheap|MALFORMED"):
+        stages.load(spark, str(tmp_path), store, strict=True)
+    assert stages.raw_table(store, "cost_library").count() == 2
+
+
+def test_checked_values_equal_strict_ones(spark, tmp_path):
+    for name in DEFAULTS:
+        raw_csv.write_csv(table(spark, name, {}, {}), str(tmp_path), name)
+        strict = raw_csv.read_csv(spark, str(tmp_path), name)
+        checked = raw_csv.read_checked(spark, str(tmp_path), name)
+        assert checked.where(F.size(raw_csv.REASONS) > 0).count() == 0
+        assert checked.drop(raw_csv.LINE, raw_csv.REASONS).collect() == strict.collect()
+    header = "review_id,project_id,page_id,takeoff_id,issue_type,severity,resolved,reviewed_at"
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "qa_reviews.csv").write_text(
+        f"{header}\n1,1,12.0,9007199254740993,x,low,True,2024-01-01 10:00:00\n2,1,12.5,,x,low,yes,2024-01-01\n"
+    )
+    good, bad = raw_csv.read_checked(spark, str(tmp_path / "q"), "qa_reviews").orderBy("review_id").collect()
+    assert (good["page_id"], good["takeoff_id"], good["resolved"]) == (12, 9007199254740993, True)
+    assert bad["_reasons"] == ["page_id is no bigint", "resolved is no boolean", "reviewed_at is no timestamp_ntz"]
+
+
 def test_full_refresh_and_partial_runs(spark, tmp_path):
     raw = {name: table(spark, name, {}) for name in DEFAULTS}
     store = TableStore(spark, str(tmp_path / "tables"))
