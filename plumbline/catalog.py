@@ -7,13 +7,14 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from plumbline.operators.value_histogram import ValueHistogram
 from plumbline.plans import dashboards, marts, quality, reports, rollups, snapshots, stages, staging
 from plumbline.schemas import RAW_TABLES
 from plumbline.session import scratch_folder, tuned
 from plumbline.sources import raw_csv
 from plumbline.sources.damaged import DAMAGED
 from plumbline.sources.driver_tables import RUN_TIMES, DisputedTables, DriverTables
-from plumbline.sources.tables import TableStore, column_audit
+from plumbline.sources.tables import TableStore, column_audit, scratch_keep
 
 # The test tables have text keys where the reference data has numbers.
 KEY_TYPES = {
@@ -95,6 +96,12 @@ class Warehouse:
             self.table("mart_estimation_dashboard"),
         )
 
+    @cached_property
+    def estimate_totals(self) -> ValueHistogram:
+        return ValueHistogram.build(
+            self.table("fct_estimates"), "estimate_total_mid", scratch_keep(self.spark), stages.ESTIMATE_TOTALS
+        )
+
     @cached_property
     def price_history(self) -> DataFrame:
         """History after all deliveries, one stored run each."""
@@ -194,7 +201,7 @@ def _summary(w: Warehouse) -> DataFrame:
         w.table("stg_projects"),
         w.table("stg_blueprint_pages"),
         w.table("fct_takeoffs"),
-        w.table("fct_estimates"),
+        w.estimate_totals,
         w.table("stg_qa_reviews"),
         w.table("mart_estimation_dashboard"),
         w.checks,
@@ -266,11 +273,11 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.table("stg_blueprint_pages")
     ),
     "rpt_takeoff_stats": lambda w: reports.takeoff_stats(w.table("fct_takeoffs")),
-    "rpt_estimate_stats": lambda w: reports.estimate_stats(w.table("fct_estimates")),
+    "rpt_estimate_stats": lambda w: reports.estimate_stats(w.estimate_totals),
     "rpt_top_cost_codes": lambda w: reports.top_cost_codes(w.table("fct_takeoffs")),
     "rpt_qa_stats": lambda w: reports.qa_stats(w.table("stg_qa_reviews"), w.table("stg_projects")),
     "rpt_readiness": lambda w: reports.readiness(w.table("mart_estimation_dashboard")),
-    "rpt_summary": lambda w: _summary(w.kept),
+    "rpt_summary": _summary,
     "adhoc_top_cost_codes": lambda w: reports.top_divisions_by_cost(w.table("fct_takeoffs")),
     "adhoc_readiness_summary": lambda w: reports.readiness_summary(
         w.table("mart_estimation_dashboard")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions import avg_decimal, conditional_count, round_half_away
-from plumbline.operators.percentiles import exact_percentiles, value_counts
+from plumbline.operators.value_histogram import ValueHistogram
 
 
 def _share_pct(part: Column, whole: Column) -> Column:
@@ -60,26 +60,14 @@ def takeoff_stats(takeoffs: DataFrame) -> DataFrame:
     )
 
 
-def estimate_stats(estimates: DataFrame) -> DataFrame:
-    """Number, sum, mean and percentiles, all from one count per distinct total."""
-    counts = value_counts(estimates, "estimate_total_mid")
-    priced = F.col("_units").isNotNull()
-    cents = F.sum(F.col("_units").cast("decimal(20,0)") * F.col("_n")).cast("double")
-    mean = cents / F.nullif(F.sum(F.when(priced, F.col("_n"))) * 100, F.lit(0))
-    totals = counts.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_estimates"),
-        F.coalesce(cents / F.lit(100.0), F.lit(0.0)).alias("sum_mid"),
-        F.coalesce(round_half_away(mean, 2), F.lit(0.0)).alias("avg_mid"),
-    )
-    quantiles = exact_percentiles(counts, {"p50_mid": 0.5, "p90_mid": 0.9})
-    return _beside(
-        totals,
-        quantiles.select(
-            *[
-                F.coalesce(round_half_away(F.col(name), 4), F.lit(0.0)).alias(name)
-                for name in quantiles.columns
-            ]
-        ),
+def estimate_stats(totals: ValueHistogram) -> DataFrame:
+    """Number, sum, mean and percentiles, all from the histogram of the estimates' mid totals."""
+    quantiles = totals.percentiles({"p50_mid": 0.5, "p90_mid": 0.9})
+    return quantiles.select(
+        F.lit(totals.rows).cast("bigint").alias("total_estimates"),
+        F.lit(totals.total()).alias("sum_mid"),
+        F.coalesce(round_half_away(F.lit(totals.mean()).cast("double"), 2), F.lit(0.0)).alias("avg_mid"),
+        *[F.coalesce(round_half_away(F.col(name), 4), F.lit(0.0)).alias(name) for name in quantiles.columns],
     )
 
 
@@ -169,7 +157,7 @@ def summary(
     projects: DataFrame,
     pages: DataFrame,
     takeoffs: DataFrame,
-    estimates: DataFrame,
+    estimate_totals: ValueHistogram,
     reviews: DataFrame,
     dashboard: DataFrame,
     checks: DataFrame,
@@ -191,7 +179,7 @@ def summary(
         [
             _long("summary", counts(projects, pages)),
             _long("takeoffs", takeoff_stats(takeoffs)),
-            _long("estimates", estimate_stats(estimates)),
+            _long("estimates", estimate_stats(estimate_totals)),
             _rows("pages", disciplines, "sheet_group", "page_count"),
             _rows("top_cost_codes", top_cost_codes(takeoffs), "cost_code", "total_extended_cost"),
             _long("qa", qa_stats(reviews, projects)),

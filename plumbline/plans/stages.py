@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.operators import data_tests
+from plumbline.operators.value_histogram import ValueHistogram
 from plumbline.plans import marts, quality, reports, snapshots, staging
 from plumbline.sources import raw_csv
 from plumbline.sources.history_store import HistoryStore
@@ -25,6 +26,7 @@ STAGING = {
     "estimate_line_items": staging.stg_estimate_line_items,
     "qa_reviews": staging.stg_qa_reviews,
 }
+ESTIMATE_TOTALS = "estimate_totals"
 SNAPSHOT = "snapshots.cost_library_snapshot"
 
 
@@ -91,7 +93,8 @@ def transform(store: TableStore, run_time: str) -> None:
     store.replace("fct_takeoffs", facts, quality.takeoff_measures())
     totals = store.replace("takeoffs_by_project", marts.takeoffs_by_project(takeoffs))
     facts = marts.fct_estimates(estimates, projects, lines, totals)
-    store.replace("fct_estimates", facts, quality.estimate_measures())
+    facts = store.replace("fct_estimates", facts, quality.estimate_measures())
+    ValueHistogram.build(facts, "estimate_total_mid", store.keep, ESTIMATE_TOTALS)
     store.replace(
         "mart_estimate_cost_breakdown",
         marts.mart_estimate_cost_breakdown(lines, estimates, projects, costs),
@@ -128,6 +131,11 @@ def history(store: TableStore) -> HistoryStore:
     return HistoryStore(store.spark, store.path(SNAPSHOT))
 
 
+def estimate_totals(store: TableStore) -> ValueHistogram:
+    """The histogram of the estimates' mid totals, as the last transform left it."""
+    return ValueHistogram.of(store.read(ESTIMATE_TOTALS), store.measures(f"{ESTIMATE_TOTALS}_counts").first())
+
+
 def check(store: TableStore) -> DataFrame:
     """Declared tests and warehouse checks; failures are rows, the run goes on.
 
@@ -154,7 +162,7 @@ def publish(store: TableStore) -> DataFrame:
             table(store, "stg_projects"),
             table(store, "stg_blueprint_pages"),
             store.read("fct_takeoffs"),
-            store.read("fct_estimates"),
+            estimate_totals(store),
             table(store, "stg_qa_reviews"),
             store.read("mart_estimation_dashboard"),
             store.read("dq_checks_summary"),

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
-from plumbline.session import path_exists
+from plumbline.session import path_exists, scratch_folder
 
 COMMITS = "number bigint, schema string, apart boolean"
 APART = "_apart"
@@ -27,7 +27,9 @@ def observed(rows: DataFrame, measures: Mapping[str, Column], write: Callable[[D
     found = seen.get
     if set(found) != set(measures):  # the optimizer drops the observation of a table that is empty by its plan
         return shape
-    return rows.sparkSession.createDataFrame([tuple(found[name] for name in measures)], shape.schema)
+    # Aggregates of an empty table may be NULL whatever the schema says.
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in shape.schema])
+    return rows.sparkSession.createDataFrame([tuple(found[name] for name in measures)], schema)
 
 
 class TableStore:
@@ -113,6 +115,10 @@ class TableStore:
         """Rows of a table, from its last write."""
         return self.measures(name).first()["row_count"]
 
+    def keep(self, name: str, rows: DataFrame, measures: Mapping[str, Column]) -> tuple[DataFrame, Row]:
+        """``replace``, and what was measured."""
+        return self.replace(name, rows, measures), self.measures(name).first()
+
     def register(self, name: str) -> None:
         self.read(name).createOrReplaceTempView(name.replace(".", "_"))
 
@@ -123,6 +129,17 @@ class TableStore:
         return self.spark.createDataFrame(rows, "table_name string, table_exists boolean, row_count bigint")
 
 
+def scratch_keep(spark: SparkSession):
+    """Like ``TableStore.keep``, into new scratch folders that no later run reads."""
+
+    def keep(name: str, rows: DataFrame, measures: Mapping[str, Column]) -> tuple[DataFrame, Row]:
+        folder = scratch_folder(spark, name)
+        found = observed(rows, {"row_count": F.count("*"), **measures}, lambda frame: frame.write.parquet(folder))
+        return spark.read.schema(rows.schema).parquet(folder), found.first()
+
+    return keep
+
+
 def table_exists(spark: SparkSession, table: str, schema: str = "default") -> bool:
     """Whether the catalog knows the table."""
     return spark.catalog.tableExists(f"{schema}.{table}")

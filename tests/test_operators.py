@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.latest import latest_per_key
 from plumbline.operators.numbering import number_within
-from plumbline.operators.percentiles import LEVELS, exact_percentiles, value_counts
+from plumbline.operators.value_histogram import ValueHistogram
+from plumbline.sources.tables import TableStore, scratch_keep
 from plumbline.operators.salting import salted_join
 
 
@@ -76,9 +77,9 @@ def test_salted_join_spreads_the_hot_key(spark, skewed):
     assert sizes.sum() == 1000 and len(sizes) > 4 and sizes.max() < 500
 
 
-@pytest.mark.parametrize("levels", [(), (0,), (3,), (7, 2), (40,), LEVELS])
+@pytest.mark.parametrize("partitions", [1, 7])
 @pytest.mark.parametrize("rows", [1, 2, 11, 1000])
-def test_percentiles_equal_numpy(spark, rows, levels):
+def test_percentiles_equal_numpy(spark, rows, partitions):
     random = np.random.default_rng(rows)
     cents = random.integers(-5_000, 90_000, rows)
     cents[: rows // 3] = 777
@@ -86,26 +87,36 @@ def test_percentiles_equal_numpy(spark, rows, levels):
         (F.col("cents").cast("decimal(12,0)") / 100).cast("decimal(14,2)").alias("amount")
     )
     frame = frame.unionByName(spark.sql("SELECT CAST(NULL AS DECIMAL(14, 2)) AS amount"))
-    points = {"low": 0.1, "mid": 0.5, "high": 0.9, "top": 1.0}
-    row = exact_percentiles(value_counts(frame, "amount"), points, levels=levels).first()
+    points = {"least": 0.0, "low": 0.1, "mid": 0.5, "high": 0.9, "top": 1.0}
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    histogram = ValueHistogram.build(frame, "amount", scratch_keep(spark), "amounts")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    row = histogram.percentiles(points).first()
     for name, point in points.items():
         assert row[name] == pytest.approx(np.quantile(cents / 100, point), abs=1e-9)
+    assert (histogram.rows, histogram.valued, histogram.unit_sum) == (rows + 1, rows, cents.sum())
+    assert histogram.mean() == pytest.approx(cents.mean() / 100)
+    values = histogram.values.orderBy("units").collect()
+    assert values[0]["rows_before"] == 0 and values[-1]["rows_through"] == rows
+    assert all(a["rows_through"] == b["rows_before"] for a, b in zip(values, values[1:]))
 
 
 def test_percentiles_of_nothing(spark):
-    empty = spark.sql("SELECT CAST(NULL AS DECIMAL(14, 2)) AS amount").where("false")
-    assert exact_percentiles(value_counts(empty, "amount"), {"mid": 0.5}).first()["mid"] is None
-
-
-def test_percentiles_read_the_values_once(spark, tmp_path):
-    path = str(tmp_path / "amounts")
-    spark.range(5000).selectExpr("cast(id % 900 as decimal(14, 2)) AS amount").write.parquet(path)
-    counts = value_counts(spark.read.parquet(path), "amount")
-    found = exact_percentiles(counts, {"mid": 0.5, "high": 0.9})
-    found.collect()
+    for rows in ("SELECT CAST(NULL AS DECIMAL(14, 2)) AS amount", "SELECT CAST(1 AS DECIMAL(14, 2)) AS amount WHERE rand() > 2"):
+        histogram = ValueHistogram.build(spark.sql(rows), "amount", scratch_keep(spark), "amounts")
+        assert histogram.percentiles({"mid": 0.5}).first()["mid"] is None and histogram.mean() is None
+
+
+def test_percentiles_are_lookups(spark, tmp_path):
+    """The rows are read by the one job that counts them; ranks reach the stored values as filters."""
+    amounts = spark.range(5000).selectExpr("cast(id % 900 as decimal(14, 2)) AS amount")
+    store = TableStore(spark, str(tmp_path))
+    ValueHistogram.build(amounts, "amount", store.keep, "amounts")
+    again = ValueHistogram.of(store.read("amounts"), store.measures("amounts_counts").first())
+    found = again.percentiles({"mid": 0.5, "high": 0.9})
     plan = executed_plan(found)
-    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
-    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    assert plan.count("FileScan") <= 2 and "LessThanOrEqual(rows_before" in plan and "Range (" not in plan
+    assert found.first()["mid"] == 416 and found.first()["high"] == pytest.approx(799.1)
 
 
 def test_latest_per_key(skewed):
