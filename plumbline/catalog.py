@@ -7,6 +7,7 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from plumbline.operators.salting import HotKeys
 from plumbline.operators.value_histogram import ValueHistogram
 from plumbline.plans import dashboards, marts, quality, reports, rollups, snapshots, stages, staging
 from plumbline.schemas import RAW_TABLES
@@ -60,7 +61,7 @@ class Warehouse:
         if name == "fct_estimates":
             return marts.fct_estimates(
                 t(stg["estimates"]), t(stg["projects"]), t(stg["estimate_line_items"]),
-                self.takeoff_totals, counted=self.raw.estimates(version=False),
+                self.takeoff_totals, hot=self.crowded_projects,
             )
         if name == "mart_estimate_cost_breakdown":
             return marts.mart_estimate_cost_breakdown(
@@ -84,9 +85,17 @@ class Warehouse:
         return marts.takeoffs_by_project(self.table("stg_takeoff_items"))
 
     @cached_property
-    def kept(self) -> StoredWarehouse:
-        """The same tables, each stored when first asked for, for jobs that read one often."""
-        return StoredWarehouse(self.spark, self.folder, type(self.raw))
+    def crowded_projects(self) -> HotKeys:
+        """Projects with very many estimates."""
+        return HotKeys.find(
+            self.raw.estimates(version=False), "project_id", scratch_keep(self.spark), "crowded_projects"
+        )
+
+    @cached_property
+    def crowded_codes(self) -> HotKeys:
+        """Cost codes with very many takeoffs."""
+        takeoffs = self.raw.takeoff_items(project=False, item=False)
+        return HotKeys.find(takeoffs, "cost_code", scratch_keep(self.spark), "crowded_codes")
 
     @cached_property
     def checks(self) -> DataFrame:
@@ -111,20 +120,6 @@ class Warehouse:
         return history
 
 
-class StoredWarehouse(Warehouse):
-    """Raw tables, facts and marts as stored tables; staging stays a view over them."""
-
-    def __init__(
-        self, spark: SparkSession, folder: str, tables: type[DriverTables] = DriverTables
-    ):
-        super().__init__(spark, folder, tables)
-        self.store = TableStore(spark, scratch_folder(spark, "tables"))
-
-    def _build(self, name: str) -> DataFrame:
-        rows = super()._build(name)
-        return rows if name.startswith("stg_") else self.store.replace(name, rows)
-
-
 def _csv_round_trip(w: Warehouse, name: str) -> DataFrame:
     folder = scratch_folder(w.spark, "csv")
     raw_csv.write_csv(w.raw_table(name), folder, name)
@@ -234,10 +229,11 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         _rollup_versions(w),
         w.table("stg_takeoff_items"),
         w.table("stg_cost_library"),
-        counted=w.raw.estimates(version=False),
+        hot=w.crowded_projects,
     ),
     "estimate_line_item_rollup": lambda w: rollups.estimate_line_item_rollup(
-        w.table("stg_estimates"), w.table("stg_takeoff_items"), w.table("stg_cost_library")
+        w.raw.estimates(version=False), w.table("stg_takeoff_items"), w.table("stg_cost_library"),
+        scratch_keep(w.spark),
     ),
     "derive_business_keys": _business_keys,
     # price history
@@ -245,7 +241,9 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.raw.cost_library, RUN_TIMES[0]
     ),
     "cost_library_snapshot_merge": lambda w: w.price_history,
-    "cost_library_as_of": lambda w: snapshots.priced_as_of(w.table("stg_takeoff_items"), w.price_history),
+    "cost_library_as_of": lambda w: snapshots.priced_as_of(
+        w.table("stg_takeoff_items"), w.price_history, w.crowded_codes
+    ),
     "cost_library_price_change": lambda w: snapshots.price_changes(w.price_history),
     # data tests and checks
     "dq_unique": lambda w: quality.unique_results(w.table),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from plumbline.operators.salting import HOT_ROWS, HotKeys, dealt, repeated
 
 HISTORY_COLUMNS = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
@@ -86,24 +88,66 @@ def merge_history(
 
 
 def as_of(
-    facts: DataFrame, history: DataFrame, key: str, at: str, columns: Sequence[str]
+    facts: DataFrame,
+    history: DataFrame,
+    key: str,
+    at: str,
+    columns: Sequence[str],
+    hot: HotKeys | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every fact with the version of its key that was valid at its time, or NULLs.
 
-    Versions hold from ``valid_from`` up to but not including ``valid_to``, so
-    a fact meets one version at most. The key is an equi-join, hence a shuffle
-    join that adaptive execution can split, and the range is its residual test.
+    Versions hold from ``valid_from`` up to but not including ``valid_to``, and
+    those of a key do not overlap. Facts and versions are laid in one line per
+    key, ordered by time, and every fact takes the last version before it: each
+    row is looked at once, however many versions a key has. The facts of a key
+    that is ``hot`` (see ``HotKeys.find``) are dealt to several lines of about
+    ``hot_rows`` by their hash, with the key's versions in each. Facts without
+    key or time have no version.
     """
+    taken = ["valid_from", *columns]
+    own = [F.col(f"`{name}`") for name in facts.columns]
+    usable = F.col(f"`{key}`").isNotNull() & F.col(f"`{at}`").isNotNull()
+    marks = facts.where(usable).select(
+        F.col(f"`{key}`").alias("_key"),
+        F.col(f"`{at}`").alias("_time"),
+        F.lit(None).cast(_version_type(history, taken)).alias("_version"),
+        F.struct(*own).alias("_fact"),
+    )
+    fact_type = marks.schema["_fact"].dataType
     versions = history.select(
-        F.col(key).alias("_version_key"), "valid_from", "valid_to", *columns
+        F.col(key).alias("_key"),
+        F.col("valid_from").alias("_time"),
+        _version(taken).alias("_version"),
+        F.lit(None).cast(fact_type).alias("_fact"),
+    )
+    marks = dealt(marks, "_key", F.col("_fact"), "_line", hot, hot_rows)
+    versions = repeated(versions, "_key", "_line", hot, hot_rows)
+    names = ["_key", "_line", "_time", "_version", "_fact"]
+    # A version that begins at the time of a fact counts, so it stands before the fact.
+    in_time = Window.partitionBy("_key", "_line").orderBy("_time", F.col("_fact").isNotNull())
+    so_far = in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = versions.select(*names).unionByName(marks.select(*names)).withColumn(
+        "_version", F.last("_version", ignorenulls=True).over(so_far)
     )
-    moment = F.col(at)
-    held = (moment >= F.col("valid_from")) & (
-        F.col("valid_to").isNull() | (moment < F.col("valid_to"))
+    valid = F.col("_version.valid_to").isNull() | (F.col("_time") < F.col("_version.valid_to"))
+    found = held.where(F.col("_fact").isNotNull()).select(
+        "_fact.*", *[F.when(valid, F.col(f"_version.{name}")).alias(name) for name in taken]
     )
-    return facts.join(versions, (F.col(key) == F.col("_version_key")) & held, "left").drop(
-        "_version_key", "valid_to"
+    types = history.select(*taken).schema
+    without = facts.where(~usable).select(
+        *own, *[F.lit(None).cast(field.dataType).alias(field.name) for field in types]
     )
+    return found.unionByName(without)
+
+
+def _version(taken: Sequence[str]) -> Column:
+    return F.struct("valid_to", *taken)
+
+
+def _version_type(history: DataFrame, taken: Sequence[str]) -> T.DataType:
+    return history.select(_version(taken).alias("v")).schema["v"].dataType
 
 
 def changes(history: DataFrame, key: str, value: str) -> DataFrame:

@@ -22,7 +22,7 @@ from plumbline.functions import (
     tier_from,
 )
 from plumbline.operators.latest import latest_per_key
-from plumbline.operators.salting import HOT_ROWS, salted_join
+from plumbline.operators.salting import HOT_ROWS, HotKeys, salted_join
 
 UPDATED_AT = "_updated_at"
 
@@ -183,14 +183,13 @@ def fct_estimates(
     projects: DataFrame,
     line_items: DataFrame,
     takeoff_totals: DataFrame,
-    counted: DataFrame | None = None,
+    hot: HotKeys | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per estimate version with its line items and its project's takeoffs.
 
-    ``takeoff_totals`` comes from ``takeoffs_by_project``. ``counted`` may name
-    a cheaper frame with the project of every estimate, to find the projects
-    with more than ``hot_rows``.
+    ``takeoff_totals`` comes from ``takeoffs_by_project``, ``hot`` from
+    ``HotKeys.find`` over the projects of the estimates.
     """
     context = projects.select("project_id", *PROJECT_CONTEXT).join(
         takeoff_totals, "project_id", "left"
@@ -200,7 +199,7 @@ def fct_estimates(
         context,
         "project_id",
         spread_by=F.col("estimate_id"),
-        counted=estimates if counted is None else counted,
+        hot=hot,
         hot_rows=hot_rows,
     )
     total = F.col("estimate_total_mid")

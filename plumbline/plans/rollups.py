@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions import round_half_away
-from plumbline.operators.salting import salted_join
+from plumbline.operators.salting import HOT_ROWS, HotKeys, Save, grid_join, salted_join
 
 
 def quantities_by_project_and_code(takeoffs: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def estimate_rollup(
     versions: DataFrame,
     takeoffs: DataFrame,
     costs: DataFrame,
-    counted: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Low, mid and high total of every estimate version from its project's takeoffs.
 
@@ -30,8 +30,8 @@ def estimate_rollup(
     ``version_rate``; version v scales the totals by ``1 + (v - 1) * rate``.
     Codes without a price are left out and a project without takeoffs totals 0.
     Quantities are summed per project and code before they meet the prices, so
-    a hot code is one row per project by then. ``counted`` may name a cheaper
-    frame with the project of every version, to find those with very many.
+    a hot code is one row per project by then. ``hot`` has the projects with
+    very many versions.
     """
     quantities = takeoffs.groupBy("project_id", "cost_code").agg(F.sum("quantity").alias("quantity"))
     priced = quantities.join(
@@ -50,7 +50,7 @@ def estimate_rollup(
         return round_half_away(value if spread is None else value * F.lit(spread), 2)
 
     return salted_join(
-        versions, totals, "project_id", F.col("estimate_id"), how="left", counted=counted
+        versions, totals, "project_id", F.col("estimate_id"), how="left", hot=hot
     ).select(
         "estimate_id",
         "project_id",
@@ -62,21 +62,28 @@ def estimate_rollup(
 
 
 def estimate_line_item_rollup(
-    estimates: DataFrame, takeoffs: DataFrame, costs: DataFrame
+    estimates: DataFrame, takeoffs: DataFrame, costs: DataFrame, save: Save, cell_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Priced line items, one per estimate and cost code of its project.
 
     The versions of a project share the same items, so the result has one copy
-    of them per estimate.
+    of them per estimate. A project with many estimates and many codes is cut on
+    both sides; ``estimates`` needs ``estimate_id`` and ``project_id`` alone.
+    The priced quantities, which are read twice, are stored.
     """
     priced = quantities_by_project_and_code(takeoffs).join(
         costs.select("cost_code", "unit_cost_mid"), "cost_code"
     )
-    return salted_join(
-        priced,
+    priced, _ = save("priced_quantities", priced, {})
+    return grid_join(
         estimates.select("estimate_id", "project_id"),
+        priced,
         "project_id",
+        F.col("estimate_id"),
         F.col("cost_code"),
+        save,
+        "crowded_projects",
+        cell_rows,
     ).select(
         "estimate_id",
         "cost_code",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from plumbline import fixed_values as fixed
 from plumbline.functions import percent, tier_below
 from plumbline.operators import history as scd
+from plumbline.operators.salting import HotKeys
 
 KEY = "cost_code"
 # Only a change of these opens a new version; a new unit or date alone does not.
@@ -36,11 +37,11 @@ def merged_open(open_rows: DataFrame, raw_costs: DataFrame, run_time: str) -> Da
     return scd.merge_open(open_rows, snapshot_rows(raw_costs), KEY, CHECKED, run_time)
 
 
-def priced_as_of(takeoffs: DataFrame, history: DataFrame) -> DataFrame:
-    """Staged takeoffs with the unit costs valid when they were created."""
+def priced_as_of(takeoffs: DataFrame, history: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Staged takeoffs with the unit costs valid when they were created; ``hot`` has codes with very many."""
     rows = scd.as_of(
         takeoffs.select("takeoff_id", "cost_code", "quantity", "created_at"),
-        history, KEY, "created_at", ["scd_id", *CHECKED],
+        history, KEY, "created_at", ["scd_id", *CHECKED], hot,
     )
     return rows.withColumn(
         "extended_cost_mid", F.col("quantity").cast("double") * F.col("unit_cost_mid")

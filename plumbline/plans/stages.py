@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.operators import data_tests
+from plumbline.operators.salting import HotKeys
 from plumbline.operators.value_histogram import ValueHistogram
 from plumbline.plans import marts, quality, reports, snapshots, staging
 from plumbline.sources import raw_csv
@@ -92,7 +93,8 @@ def transform(store: TableStore, run_time: str) -> None:
     facts = marts.fct_takeoffs(takeoffs, pages, projects, costs)
     store.replace("fct_takeoffs", facts, quality.takeoff_measures())
     totals = store.replace("takeoffs_by_project", marts.takeoffs_by_project(takeoffs))
-    facts = marts.fct_estimates(estimates, projects, lines, totals)
+    hot = HotKeys.find(estimates, "project_id", store.keep, "hot_keys.estimates_by_project")
+    facts = marts.fct_estimates(estimates, projects, lines, totals, hot)
     facts = store.replace("fct_estimates", facts, quality.estimate_measures())
     ValueHistogram.build(facts, "estimate_total_mid", store.keep, ESTIMATE_TOTALS)
     store.replace(

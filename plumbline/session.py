@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Settings that hold for every job of this package and may be changed at run
 # time. Adaptive execution sizes broadcasts, merges small shuffle partitions
@@ -49,6 +50,13 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **settings: str
     return spark
 
 
+def one_row(spark: SparkSession, schema: T.StructType, values: Sequence) -> DataFrame:
+    """A frame of one row in one partition, made of literals: no Python data goes through a job."""
+    return spark.range(0, 1, 1, 1).select(
+        *[F.lit(value).cast(field.dataType).alias(field.name) for field, value in zip(schema, values)]
+    )
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system the path names."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,9 +6,9 @@ import json
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from plumbline.session import path_exists
+from plumbline.session import one_row, path_exists
 
-COMMITS = "sequence int, run string, schema string"
+COMMITS = T.StructType().add("sequence", T.IntegerType()).add("run", T.StringType()).add("schema", T.StringType())
 
 
 class HistoryStore:
@@ -93,9 +93,7 @@ class HistoryStore:
         self._merged(commit).where("_closed = 1").drop("_closed").write.mode("overwrite").parquet(
             self._closed_path(commit)
         )
-        self.spark.createDataFrame([commit], COMMITS).coalesce(1).write.mode("append").json(
-            f"{self.root}/commits"
-        )
+        one_row(self.spark, COMMITS, commit).write.mode("append").json(f"{self.root}/commits")
         return self.read()
 
 

@@ -8,9 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
-from plumbline.session import path_exists, scratch_folder
+from plumbline.session import one_row, path_exists, scratch_folder
 
-COMMITS = "number bigint, schema string, apart boolean"
+COMMITS = T.StructType().add("number", T.LongType()).add("schema", T.StringType()).add("apart", T.BooleanType())
 APART = "_apart"
 
 
@@ -27,9 +27,7 @@ def observed(rows: DataFrame, measures: Mapping[str, Column], write: Callable[[D
     found = seen.get
     if set(found) != set(measures):  # the optimizer drops the observation of a table that is empty by its plan
         return shape
-    # Aggregates of an empty table may be NULL whatever the schema says.
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in shape.schema])
-    return rows.sparkSession.createDataFrame([tuple(found[name] for name in measures)], schema)
+    return one_row(rows.sparkSession, shape.schema, [found[name] for name in measures])
 
 
 class TableStore:
@@ -83,11 +81,9 @@ class TableStore:
             (writer if apart is None else writer.partitionBy(APART)).parquet(side)
 
         found = observed(rows, counted, write)
-        found.coalesce(1).write.mode("overwrite").parquet(f"{side}-measures")
-        commit = (number, rows.schema.json(), apart is not None)
-        self.spark.createDataFrame([commit], COMMITS).coalesce(1).write.mode("append").json(
-            f"{self.path(name)}/commits"
-        )
+        found.write.mode("overwrite").parquet(f"{side}-measures")
+        commit = one_row(self.spark, COMMITS, (number, rows.schema.json(), apart is not None))
+        commit.write.mode("append").json(f"{self.path(name)}/commits")
         return self.read(name)
 
     def _stored(self, name: str) -> tuple[DataFrame, bool]:

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 from rows import table
 
+from plumbline.operators import history as scd
+from plumbline.operators.salting import HotKeys
 from plumbline.plans import snapshots, stages
-from plumbline.sources.tables import TableStore
+from plumbline.sources.tables import TableStore, scratch_keep
 
 RUNS = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00", "2024-04-01 00:00:00"]
 
@@ -189,3 +191,33 @@ def test_repeated_codes_are_refused(spark, deliveries, tmp_path):
         stages.snapshot(store, deliveries[0].union(deliveries[0]), RUNS[0])
     with pytest.raises(ValueError):
         stages.snapshot(store, costs(spark, a=(1.0, {})).withColumn("cost_code", F.lit(None).cast("string")), RUNS[0])
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 300])
+def test_as_of_looks_at_each_row_once(spark, hot_rows):
+    """One hot code with 1,000 versions: the window sees facts and versions, not their pairs."""
+    moment = F.timestamp_seconds(F.col("id") * 10).cast("timestamp_ntz")
+    later = F.timestamp_seconds(F.col("id") * 10 + 8).cast("timestamp_ntz")
+    history = spark.range(1000).select(
+        F.lit("hot").alias("code"), moment.alias("valid_from"), later.alias("valid_to"), F.col("id").alias("price")
+    )
+    at = F.timestamp_seconds(F.col("id") * 3 - 30).cast("timestamp_ntz")
+    facts = spark.range(4000).select(
+        "id", F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") % 10 == 8, "cold").alias("code"),
+        F.when(F.col("id") % 7 > 0, at).alias("at"),
+    )
+    hot = HotKeys.find(facts.where("at IS NOT NULL"), "code", scratch_keep(spark), "codes", hot_rows)
+    assert hot.number == (2 if hot_rows == 300 else 0)
+    found = scd.as_of(facts, history, "code", "at", ["price"], hot, hot_rows)
+    rows = {r["id"]: r for r in found.collect()}
+    assert len(rows) == found.count() == 4000 and found.columns == ["id", "code", "at", "valid_from", "price"]
+    for i, row in rows.items():
+        second = i * 3 - 30
+        known = row["code"] == "hot" and row["at"] is not None and 0 <= second < 10_000 and second % 10 < 8
+        assert row["price"] == (second // 10 if known else None)
+    # Every version stands once in each line of its code; no join has a time in its condition.
+    salts = {r["key"]: -(-r["rows"] // hot_rows) for r in hot.counts.collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert salts.get("hot", 1) == (10 if hot_rows == 300 else 1) and "valid_from" not in "".join(
+        line for line in plan.split("\n") if "Join" in line
+    )
