@@ -14,7 +14,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.llm.located import located, matches, no_spans, written
+from plumbline.llm.located import around, located, matches, no_spans, written
 from plumbline.llm.tables import stored
 
 # Possessive quantifiers and a guard against starts within a run that has
@@ -79,16 +79,15 @@ def _terms(text: Column) -> Column:
     return matches(F.lower(text), F.lit(_TERM))
 
 
-def _near(text: Column, span: Column, words: int, reach: int, own_line: bool = True) -> Column:
+def _near(side: Column, words: int, reach: int, own_line: bool = True) -> Column:
     """Terms up to ``words`` before and after a span, wholly within ``reach``, and on its line if ``own_line``.
 
-    One code point more is read on each side: letters at that edge belong to a
-    word that reaches beyond it, or are one too far.
+    ``side`` has the span and one code point more than ``reach`` on each side:
+    letters at that edge belong to a word that reaches beyond it, or are one
+    too far.
     """
-    first = F.greatest(span["start"] - (reach + 1), F.lit(0))
-    before = F.substring(text, first + 1, span["start"] - first)
-    before = F.when(span["start"] > reach, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    after = F.substring(text, span["end"] + 1, F.lit(reach + 1))
+    before, after = side["before"], side["after"]
+    before = F.when(F.length(before) > reach, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
     after = F.when(F.length(after) > reach, F.regexp_replace(after, r"\p{L}++\z", "")).otherwise(after)
     if own_line:
         before, after = F.substring_index(before, "\n", -1), F.substring_index(after, "\n", 1)
@@ -208,9 +207,9 @@ def sanitise(
     with_spans = held.where("any")
     words, reach, own_line = limits.pop("words", 5), limits.pop("reach", _REACH), limits.pop("own_line", False)
     near = stored(
-        with_spans.select("doc", "copy", "text", F.explode(all_spans).alias("s")).select(
-            "doc", "copy", F.col("s.entity").alias("entity"), _near(F.col("text"), F.col("s"), words, reach, own_line).alias("near")
-        ),
+        with_spans.withColumn("all", all_spans)
+        .select("doc", "copy", F.explode(around(F.col("text"), F.col("all"), reach + 1, reach + 1)).alias("s"))
+        .select("doc", "copy", "s.span.entity", _near(F.col("s"), words, reach, own_line).alias("near")),
         "disclosure-near",
     )
     texts = docs.select(

@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.llm.located import located, matches
+from plumbline.llm.located import around, located, matches
 from plumbline.llm.tables import row_hash, stored
 
 # Words before an assigned secret, beginnings of well-known tokens.
@@ -21,8 +21,8 @@ KEYWORDS = f"(?i){_WORDS}"
 _ASSIGNS = _WORDS + r"(?:[_-]\w{1,12})?\W{0,3}(?:=>|:=|[=:])"
 ASSIGNED = rf"(?i)(?:{_ASSIGNS}|{_WORDS}\W{{0,3}}\s)\W{{0,3}}$"
 _BEGIN, _END = (rf"-----{side}\x20[A-Z0-9\x20]{{0,30}}PRIVATE\x20KEY(?:\x20BLOCK)?-----" for side in ("BEGIN", "END"))
-_LINES = r"(?:(?:\s|\\[nr]){1,8}(?:[A-Za-z0-9+/]{16,}+={0,2}|[A-Z][A-Za-z-]{2,20}:\x20[^\r\n]{0,80})){0,200}"
-_BLOCK = rf"{_BEGIN}(?:[A-Za-z0-9+/=\s:,.()\\-]{{0,8192}}?{_END}|{_LINES})"
+_LINES = r"(?:(?:\s|\\[nr]){1,8}(?:[A-Za-z0-9+/]{16,}+={0,2}|[A-Z][A-Za-z-]{2,20}:\x20[^\r\n]{0,80}))*+"
+_BLOCK = rf"{_BEGIN}(?:[A-Za-z0-9+/=\s:,.()\\-]*?{_END}|{_LINES})"
 _RUN, _PADDING = "[A-Za-z0-9+/_-]", r"(?:={1,2}+(?![A-Za-z0-9+/_=-]))?"
 _MARKS = "+/_=-.@!#$%^*~?:"
 _FREE = "[A-Za-z0-9+/_@!#$%^*~-]"
@@ -61,15 +61,10 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = None) ->
         row_hash(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body.alias("body"), F.coalesce(where, F.lit("")).alias("path")
     ).withColumn("found", matches(F.col("body"), F.lit(CANDIDATE)))
     spans = located(F.col("body"), F.lit(CANDIDATE), F.col("found"))
-    first = F.greatest(F.col("s.start") - _BEFORE, F.lit(0))
-    return found.where(F.size("found") > 0).select("row", "path", "body", F.explode(spans).alias("s")).select(
-        "row",
-        "path",
-        F.col("s.start").alias("start"),
-        F.col("s.end").alias("end"),
-        F.col("s.value").alias("value"),
-        F.substring("body", first + 1, F.col("s.start") - first).alias("before"),
-        F.substring("body", F.col("s.end") + 1, F.lit(_AFTER)).alias("after"),
+    found = found.where(F.size("found") > 0).withColumn("spans", spans)
+    sides = around(F.col("body"), F.col("spans"), _BEFORE, _AFTER)
+    return found.select("row", "path", F.explode(sides).alias("s")).select(
+        "row", "path", "s.span.start", "s.span.end", "s.span.value", "s.before", "s.after"
     )
 
 
