@@ -17,6 +17,9 @@ _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 _FOLD = bytes(int(packed.LOWER[b]) if _IS_WORD[packed.LOWER[b]] else 0x20 for b in range(256))
 
+# Helper columns, so that a table may have columns of any name.
+N_WORDS, MARKS, ITEMS = "__dc_words", "__dc_marks", "__dc_items"
+
 
 def words_of(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode().translate(_FOLD).split()
@@ -102,24 +105,22 @@ def scan(
     item_text: str = "text",
     most_windows: int = 2_000_000,
 ) -> DataFrame:
-    """``docs`` with ``n_words`` and ``spans`` of what benchmark items they contain.
+    """``docs`` with marks of what benchmark items they contain, in columns of their own (``__dc_...``).
 
-    ``spans`` is an array of (first word, end word, item) for maximal hit runs
-    per item set; see ``report`` and ``clean`` for what follows from it. The
+    See ``report`` and ``clean`` for what follows from them. The
     benchmark goes to the executors as a hash set of at most ``most_windows``
     windows. A larger benchmark is cut by item hash into blocks that each stay
     below, and the documents pass one block after the other, stored between.
 
     NULL texts have no words; NULL items match nothing; repeated items and
-    documents are all reported. Columns named like an output are replaced.
+    documents are all reported. All columns stay as they are.
     """
     blocks = max(1, -(-_window_count(benchmark, item_text) // most_windows))
-    docs = docs.drop("n_words", "hit_words", "found_items")
     out = docs.withColumns(
         {
-            "n_words": F.lit(0).cast("bigint"),
-            "hit_words": F.lit(None).cast("binary"),
-            "found_items": F.array().cast("array<string>"),
+            N_WORDS: F.lit(0).cast("bigint"),
+            MARKS: F.lit(None).cast("binary"),
+            ITEMS: F.array().cast("array<string>"),
         }
     )
     for block in range(blocks):
@@ -142,8 +143,8 @@ def _scanner(known, text: str):
         for whole in batches:
             for batch in packed.chunks(whole, text):
                 counts, hit, items, flags = windows.hits(batch.column(text).to_pylist())
-                before = batch.column("hit_words").to_pylist()
-                had = batch.column("found_items").to_pylist()
+                before = batch.column(MARKS).to_pylist()
+                had = batch.column(ITEMS).to_pylist()
                 marks = []
                 for old, new, n in zip(before, flags, hit):
                     bits = np.packbits(new).tobytes() if n else None
@@ -152,9 +153,9 @@ def _scanner(known, text: str):
                     marks.append(bits if bits is not None else old)
                 found = [sorted({*a, *b}) for a, b in zip(had, items)]
                 columns = dict(zip(batch.schema.names, batch.columns))
-                columns["n_words"] = pa.array(counts, pa.int64())
-                columns["hit_words"] = pa.array(marks, pa.binary())
-                columns["found_items"] = pa.array(found, pa.list_(pa.string()))
+                columns[N_WORDS] = pa.array(counts, pa.int64())
+                columns[MARKS] = pa.array(marks, pa.binary())
+                columns[ITEMS] = pa.array(found, pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
@@ -173,14 +174,14 @@ def hit_count(marks: Column) -> Column:
 
 def report(scanned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Per document: words, hit words, items found, a digest of the items, contaminated."""
-    items = F.sort_array("found_items")
+    items = F.sort_array(ITEMS)
     return scanned.select(
         F.col(doc_id).alias("doc_id"),
-        "n_words",
-        hit_count(F.col("hit_words")).alias("n_hit"),
-        F.size("found_items").cast("bigint").alias("n_items"),
+        F.col(N_WORDS).alias("n_words"),
+        hit_count(F.col(MARKS)).alias("n_hit"),
+        F.size(ITEMS).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
-        (hit_count(F.col("hit_words")) > 0).alias("contaminated"),
+        (hit_count(F.col(MARKS)) > 0).alias("contaminated"),
     )
 
 
@@ -191,9 +192,9 @@ def clean(scanned: DataFrame, text: str = "text", drop_from: float = 0.5) -> Dat
     around it stays as it is. Documents without a hit are unchanged.
     """
     hit = scanned.where(
-        F.col("hit_words").isNull() | (hit_count(F.col("hit_words")) < drop_from * F.col("n_words"))
+        F.col(MARKS).isNull() | (hit_count(F.col(MARKS)) < drop_from * F.col(N_WORDS))
     )
-    kept = [field for field in hit.schema.fields if field.name not in ("n_words", "hit_words", "found_items")]
+    kept = [field for field in hit.schema.fields if field.name not in (N_WORDS, MARKS, ITEMS)]
     return in_small_batches(hit).mapInArrow(_cutter(text, [f.name for f in kept]), T.StructType(kept))
 
 
@@ -213,7 +214,7 @@ def _cut(text: str, marks: bytes) -> str:
 def _cutter(text: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = batch.column("hit_words").to_pylist()
+            marks = batch.column(MARKS).to_pylist()
             kept = batch.select(names)
             if any(mark is not None for mark in marks):
                 texts = batch.column(text).to_pylist()

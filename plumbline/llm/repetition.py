@@ -168,9 +168,13 @@ def assess(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> Da
     and empty texts have no words and fail. Ties and repeated rows do not
     matter. Memory is bounded by a chunk of texts or the longest single one.
     """
-    names = [name for name, _ in COLUMNS]
-    docs = docs.drop(*names)
-    schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in COLUMNS)).fields)
+    return _measured(docs.drop(*[name for name, _ in COLUMNS]), text, limits, "")
+
+
+def _measured(docs: DataFrame, text: str, limits: Limits, prefix: str) -> DataFrame:
+    names = [f"{prefix}{name}" for name, _ in COLUMNS]
+    measures = ", ".join(f"{name} {kind}" for name, (_, kind) in zip(names, COLUMNS))
+    schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(measures).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -184,6 +188,6 @@ def assess(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> Da
 
 
 def keep(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    names = docs.columns
-    return assess(docs, text, limits).where("kept").select(*[F.col(f"`{name}`") for name in names])
+    """The documents that pass, with their own columns, whatever their names."""
+    measured = _measured(docs, text, limits, "__rp_")
+    return measured.where("__rp_kept").select(*[F.col(f"`{name}`") for name in docs.columns])
