@@ -161,8 +161,9 @@ def plan_draws(
         (F.col(_BLOCK) != F.col("broken_block")) | F.col("cut").isNull() | (order_key > F.col("cut"))
     )
     miss = F.abs(F.col(_SIZE) - F.col("left"))
+    together = units.groupBy(_SOURCE, _BLOCK, _KEY).agg(F.sum(_SIZE).alias(_SIZE))  # equal rows share a key
     closing = (
-        units.join(filled.select(_SOURCE, _BLOCK, "whole"), [_SOURCE, _BLOCK])
+        together.join(filled.select(_SOURCE, _BLOCK, "whole"), [_SOURCE, _BLOCK])
         .join(cuts, _SOURCE)
         .where(unused & (miss < F.col("left")))
         .groupBy(_SOURCE)
@@ -233,9 +234,10 @@ def _joined(units: DataFrame, plan: DataFrame, seed: int, bound: int = 200_000)
 def mix_report(
     docs: DataFrame, source: str, size: Column, blocks: int = 4096, seed: int = 7, **settings
 ) -> DataFrame:
-    """Every row of ``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
+    """Every row of ``docs`` with ``size``, ``source_size``, ``target``, ``copies``, ``taken`` and ``shards``.
 
-    See ``mix``; input columns of these names are replaced.
+    ``shards`` has the output shard of every copy, in ascending order, as the
+    splitting tree dealt them. See ``mix``; input columns of these names are replaced.
     """
     units = _units(docs, source, size, blocks)
     plan = plan_draws(units, seed=seed, **settings)
@@ -245,6 +247,7 @@ def mix_report(
         "target": F.col("__mx_target"),
         "copies": F.size("__mx_shards"),
         "taken": F.col(_SIZE) * F.size("__mx_shards"),
+        "shards": F.sort_array("__mx_shards"),
     }
     kept = [c for c in docs.columns if c.lower() not in out]
     return _joined(units, plan, seed).select(

@@ -33,7 +33,7 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
         "mix-documents",
     )
     return mixing.mix_report(narrow, "source", F.col("size")).select(
-        "doc_id", "size", "source_size", "target", "taken", "copies"
+        "doc_id", "size", "source_size", "target", "taken", "copies", "shards"
     )
 
 
