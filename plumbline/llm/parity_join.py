@@ -18,9 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plumbline.llm import packed
+from plumbline.llm import key_filter, packed
 from plumbline.llm.components import components
-from plumbline.llm.tables import in_small_batches, row_hash, stored
+from plumbline.llm.tables import free_shuffles, in_small_batches, row_hash, stored
 
 SHINGLE, PERCENT = 4, 85
 STARS = 2  # rounds in which a cell's classes are compared with one of them
@@ -78,9 +78,13 @@ def set_hashes(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 
 
 def sketches(values: np.ndarray, firsts: np.ndarray) -> list[bytes]:
-    """Parity bits of each set: four per shingle, rounded up to a power of two."""
+    """Parity bits of each set: one per shingle, rounded up to a power of two.
+
+    Sketches are shuffled with every candidate, so they are short: unrelated
+    sets still differ in about half of the bits, a third being allowed at 80 %.
+    """
     counts = np.diff(firsts)
-    bits = np.array([max(64, 1 << int(4 * n - 1).bit_length()) if n else 0 for n in counts], np.int64)
+    bits = np.array([max(64, 1 << int(n - 1).bit_length()) if n else 0 for n in counts], np.int64)
     start = np.concatenate([[0], np.cumsum(bits)])
     place = packed.mix64(values ^ np.uint64(0x2545F4914F6CDD1D))
     place = (place & np.repeat(bits - 1, counts).astype(np.uint64)).astype(np.int64)
@@ -167,14 +171,19 @@ def _cells(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterat
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], size: int, known) -> Iterator[pa.RecordBatch]:
+    """Sets of the rows that may be wanted, so that no text needs to be shuffled."""
     for whole in batches:
-        for batch in packed.chunks(whole, "text"):
+        likely = key_filter.may_hold(known.value, whole.column("row").to_numpy())
+        for batch in packed.chunks(whole.filter(pa.array(likely)), "text"):
             values, firsts = shingle_sets(batch.column("text"), size)
             flat = values.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cls"), pa.array([flat[8 * a : 8 * b] for a, b in zip(firsts, firsts[1:])], pa.binary())],
-                names=["cls", "members"],
+                [
+                    *(batch.column(c) for c in ("row", "doc_id")),
+                    pa.array([flat[8 * a : 8 * b] for a, b in zip(firsts, firsts[1:])], pa.binary()),
+                ],
+                names=["row", "doc_id", "members"],
             )
 
 
@@ -282,6 +291,7 @@ def _classes(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
     ).withColumn("row", row_hash("doc_id", "text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
+    context = docs.sparkSession.sparkContext
     described = stored(
         rows.select("row", "doc_id", "text")
         .mapInArrow(partial(_describe, size=size), f"row bigint, doc_id {id_type}, n bigint, cls bigint, sketch binary"),
@@ -308,6 +318,7 @@ def _classes(
         .distinct(),
         "parity-cells",
     )
+    free_shuffles(docs.sparkSession)
 
     def near(pairs: DataFrame) -> DataFrame:
         left = info.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -319,10 +330,13 @@ def _classes(
     def members(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
         chosen = wanted.join(info, "cls").select("cls", F.col("row").alias("of"), F.col("doc_id").alias("id"))
-        texts = rows.join(chosen, _same_row("row", "doc_id", "of", "id")).dropDuplicates(["cls"])
-        return stored(
-            texts.select("cls", "text").mapInArrow(partial(_sets, size=size), "cls bigint, members binary"), "parity-sets"
+        chosen = stored(chosen, "parity-chosen")
+        known = context.broadcast(key_filter.bitmap(chosen, "of"))
+        sets = rows.select("row", "doc_id", "text").mapInArrow(
+            partial(_sets, size=size, known=known), f"row bigint, doc_id {id_type}, members binary"
         )
+        found = sets.join(chosen, _same_row("row", "doc_id", "of", "id")).dropDuplicates(["cls"])
+        return stored(found.select("cls", "members"), "parity-sets")
 
     def open_cells(labels: DataFrame | None, seed: int) -> DataFrame:
         """Classes of the cells that are not all in one component, with the cell's size and a centre."""
@@ -352,7 +366,9 @@ def _classes(
             F.least("cls", "centre.cls").alias("a"), F.greatest("cls", "centre.cls").alias("b")
         ).distinct()
         pairs = stored(near(pairs), "parity-stars")
+        free_shuffles(docs.sparkSession)
         found = stored(_links(pairs, members(pairs), percent), "parity-links")
+        free_shuffles(docs.sparkSession)
         links = found if links is None else links.union(found)
         labels = components(links)
 
@@ -374,7 +390,9 @@ def _classes(
         .distinct(),
         "parity-apart",
     )
+    free_shuffles(docs.sparkSession)
     more = stored(_links(apart, members(apart), percent), "parity-links")
+    free_shuffles(docs.sparkSession)
     labels = components(links.union(more)).withColumnRenamed("node", "cls")
     return described.drop("sketch"), labels
 
@@ -431,14 +449,26 @@ def keep_one(
         .agg(F.min("first").alias("first"))
         .select(F.col("first.row").alias("__pj_of"), F.col("first.doc_id").alias("__pj_id"))
     )
+    kept = stored(kept, "parity-kept")
+    # A row that stays and has no equal one needs no further look; a bitmap of
+    # all others tells most of them, so that few texts are shuffled.
+    copies = described.where("cls IS NOT NULL").groupBy("row", "doc_id").agg(F.count("*").alias("copies"))
+    unsure = copies.join(kept, _same_row("row", "doc_id", "__pj_of", "__pj_id"), "left").where(
+        "__pj_of IS NULL OR copies > 1"
+    )
+    known = docs.sparkSession.sparkContext.broadcast(key_filter.bitmap(unsure, "row"))
+    free_shuffles(docs.sparkSession)
+
     columns = [F.col(f"`{c}`") for c in docs.columns]
     words = F.coalesce(F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
     one = Window.partitionBy("__pj_row", doc_id).orderBy("__pj_key")
-    with_words = (
-        docs.where(words)
-        .withColumns({"__pj_row": row_hash(doc_id, text), "__pj_key": row_hash(*columns)})
+    marked = docs.withColumn("__pj_row", row_hash(doc_id, text))
+    marked = marked.withColumn("__pj_unsure", words & key_filter.flag(known, "__pj_row"))
+    looked_at = (
+        marked.where("__pj_unsure")
+        .withColumn("__pj_key", row_hash(*columns))
         .join(kept, _same_row("__pj_row", doc_id, "__pj_of", "__pj_id"))
         .withColumn("__pj_place", F.row_number().over(one))
         .where("__pj_place = 1")
     )
-    return with_words.select(*columns).union(docs.where(~words).select(*columns))
+    return looked_at.select(*columns).union(marked.where("NOT __pj_unsure").select(*columns))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline.session import scratch_folder
@@ -22,6 +24,17 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of steps that are over.
+
+    Spark deletes them once the driver has collected the frames they belong
+    to, which it puts off while its heap has room. A long chain of stored
+    steps would keep them all on the executors' disks.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def row_hash(*columns: Column | str, seed: int = 0) -> Column:
     """64-bit hash of columns that tells a NULL from an empty value and from a missing one."""
     parts = [F.col(c) if isinstance(c, str) else c for c in columns]

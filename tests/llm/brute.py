@@ -71,16 +71,16 @@ def quality(docs, longest_allowed=100, cover=30):
     return out
 
 
-def shingles(text):
+def shingles(text, size=4):
     words = re.findall(SPACES, (text or "").translate(LOWER))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3)))
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
 
 
-def similar(docs):
+def similar(docs, size=4, percent=85):
     """Rows with ids that are all different and not NULL."""
-    sets = [(doc, shingles(text)) for doc, text in docs]
+    sets = [(doc, shingles(text, size)) for doc, text in docs]
     parent = {doc: doc for doc, _ in docs}
 
     def root(x):
@@ -99,7 +99,7 @@ def similar(docs):
             for b in group[i + 1 :]:
                 common[a, b] += 1
     for (a, b), n in common.items():
-        if 100 * n >= 85 * (len(by[a]) + len(by[b]) - n):
+        if 100 * n >= percent * (len(by[a]) + len(by[b]) - n):
             x, y = root(a), root(b)
             parent[max(x, y)] = min(x, y)
     return [(doc, len(s), root(doc)) for doc, s in sets]

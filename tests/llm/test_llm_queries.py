@@ -4,6 +4,7 @@ from collections import Counter
 
 import brute
 import corpus_pipeline
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from compare import connect, difference
@@ -12,6 +13,7 @@ from test_llm_operators import plain_scores
 from plumbline.llm import mixing
 from plumbline.llm.oracle import LLM_SQL
 from plumbline.llm.queries import QUERIES
+from plumbline.llm.tables import stored
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -72,7 +74,7 @@ def test_pipeline(spark, documents):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == good
 
     single = stages["near_duplicates"](spark, kept, FOLDER)
-    roots = {root for _, _, root in brute.similar([(i, text[i]["text"]) for i in sorted(good)])}
+    roots = {root for _, _, root in brute.similar([(i, text[i]["text"]) for i in sorted(good)], size=5, percent=80)}
     assert single.columns == docs.columns and sorted(r["doc_id"] for r in single.collect()) == sorted(roots)
 
     items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{FOLDER}/benchmark.parquet").to_pylist()]
@@ -101,5 +103,38 @@ def test_pipeline(spark, documents):
     assert len(slots) == sum(copies.values())
 
 
+def test_mix_goes_through_its_tree(spark, documents, monkeypatch):
+    """The query shows the shards that the tree dealt, and each source's draws spread over them."""
+    got = QUERIES["op1_mix_sources"](spark, FOLDER).collect()
+    assert all(len(r["shards"]) == r["copies"] and r["taken"] == r["size"] * r["copies"] for r in got)
+    by_shard = Counter(s for r in got for s in r["shards"])
+    assert len(by_shard) == 16 and max(by_shard.values()) <= 3 * min(by_shard.values()) + 10
+    monkeypatch.setattr(mixing, "splitting_tree", lambda quotas, shards, seed: np.array([quotas] + [[0] * len(quotas)] * (shards - 1)))
+    broken = QUERIES["op1_mix_sources"](spark, FOLDER).collect()
+    assert {s for r in broken for s in r["shards"]} == {0}
+
+
+ODD = "text string, n_words string, hit_words int, found_items string, kept string, n_chars bigint, doc_id bigint, source string, row string, `__place` string, extra array<int>"
+
+
+def test_stages_keep_every_column(spark):
+    """Odd rows and clashing names go through all stages; empty tables too."""
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [
+        (text, "mine", 1, "f", "k", len(text), 1, "s", "r", "p", [1]), (text, "mine", 1, "f", "k", len(text), 1, "s", "r", "p", [1]),
+        (text + " more", None, None, None, None, None, None, None, None, None, None), (None, "mine", 2, "g", "k", 5, 2, "s", "r", "p", []),
+        ("", "x", 3, "h", "k", 0, None, None, "r", "p", None), (text.replace("word", "other"), "n", 4, "i", "j", len(text) + 60, 3, "t", "r", "p", [2]),
+    ]
+    for docs in (spark.createDataFrame(rows, ODD), spark.createDataFrame(rows[:0], ODD)):
+        whole = {tuple(map(str, r)) for r in docs.collect()}
+        for name, stage in corpus_pipeline.STAGES:
+            columns = docs.columns
+            docs = stored(stage(spark, docs, FOLDER), f"test-{name}")
+            assert docs.columns == (columns if name != "sharding" else [*columns, "shard", "slot"])
+            if name != "sharding":
+                assert {tuple(map(str, r)) for r in docs.collect()} <= whole
+        assert docs.count() > 0 if whole else docs.count() == 0
+
+
 def test_pipeline_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
