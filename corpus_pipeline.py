@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.llm import decontaminate, histogram_sort, mixing, parity_join, repetition
-from plumbline.llm.tables import stored, table
+from plumbline.llm.tables import row_hash, stored, table
 
 SHARDS = 24
 
@@ -40,9 +40,10 @@ def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the shard and the slot in it; shards have near equal bytes."""
+    """Adds the shard and the slot in it, in hashed order; shards have near equal bytes."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 8
-    return histogram_sort.histogram_sort(docs, "doc_id", size, SHARDS)
+    placed = docs.withColumn("__cp_place", row_hash("doc_id", "text", seed=11))
+    return histogram_sort.histogram_sort(placed, "__cp_place", size, SHARDS).drop("__cp_place")
 
 
 STAGES = [
