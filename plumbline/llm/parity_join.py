@@ -99,7 +99,8 @@ def cell_keys(values: np.ndarray, firsts: np.ndarray, percent: int = PERCENT) ->
 
     Cells are ranges of the shingle hash, so sorted sets need no further sort.
     Empty cells give no key, unless a set fills so few cells that two such
-    sets might agree in empty cells alone.
+    sets might agree in empty cells alone. The lowest bit of a key is that of
+    its band: with the size of a set it tells whether the band is its own.
     """
     counts = np.diff(firsts)
     if not len(values):
@@ -120,13 +121,15 @@ def cell_keys(values: np.ndarray, firsts: np.ndarray, percent: int = PERCENT) ->
         used = cells[owner[at]] > 0
         xor = np.bitwise_xor.reduceat(spread, at)
         place = packed.mix64((band[owner[at]] << 32 | cell[at]).astype(np.uint64))
-        keys.append(packed.mix64(xor[used] ^ place[used]))
+        low = (band[owner[at]] & 1).astype(np.uint64)
+        keys.append(packed.mix64(xor[used] ^ place[used]) & ~np.uint64(1) | low[used])
         sets.append(owner[at][used])
         filled = np.bincount(owner[at][used], minlength=len(counts))
         for few in np.flatnonzero((cells > 0) & (filled <= bound)):
             empty = np.setdiff1d(np.arange(cells[few]), cell[firsts[few] : firsts[few + 1]])
             place = packed.mix64((band[few] << 32 | empty).astype(np.uint64))
-            keys.append(packed.mix64(place ^ np.uint64(0xE7037ED1A0B428DB)))
+            key = packed.mix64(place ^ np.uint64(0xE7037ED1A0B428DB))
+            keys.append(key & ~np.uint64(1) | np.uint64(int(band[few]) & 1))
             sets.append(np.full(len(empty), few))
     return np.concatenate(keys), np.concatenate(sets)
 
@@ -247,11 +250,15 @@ def _apart(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         width = min(len(s) for s in group["sketch"]) // 8
         bits = np.stack([_folded(s, width) for s in group["sketch"]])
         size, label = np.array(group["n"]), np.array(group["label"])
+        # Two sets of a band meet in its own cells; in those of the next band they need no second look.
+        own = np.searchsorted(bands(int(size.max()), percent), size, side="right") - 1
+        above = (own & 1) != (group["h"][0] & 1)
         names, block = np.array(group["cls"]), np.array(group["block"])
         a, b = [], []
         for place in range(len(names) - 1):
             rest = slice(place + 1, None)
             open_ = (label[rest] != label[place]) & ((group["i"][0] == group["j"][0]) | (block[rest] != block[place]))
+            open_ &= ~(above[rest] & above[place])
             at = np.flatnonzero(open_) + place + 1
             distance = np.bitwise_count(bits[at] ^ bits[place]).sum(axis=1, dtype=np.int64)
             at = at[_may_link(size[at], size[place], distance, percent)]
