@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rows import by, table
 
 from plumbline.plans import dashboards, marts, quality, reports, rollups, staging
+from plumbline.sources.tables import scratch_keep
 
 
 @pytest.fixture(scope="module")
@@ -202,7 +203,7 @@ def test_rollups(spark, build):
     assert rows[2]["estimate_total_mid"] == 684.0
     assert rows[3]["estimate_total_mid"] == 0.0
     lines = by(
-        rollups.estimate_line_item_rollup(versions, s["takeoff_items"], s["cost_library"]).where(
+        rollups.estimate_line_item_rollup(versions, s["takeoff_items"], s["cost_library"], scratch_keep(spark)).where(
             "estimate_id = 2"
         ),
         "cost_code",
