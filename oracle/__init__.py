@@ -11,3 +11,7 @@ DISPUTED = [
     "dq_test_results", "dq_checks_summary", "check_valid_quantities",
 ]
 ORACLE_SQL |= {f"{name}_disputed": assemble(RESULTS[name], DISPUTED_TABLES) for name in DISPUTED}
+
+# The same results over tables stored in buckets.
+COLOCATED = ["fct_takeoffs", "mart_takeoff_quality_monitoring"]
+ORACLE_SQL |= {f"{name}_colocated": ORACLE_SQL[name] for name in COLOCATED}

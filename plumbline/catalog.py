@@ -91,6 +91,12 @@ class Warehouse:
             self.raw.estimates(version=False), "project_id", scratch_keep(self.spark), "crowded_projects"
         )
 
+    @cached_property
+    def paged(self) -> tuple[DataFrame, DataFrame]:
+        """Staged takeoffs and pages, stored in buckets of the page."""
+        store = TableStore(self.spark, scratch_folder(self.spark, "paged"))
+        return stages.by_page(store, self.table("raw.takeoff_items"), self.table("raw.blueprint_pages"))
+
     @cached_property
     def crowded_codes(self) -> HotKeys:
         """Cost codes with very many takeoffs."""
@@ -215,6 +221,13 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "mart_estimate_cost_breakdown": _tables("mart_estimate_cost_breakdown"),
     "mart_takeoff_quality_monitoring": _tables("mart_takeoff_quality_monitoring"),
     "mart_estimation_dashboard": _tables("mart_estimation_dashboard"),
+    # over takeoffs and pages stored in buckets of the page
+    "fct_takeoffs_colocated": lambda w: marts.fct_takeoffs(
+        *w.paged, w.table("stg_projects"), w.table("stg_cost_library")
+    ),
+    "mart_takeoff_quality_monitoring_colocated": lambda w: marts.mart_takeoff_quality_monitoring(
+        *w.paged, w.table("stg_projects"), w.table("stg_qa_reviews")
+    ),
     # their inner aggregates
     "agg_distinct_counts": lambda w: marts.pages_by_project(w.table("stg_blueprint_pages")),
     "agg_estimate_details": lambda w: marts.line_items_by_estimate(

@@ -21,6 +21,7 @@ from plumbline.functions import (
     round_half_away,
     tier_from,
 )
+from plumbline.operators.colocated import common_key
 from plumbline.operators.latest import latest_per_key
 from plumbline.operators.salting import HOT_ROWS, HotKeys, salted_join
 
@@ -134,17 +135,19 @@ def fct_takeoffs(
     """One row per takeoff with page, project and price; orphans drop out.
 
     The project is the takeoff's own, not that of its page. Columns a caller
-    left out of ``takeoffs`` stay out.
+    left out of ``takeoffs`` stay out. Takeoffs and pages that are co-located by
+    page meet without a shuffle.
     """
     method = F.col("extraction_method")
+    page_key = common_key(takeoffs, pages, "page_id")
     joined = (
         takeoffs.withColumnRenamed("created_at", "takeoff_created_at")
         .join(
             pages.select(
-                "page_id", "sheet_number", "discipline", "discipline_name", "page_title",
+                *page_key, "sheet_number", "discipline", "discipline_name", "page_title",
                 "page_version",
             ),
-            "page_id",
+            page_key,
         )
         .join(
             costs.select(
@@ -305,8 +308,9 @@ def mart_takeoff_quality_monitoring(
     also in ``issue_rate_per_100``; they must not be summed over rows.
     """
     method = F.col("extraction_method")
+    page_key = common_key(takeoffs, pages, "page_id")
     volumes = (
-        takeoffs.join(pages.select("page_id", "discipline", "discipline_name"), "page_id")
+        takeoffs.join(pages.select(*page_key, "discipline", "discipline_name"), page_key)
         .groupBy("project_id", "discipline", "discipline_name")
         .agg(
             F.count("*").alias("total_takeoffs"),

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.operators import data_tests
+from plumbline.operators.colocated import colocate
 from plumbline.operators.salting import HotKeys
 from plumbline.operators.value_histogram import ValueHistogram
 from plumbline.plans import marts, quality, reports, snapshots, staging
@@ -81,7 +82,27 @@ def rejects(store: TableStore, name: str) -> DataFrame:
     return apart.select(F.col(raw_csv.LINE).alias("line"), F.col(raw_csv.REASONS).alias("reasons"))
 
 
-def transform(store: TableStore, run_time: str) -> None:
+def by_page(
+    store: TableStore, takeoffs: DataFrame, pages: DataFrame, buckets: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Raw takeoffs and pages stored in buckets of the page, staged as they are read.
+
+    One shuffle of the takeoffs serves every join with their pages. The buckets
+    number as many as shuffle partitions unless given; Spark allows 100,000.
+    """
+    partitions = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
+    takeoffs, pages = colocate(
+        store,
+        ("colocated.takeoff_items", takeoffs),
+        ("colocated.blueprint_pages", pages),
+        "page_id",
+        F.col("takeoff_id"),
+        buckets or min(partitions, 100_000),
+    )
+    return staging.stg_takeoff_items(takeoffs), staging.stg_blueprint_pages(pages)
+
+
+def transform(store: TableStore, run_time: str, buckets: int | None = None) -> None:
     """Facts, marts and the price history."""
 
     def stg(name: str) -> DataFrame:
@@ -90,7 +111,10 @@ def transform(store: TableStore, run_time: str) -> None:
     takeoffs, pages, projects = stg("takeoff_items"), stg("blueprint_pages"), stg("projects")
     costs, estimates = stg("cost_library"), stg("estimates")
     lines, reviews = stg("estimate_line_items"), stg("qa_reviews")
-    facts = marts.fct_takeoffs(takeoffs, pages, projects, costs)
+    paged_takeoffs, takeoff_pages = by_page(
+        store, raw_table(store, "takeoff_items"), raw_table(store, "blueprint_pages"), buckets
+    )
+    facts = marts.fct_takeoffs(paged_takeoffs, takeoff_pages, projects, costs)
     store.replace("fct_takeoffs", facts, quality.takeoff_measures())
     totals = store.replace("takeoffs_by_project", marts.takeoffs_by_project(takeoffs))
     hot = HotKeys.find(estimates, "project_id", store.keep, "hot_keys.estimates_by_project")
@@ -103,7 +127,7 @@ def transform(store: TableStore, run_time: str) -> None:
     )
     store.replace(
         "mart_takeoff_quality_monitoring",
-        marts.mart_takeoff_quality_monitoring(takeoffs, pages, projects, reviews),
+        marts.mart_takeoff_quality_monitoring(paged_takeoffs, takeoff_pages, projects, reviews),
     )
     store.replace(
         "mart_estimation_dashboard",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -10,7 +11,14 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, funct
 
 from plumbline.session import one_row, path_exists, scratch_folder
 
-COMMITS = T.StructType().add("number", T.LongType()).add("schema", T.StringType()).add("apart", T.BooleanType())
+COMMITS = (
+    T.StructType()
+    .add("number", T.LongType())
+    .add("schema", T.StringType())
+    .add("apart", T.BooleanType())
+    .add("buckets", T.IntegerType())
+    .add("bucket_by", T.StringType())
+)
 APART = "_apart"
 
 
@@ -43,6 +51,11 @@ class TableStore:
     Every write counts its rows, and further ``measures`` if given, while it
     writes. Rows for which ``apart`` holds are kept beside the table in the
     same write; ``read`` leaves them out and ``read_apart`` gives them.
+
+    A table may be stored in buckets of some columns; joins and groups on these
+    then need no shuffle. Spark takes buckets from its catalog only, so such a
+    table is declared there as an external one, anew in each session that reads
+    it; the commit row says how.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -66,8 +79,15 @@ class TableStore:
         rows: DataFrame,
         measures: Mapping[str, Column] | None = None,
         apart: Column | None = None,
+        buckets: int | None = None,
+        bucket_by: Sequence[str] = (),
     ) -> DataFrame:
-        """Write a table anew and return it as stored. ``rows`` may read the same table."""
+        """Write a table anew and return it as stored. ``rows`` may read the same table.
+
+        With ``buckets`` the rows are shuffled by ``bucket_by`` once, into one file for each.
+        """
+        if buckets is not None and apart is not None:
+            raise ValueError("a table in buckets keeps no rows apart")
         number = self._commit(name)["number"] + 1 if self.exists(name) else 1
         side = self._side(name, number)
         counted = {"row_count": F.count("*"), **(measures or {})}
@@ -77,18 +97,43 @@ class TableStore:
             counted["apart_count"] = F.count_if(F.col(APART))
 
         def write(frame: DataFrame) -> None:
+            if buckets is not None:
+                declared = self._declare(name, number, rows.schema, buckets, bucket_by)
+                frame.repartition(buckets, *bucket_by).write.insertInto(declared, overwrite=True)
+                return
             writer = frame.write.mode("overwrite")
             (writer if apart is None else writer.partitionBy(APART)).parquet(side)
 
         found = observed(rows, counted, write)
         found.write.mode("overwrite").parquet(f"{side}-measures")
-        commit = one_row(self.spark, COMMITS, (number, rows.schema.json(), apart is not None))
+        by = json.dumps(list(bucket_by))
+        commit = one_row(self.spark, COMMITS, (number, rows.schema.json(), apart is not None, buckets, by))
         commit.write.mode("append").json(f"{self.path(name)}/commits")
         return self.read(name)
 
+    def _declare(self, name: str, number: int, schema: T.StructType, buckets: int, by: Sequence[str]) -> str:
+        """Tells the catalog of a side in buckets and returns the table's name there."""
+        side = self._side(name, number)
+        declared = f"plumbline_{uuid.uuid5(uuid.NAMESPACE_URL, side).hex}"
+
+        def quoted(column: str) -> str:
+            return "`" + column.replace("`", "``") + "`"
+
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        place = side.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"DROP TABLE IF EXISTS {declared}")  # the name only; the files of an external table stay
+        self.spark.sql(
+            f"CREATE TABLE {declared} ({columns}) USING parquet"
+            f" CLUSTERED BY ({', '.join(map(quoted, by))}) INTO {buckets} BUCKETS LOCATION '{place}'"
+        )
+        return declared
+
     def _stored(self, name: str) -> tuple[DataFrame, bool]:
         last = self._commit(name)
         schema = T.StructType.fromJson(json.loads(last["schema"]))
+        if last["buckets"] is not None:
+            by = json.loads(last["bucket_by"])
+            return self.spark.table(self._declare(name, last["number"], schema, last["buckets"], by)), False
         return self.spark.read.schema(schema).parquet(self._side(name, last["number"])), last["apart"]
 
     def read(self, name: str) -> DataFrame:
