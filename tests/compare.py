@@ -44,7 +44,7 @@ def difference(frame, connection, sql: str) -> str | None:
     sql_types = dict(zip(sql_names, (str(column[1]) for column in result.description)))
     expected = rows_of(sql_names, result.fetchall())
     found = rows_of(frame.columns, frame.collect())
-    families = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    families = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     odd = {
         name: (kind, sql_types[name])
         for name, kind in frame.dtypes
