@@ -14,6 +14,7 @@ from plumbline.llm import (
     decontaminate,
     disclosure,
     licences,
+    located,
     mixing,
     packed,
     parity_join,
@@ -141,7 +142,7 @@ def test_clean(spark, odd, empty):
     kept = dict(decontaminate.clean(decontaminate.scan(docs, benchmark)).collect())
     assert kept == {1: "é  four five six seven.", 3: "untouched", 4: None}
     left = decontaminate.clean(decontaminate.scan(odd, benchmark))
-    assert left.count() == odd.count() and "n_words" not in left.columns
+    assert left.count() == odd.count() and left.columns == odd.columns
     assert decontaminate.clean(decontaminate.scan(empty, benchmark)).count() == 0
     assert decontaminate.report(decontaminate.scan(docs, benchmark.limit(0))).where("contaminated").count() == 0
 
@@ -341,7 +342,8 @@ def test_words_within_reach(spark):
     """A word counts if it lies wholly within reach; no part of a longer one does."""
     rows = [("Quint ab@c.de Essa", 6, 13), ("xQuint ab@c.de Essay", 7, 14), ("Quint\nab@c.de\nEssa", 6, 13), ("Essa, ab@c.de éssa", 6, 13), ("ab@c.de Essa \nx", 0, 7), ("ab@c.de, Essa\n", 0, 7)]
     frame = spark.createDataFrame(rows, "text string, start int, end int")
-    got = frame.select(F.sort_array(disclosure._near(F.col("text"), F.struct("start", "end"), 5, 6))).collect()
+    sides = located.around(F.col("text"), F.array(F.struct("start", "end")), 7, 7)
+    got = frame.select(F.sort_array(disclosure._near(sides[0], 5, 6))).collect()
     assert [r[0] for r in got] == [["essa", "quint"], ["essay"], [], ["essa", "éssa"], ["essa"], ["essa"]]
 
 
