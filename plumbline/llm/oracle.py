@@ -91,7 +91,41 @@ scored AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b, 0) AS BIGINT) AS n_backed_off, round(score, 6) AS score
 FROM words LEFT JOIN scored USING (doc_id)"""
 
-LLM_SQL |= {"op5_repetition": REPETITION, "op6_backoff_scores": BACKOFF}
+BACKOFF_3 = rf"""
+WITH words AS (
+    SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '{_WORD}'), []) AS w FROM documents),
+tokens AS (
+    SELECT doc_id, i, w[i] AS t, CASE WHEN i > 1 THEN w[i - 1] END AS p, CASE WHEN i > 2 THEN w[i - 2] END AS q
+    FROM words, unnest(range(1, len(w) + 1)) AS u(i)),
+size AS (SELECT count(*) AS n FROM tokens),
+own_size AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id),
+own_one AS (SELECT doc_id, t, count(*) AS n FROM tokens GROUP BY doc_id, t),
+own_two AS (SELECT doc_id, p, t, count(*) AS n FROM tokens WHERE p IS NOT NULL GROUP BY doc_id, p, t),
+own_three AS (SELECT doc_id, q, p, t, count(*) AS n FROM tokens WHERE q IS NOT NULL GROUP BY doc_id, q, p, t),
+one AS (SELECT doc_id, t, sum(n) OVER (PARTITION BY t) - n AS n FROM own_one),
+two AS (SELECT doc_id, p, t, sum(n) OVER (PARTITION BY p, t) - n AS n FROM own_two),
+three AS (SELECT doc_id, q, p, t, sum(n) OVER (PARTITION BY q, p, t) - n AS n FROM own_three),
+others AS (
+    SELECT k.doc_id, k.p, k.q, size.n - own_size.n AS words, one.n AS c1, before.n AS cp,
+        coalesce(two.n, 0) AS c2, pair.n AS cqp, coalesce(three.n, 0) AS c3
+    FROM tokens k JOIN size ON true JOIN own_size USING (doc_id)
+    JOIN one ON one.doc_id = k.doc_id AND one.t = k.t
+    LEFT JOIN one before ON before.doc_id = k.doc_id AND before.t = k.p
+    LEFT JOIN two ON two.doc_id = k.doc_id AND two.p = k.p AND two.t = k.t
+    LEFT JOIN two pair ON pair.doc_id = k.doc_id AND pair.p = k.q AND pair.t = k.p
+    LEFT JOIN three ON three.doc_id = k.doc_id AND three.q = k.q AND three.p = k.p AND three.t = k.t),
+valued AS (
+    SELECT doc_id, q IS NOT NULL AND c3 = 0 AS backed_off,
+        CASE WHEN c3 > 0 THEN c3 / cqp ELSE CASE WHEN q IS NULL THEN 1 ELSE CAST(0.4 AS DOUBLE) END
+            * CASE WHEN c2 > 0 THEN c2 / cp ELSE CASE WHEN p IS NULL THEN 1 ELSE CAST(0.4 AS DOUBLE) END
+                * CASE WHEN c1 > 0 THEN c1 / words ELSE CAST(0.4 AS DOUBLE) / (words + 1) END END END AS s
+    FROM others),
+scored AS (
+    SELECT doc_id, count_if(backed_off) AS b, sum(ln(s)) / count(*) AS score FROM valued GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b, 0) AS BIGINT) AS n_backed_off, round(score, 6) AS score
+FROM words LEFT JOIN scored USING (doc_id)"""
+
+LLM_SQL |= {"op5_repetition": REPETITION, "op6_backoff_scores": BACKOFF_3, "op6_backoff_scores_order2": BACKOFF}
 
 LEXICAL = rf"""
 WITH held AS (

@@ -47,7 +47,7 @@ def test_query_equals_plain_version(spark, documents, name, names, plain):
 
 
 def test_backoff_of_order_3(spark, documents):
-    got = {r["doc_id"]: r["score"] for r in QUERIES["op6_backoff_scores_order3"](spark, FOLDER).collect()}
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op6_backoff_scores"](spark, FOLDER).collect()}
     want = dict(zip([r["doc_id"] for r in documents], plain_scores([r["text"] for r in documents], order=3)))
     assert got.keys() == want.keys()
     assert all((got[d] is None) == (s is None) and (s is None or abs(got[d] - s) < 2e-6) for d, s in want.items())
