@@ -11,6 +11,36 @@ from plumbline.llm import exchange, packed
 _ORDER = packed.mix64(np.arange(1, 17, dtype=np.uint64))  # tells orders apart
 
 
+def _spare_bits(buckets: int) -> np.uint64:
+    """Low bits of a key that need not travel: its bucket and 48 bits more tell it apart."""
+    return np.uint64(max(0, 16 - (buckets.bit_length() - 1)))
+
+
+def _planes(array: np.ndarray) -> bytes:
+    """``array`` packed byte place by byte place, as high bytes are mostly alike."""
+    return exchange.squeezed(np.ascontiguousarray(array.view(np.uint8).reshape(-1, array.itemsize).T))
+
+
+def _read_planes(data: bytes, size: int, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    flat = exchange.loose(data, size * width, np.uint8).reshape(width, size)
+    return np.ascontiguousarray(flat.T).reshape(-1).view(kind)
+
+
+def _ascending(keys: np.ndarray) -> bytes:
+    """Sorted keys as their differences: the low four bytes as they are, the high ones packed."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    low, high = steps.astype(np.uint32), (steps >> np.uint64(32)).astype(np.uint32)
+    return len(keys).to_bytes(8, "little") + low.tobytes() + _planes(high)
+
+
+def _read_ascending(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    low = np.frombuffer(data, np.uint32, size, 8).astype(np.uint64)
+    high = _read_planes(data[8 + 4 * size :], size, np.uint32).astype(np.uint64)
+    return np.cumsum(high << np.uint64(32) | low, dtype=np.uint64)
+
+
 class _Grams:
     """The n-grams of a batch of texts: distinct keys, and the key at each place."""
 
@@ -58,15 +88,14 @@ def _count(text: str, order: int, buckets: int):
         batch = table.column(exchange.BATCH)[0].as_py()
         grams = _Grams(table, text, order)
         names, bounds = grams.by_bucket(buckets)
-        # The bucket holds the high bits; six bytes tell its keys apart.
-        low = np.ascontiguousarray(grams.keys.view(np.uint8).reshape(-1, 8)[:, :6])
+        keys = grams.keys >> _spare_bits(buckets)
         counts = grams.counts.astype(np.uint32)
         return pa.table(
             {
                 "bucket": pa.array(names.astype(np.int32)),
                 "batch": pa.array(np.full(len(names), batch, np.int32)),
-                "keys": pa.array([low[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
-                "counts": pa.array([exchange.squeezed(counts[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
+                "keys": pa.array([_ascending(keys[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
+                "counts": pa.array([_planes(counts[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
             }
         )
 
@@ -75,17 +104,15 @@ def _count(text: str, order: int, buckets: int):
 
 def _add(table: pa.Table) -> pa.Table:
     keys, counts = [], []
-    for low, n in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist()):
-        wide = np.zeros((len(low) // 6, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(low, np.uint8).reshape(-1, 6)
-        keys.append(wide.reshape(-1).view(np.uint64))
-        counts.append(exchange.loose(n, len(wide), np.uint32))
+    for packed_keys, n in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist()):
+        keys.append(_read_ascending(packed_keys))
+        counts.append(_read_planes(n, len(keys[-1]), np.uint32))
     _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     inverse = inverse.reshape(-1)
     total = np.zeros(int(inverse.max()) + 1, dtype=np.int64)
     np.add.at(total, inverse, np.concatenate(counts).astype(np.int64))
     first = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-    answers = [exchange.squeezed(total[inverse[a:b]]) for a, b in zip(first, first[1:])]
+    answers = [_planes(total[inverse[a:b]]) for a, b in zip(first, first[1:])]
     return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "totals": pa.array(answers, pa.binary())})
 
 
@@ -100,7 +127,7 @@ def _score(text: str, order: int, buckets: int, penalty: float, names: list[str]
         names_, bounds = grams.by_bucket(buckets)
         totals = np.zeros(len(grams.keys), dtype=np.int64)
         for name, a, b in zip(names_, bounds, bounds[1:]):
-            totals[a:b] = exchange.loose(told[int(name)], b - a, np.int64)
+            totals[a:b] = _read_planes(told[int(name)], b - a, np.int64)
         # Counts in the other texts, of each gram that ends at a place.
         others = [np.where(ok, totals[at] - grams.own(k), 0) for k, (at, ok) in enumerate(zip(grams.at, grams.ok))]
         context = [others[0]] + [np.concatenate([[0], c[:-1]]) for c in others[1:]]

@@ -276,6 +276,18 @@ def test_backoff(spark, docs, rows, order):
         assert (got[doc] is None) == (score is None) and (score is None or abs(got[doc] - score) < 2e-6)
 
 
+@pytest.mark.parametrize("size", [0, 1, 2, 13_000])
+def test_packed_keys(size):
+    keys = np.sort(np.random.default_rng(size).integers(0, 2**64, size, dtype=np.uint64))
+    assert (backoff._read_ascending(backoff._ascending(keys)) == keys).all()
+    assert (backoff._read_planes(backoff._planes(keys), size, np.uint64) == keys).all()
+
+
+def test_packed_keys_keep_48_bits_in_a_bucket():
+    """Few buckets leave spare low bits, 2**16 and more leave none."""
+    assert [int(backoff._spare_bits(n)) for n in (1, 2, 129, 2**16, 2**20)] == [16, 15, 9, 0, 0]
+
+
 def test_backoff_of_odd_rows(odd, empty):
     assert backoff.score(odd).count() == odd.count()
     assert backoff.score(empty).count() == 0
