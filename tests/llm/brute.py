@@ -242,3 +242,51 @@ def importance(docs, targets, buckets=10_000, percent=5):
     may = sorted((r for r in rows if r[4] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
     drawn = percent * len(may) // 100
     return [(*r[:4], i if i <= drawn else None) for i, r in enumerate(may, 1)] + [(*r[:4], None) for r in rows if r[4] < 20]
+
+
+def licences(docs, sentences, rules, most_between):
+    """(doc, sentences, licences, spans): the longest sentence at a place, none within another, rules in order."""
+    known = {}
+    for name, wordings in sentences.items():
+        for wording in [wordings] if isinstance(wordings, str) else wordings:
+            known.setdefault(tuple(wording.split()), name)
+    lengths = sorted({len(w) for w in known}, reverse=True)
+    out = []
+    for doc, text in docs:
+        words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").translate(LOWER))
+        found, reached = [], 0
+        for i in range(len(words)):
+            n = next((n for n in lengths if tuple(words[i : i + n]) in known and i + n <= len(words)), 0)
+            if n and i + n > reached:
+                reached = i + n
+                found.append((i, reached, known[tuple(words[i:reached])]))
+        left, matched = list(found), []
+        for name, wanted in rules:
+            for first in [s for s in left if s[2] == wanted[0]]:
+                chain = [first]
+                for identifier in wanted[1:]:
+                    gaps = [(s[0] - chain[-1][1], s) for s in left if s > chain[-1] and s[2] == identifier]
+                    chain += [s for gap, s in gaps if 0 <= gap <= most_between][:1]
+                if first in left and len(chain) == len(wanted):
+                    left = [s for s in left if s not in chain]
+                    matched.append((name, first[0], chain[-1][1]))
+        matched.sort(key=lambda m: (m[1], m[0]))
+        spans = ",".join(f"{n}:{a}:{b}" for n, a, b in matched)
+        out.append((doc, len(found), len(matched), ",".join(sorted({m[0] for m in matched})), spans))
+    return out
+
+
+def mixing_targets(docs, limit=3):
+    """(doc, size, source_size, target) of (doc, source, text): one level for all sources, found by bisection."""
+    size = {doc: len(re.findall(SPACES, text or "")) for doc, _, text in docs}
+    total = Counter()
+    for doc, source, _ in docs:
+        total[source] += size[doc]
+    order = sorted(total, key=lambda s: (s is None, s or ""))
+    weight = {source: place % 3 + 1 for place, source in enumerate(order)}
+    low, high = 0.0, float(limit * sum(total.values()) + 1)
+    for _ in range(200):
+        level = (low + high) / 2
+        given = sum(min(limit * total[s], level * weight[s]) for s in total)
+        low, high = (level, high) if given < sum(total.values()) else (low, level)
+    return {doc: (size[doc], total[s], min(limit * total[s], low * weight[s])) for doc, s, _ in docs}

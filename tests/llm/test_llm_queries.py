@@ -10,7 +10,7 @@ import pytest
 from compare import connect, difference
 from test_llm_operators import plain_scores
 
-from plumbline.llm import mixing
+from plumbline.llm import licences, mixing
 from plumbline.llm.oracle import LLM_SQL
 from plumbline.llm.queries import QUERIES
 from plumbline.llm.tables import stored
@@ -138,3 +138,47 @@ def test_stages_keep_every_column(spark):
 
 def test_pipeline_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
+
+
+def test_licences_equal_plain_version(spark, documents):
+    """The query over its table; sentences in and out of order, near and far, over every rule."""
+    names = ["doc_id", "n_sentences", "n_licences", "licences", "licence_spans"]
+    pairs = [(r["doc_id"], r["text"]) for r in documents]
+    tables = licences.SENTENCES, licences.RULES, licences.MOST_BETWEEN
+    assert rows(QUERIES["op8_licences"](spark, FOLDER), *names) == Counter(brute.licences(pairs, *tables))
+    rng, made = np.random.default_rng(5), []
+    wording = lambda name: rng.choice(np.atleast_1d(licences.SENTENCES[name]))
+    for name, wanted in licences.RULES:
+        for turn in range(4):
+            parts = [str(wording(identifier)) for identifier in wanted]
+            if turn == 1:
+                parts = parts[::-1]
+            if turn == 2:
+                parts.insert(int(rng.integers(len(parts) + 1)), str(wording(rng.choice(list(licences.SENTENCES)))))
+            gap = " ".join(["filler"] * int(rng.choice([0, 3, 120, 121])))
+            made.append((len(made), f" {gap} ".join(p.title() if turn == 3 else p for p in parts)))
+    made += [(-1, None), (-2, ""), (-3, "licensed under the")]
+    frame = spark.createDataFrame(made, "doc_id bigint, text string")
+    want = brute.licences(made, *tables)
+    assert rows(licences.scan(frame), *names) == Counter(want)
+    assert len({row[3] for row in want}) > 30
+
+
+def test_mix_equals_plain_targets(spark, documents):
+    """Sizes and targets as worked out plainly; a document has its source's passes or one more; reruns agree."""
+    want = brute.mixing_targets([(r["doc_id"], r["source"], r["text"]) for r in documents])
+    got = QUERIES["op1_mix_sources"](spark, FOLDER).collect()
+    assert len(got) == len(want)
+    taken, source = Counter(), {r["doc_id"]: r["source"] for r in documents}
+    for r in got:
+        size, whole, target = want[r["doc_id"]]
+        assert (r["size"], r["source_size"]) == (size, whole) and abs(r["target"] - target) < 1e-6 * whole
+        assert r["copies"] in (int(r["target"] // whole), int(r["target"] // whole) + 1) and r["copies"] <= 3
+        assert r["taken"] == size * r["copies"]
+        taken[source[r["doc_id"]]] += r["taken"]
+    for name, words in taken.items():
+        own = [want[d] for d, s in source.items() if s == name]
+        # The draw stops before a document that does not fit, or takes one that comes nearer.
+        assert abs(words - own[0][2]) <= max(size for size, *_ in own) / 2
+    again = rows(QUERIES["op1_mix_sources"](spark, FOLDER), "doc_id", "copies", "taken")
+    assert again == Counter((r["doc_id"], r["copies"], r["taken"]) for r in got)
