@@ -1,8 +1,12 @@
 """Aggregates, facts, marts and the price history."""
 
-from oracle.text import tier
-from plumbline import fixed_values as fixed
-from plumbline.sources.driver_tables import RUN_TIMES, WITHDRAWN_DIVISION
+# When the price history ran.
+RUN_TIMES = [
+    "1995-07-01 00:00:00",
+    "1997-01-01 00:00:00",
+    "1999-01-01 00:00:00",
+    "2000-07-01 00:00:00",
+]
 
 
 def _share(part: str, whole: str, digits: int) -> str:
@@ -40,7 +44,10 @@ def _opening(run_time: str) -> str:
 
 
 def _tracked(source: str) -> str:
-    tiers = tier("unit_cost_mid", "<", fixed.COST_TIERS_BELOW, fixed.COST_TIER_REST)
+    tiers = """CASE
+        WHEN unit_cost_mid < CAST(50.0 AS DOUBLE) THEN 'Low Cost'
+        WHEN unit_cost_mid < CAST(200.0 AS DOUBLE) THEN 'Medium Cost'
+        ELSE 'High Cost' END"""
     return f"SELECT *, {tiers} AS cost_tier FROM {source}"
 
 
@@ -142,12 +149,12 @@ TABLES = {
             ifnull(critical_issues, 0) AS critical_qa_issues,
             round(ifnull(avg_severity, 0), 2) AS avg_issue_severity,
             {_share("ifnull(total_issues, 0)", "total_takeoffs", 2)} AS issue_rate_per_100,
-            CASE WHEN mean >= {fixed.EXCELLENT_CONFIDENCE} AND low_confidence_count = 0
+            CASE WHEN mean >= 0.85 AND low_confidence_count = 0
                     THEN 'Excellent'
-                WHEN mean >= {fixed.GOOD_CONFIDENCE} THEN 'Good'
-                WHEN mean >= {fixed.ACCEPTABLE_CONFIDENCE} THEN 'Acceptable'
+                WHEN mean >= 0.75 THEN 'Good'
+                WHEN mean >= 0.65 THEN 'Acceptable'
                 ELSE 'Needs Review' END AS quality_tier,
-            ifnull(open_issues > {fixed.ATTENTION_OPEN_ISSUES} OR critical_issues > 0, false)
+            ifnull(open_issues > 5 OR critical_issues > 0, false)
                 AS requires_attention
         FROM discipline_totals d
         JOIN stg_projects USING (project_id)
@@ -173,15 +180,18 @@ TABLES = {
             ifnull(total_issues, 0) AS total_qa_issues, ifnull(open_issues, 0) AS open_qa_issues,
             ifnull(critical_issues, 0) AS critical_qa_issues,
             CASE WHEN ifnull(n.estimate_total_mid, 0) = 0 THEN 'No Estimate'
-                WHEN open_issues > 0 OR low > {fixed.READY_MAX_LOW_ITEMS} THEN 'Needs Review'
-                WHEN mean >= {fixed.READY_CONFIDENCE} THEN 'Ready'
+                WHEN open_issues > 0 OR low > 5 THEN 'Needs Review'
+                WHEN mean >= 0.8 THEN 'Ready'
                 ELSE 'In Progress' END AS readiness_status,
-            {tier("ifnull(mean, 0)", ">=", fixed.CONFIDENCE_LEVELS_FROM, fixed.CONFIDENCE_LEVEL_REST)}
+            CASE
+                WHEN ifnull(mean, 0) >= CAST(0.85 AS DOUBLE) THEN 'High'
+                WHEN ifnull(mean, 0) >= CAST(0.7 AS DOUBLE) THEN 'Medium'
+                ELSE 'Low' END
                 AS confidence_level,
             round(if(page_count > 0, 25, 0) + if(takeoffs > 0, 25, 0)
                 + if(n.estimate_total_mid > 0, 25, 0)
-                + if(mean >= {fixed.COMPLETE_CONFIDENCE}, 25,
-                    ifnull(mean, 0) / CAST({fixed.COMPLETE_CONFIDENCE} AS DOUBLE) * 25), 0)
+                + if(mean >= 0.7, 25,
+                    ifnull(mean, 0) / CAST(0.7 AS DOUBLE) * 25), 0)
                 AS completeness_score
         FROM stg_projects j
         LEFT JOIN page_totals USING (project_id)
@@ -190,7 +200,7 @@ TABLES = {
         LEFT JOIN review_totals USING (project_id)""",
     "delivery_1": _tracked("raw_cost_library"),
     "delivery_3": _tracked("changed_library"),
-    "delivery_2": f"SELECT * FROM delivery_3 WHERE division <> '{WITHDRAWN_DIVISION}'",
+    "delivery_2": f"SELECT * FROM delivery_3 WHERE division <> 'Brand#11'",
     "history_1": f"SELECT *, {_opening(RUN_TIMES[0])} FROM delivery_1",
     "history_2": _merge("history_1", "delivery_2", RUN_TIMES[1]),
     "history_3": _merge("history_2", "delivery_3", RUN_TIMES[2]),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.marts import _share
-from oracle.text import lookup, members, tier
+from oracle.text import members
 from plumbline import fixed_values as fixed
 from plumbline.schemas import RAW_TABLES, raw_columns
 
@@ -66,7 +66,7 @@ def _sql_name(table: str) -> str:
 def _verdict(test: str, table: str, column: str, failures: str) -> str:
     return f"""
         SELECT '{test}' AS test, '{table}' AS table_name, '{column}' AS column_name,
-            '{fixed.TEST_SEVERITY}' AS severity, CAST(n AS BIGINT) AS failures, n = 0 AS passed
+            'warn' AS severity, CAST(n AS BIGINT) AS failures, n = 0 AS passed
         FROM ({failures})"""
 
 
@@ -138,8 +138,8 @@ def _orphans(child: str, column: str, parent: str, parent_column: str) -> str:
 
 # --- checks and report --------------------------------------------------------------
 
-_LOW = f"confidence < {fixed.LOW_CONFIDENCE}"
-_HIGH_SHARE = f"pct_low_confidence > {fixed.MAX_LOW_CONFIDENCE_PCT}"
+_LOW = f"confidence < 0.6"
+_HIGH_SHARE = f"pct_low_confidence > 20.0"
 
 _CHECKS = f"""
     SELECT * FROM (
@@ -306,10 +306,10 @@ RESULTS: dict[str, str] = {
     "latest_estimate_per_project": _whole_table("newest_estimate"),
     "estimate_rollup": f"""
         SELECT estimate_id, project_id, estimate_version,
-            round(ifnull(low, 0) * factor * CAST({fixed.LOW_TOTAL_FACTOR} AS DOUBLE), 2)
+            round(ifnull(low, 0) * factor * CAST(0.95 AS DOUBLE), 2)
                 AS estimate_total_low,
             round(ifnull(mid, 0) * factor, 2) AS estimate_total_mid,
-            round(ifnull(high, 0) * factor * CAST({fixed.HIGH_TOTAL_FACTOR} AS DOUBLE), 2)
+            round(ifnull(high, 0) * factor * CAST(1.05 AS DOUBLE), 2)
                 AS estimate_total_high
         FROM (
             SELECT *, CAST(1 AS DOUBLE) + CAST(estimate_version - 1 AS DOUBLE)
@@ -387,9 +387,9 @@ RESULTS: dict[str, str] = {
     "check_confidence_distribution": f"""
         SELECT total_takeoffs, ifnull(round(mean, 3), 0) AS avg_confidence, low_confidence_count,
             ifnull({_share("low_confidence_count", "total_takeoffs", 2)}, 0) AS pct_low_confidence,
-            CAST({fixed.LOW_CONFIDENCE} AS DOUBLE) AS threshold,
+            CAST(0.6 AS DOUBLE) AS threshold,
             ifnull(CAST(low_confidence_count AS DOUBLE) / nullif(total_takeoffs, 0) * 100, 0)
-                <= {fixed.MAX_LOW_CONFIDENCE_PCT} AS passed,
+                <= 20.0 AS passed,
             'WARN' AS severity
         FROM (
             SELECT count(*) AS total_takeoffs, avg(confidence) AS mean,
@@ -423,7 +423,7 @@ RESULTS: dict[str, str] = {
             round(CAST(estimate_total_mid AS DOUBLE) / 1000000, 2) AS estimate_millions,
             round(avg_confidence, 2) AS confidence, open_qa_issues, readiness_status
         FROM mart_estimation_dashboard
-        WHERE readiness_status = 'Needs Review' OR open_qa_issues > {fixed.DASHBOARD_OPEN_ISSUES}
+        WHERE readiness_status = 'Needs Review' OR open_qa_issues > 2
         ORDER BY estimate_total_mid DESC, project_id LIMIT 5""",
     "dash_cost_drivers": """
         SELECT division_name, item_type, count(*) AS occurrences,
@@ -431,7 +431,10 @@ RESULTS: dict[str, str] = {
         FROM fct_takeoffs GROUP BY division_name, item_type
         ORDER BY sum(extended_cost_mid) DESC, division_name, item_type LIMIT 5""",
     "dash_ai_performance": f"""
-        SELECT *, {tier("avg_confidence", ">=", fixed.CONFIDENCE_BANDS_FROM, fixed.CONFIDENCE_BAND_REST)}
+        SELECT *, CASE
+            WHEN avg_confidence >= CAST(0.85 AS DOUBLE) THEN 'high'
+            WHEN avg_confidence >= CAST(0.75 AS DOUBLE) THEN 'med'
+            ELSE 'low' END
             AS confidence_band
         FROM (
             SELECT discipline_name, count(*) AS takeoffs,
@@ -441,7 +444,10 @@ RESULTS: dict[str, str] = {
     "dash_readiness": f'SELECT readiness_status, project_count AS "count" FROM ({_READINESS})',
     "dash_recent_activity": f"""
         SELECT project_name, estimation_method, date_trunc('day', generated_at) AS activity_date,
-            {lookup("estimation_method", fixed.ACTIVITY_LABELS, fixed.ACTIVITY_OTHER)}
+            CASE estimation_method
+                WHEN 'ai' THEN 'AI'
+                WHEN 'hybrid' THEN 'Hybrid'
+                ELSE 'Manual' END
                 AS method_label
         FROM fct_estimates ORDER BY generated_at DESC, estimate_id LIMIT 4""",
     **{f"raw_csv_roundtrip_{name}": _whole_table(f"raw_{name}") for name in RAW_TABLES},

@@ -1,4 +1,4 @@
-"""SQL for the fixed values."""
+"""SQL for lists of values."""
 
 from __future__ import annotations
 
@@ -11,18 +11,5 @@ def _literal(value: object) -> str:
     return str(value)
 
 
-def lookup(column: str, labels: dict, other: object) -> str:
-    arms = " ".join(f"WHEN {_literal(key)} THEN {_literal(to)}" for key, to in labels.items())
-    return f"CASE {column} {arms} ELSE {_literal(other)} END"
-
-
-def tier(column: str, comparison: str, bounds: list, rest: str) -> str:
-    arms = " ".join(
-        f"WHEN {column} {comparison} CAST({bound} AS DOUBLE) THEN {_literal(name)}"
-        for bound, name in bounds
-    )
-    return f"CASE {arms} ELSE {_literal(rest)} END"
-
-
 def members(values: list) -> str:
     return "(" + ", ".join(_literal(value) for value in values) + ")"

@@ -1,7 +1,7 @@
 """Codes, labels, thresholds and declared data tests.
 
-Nothing here is derived. Jobs, data tests and the SQL checks all read these
-values, so each of them is stated once.
+Nothing here is derived. The SQL checks state labels, tiers and thresholds
+themselves, so a wrong one here shows; they share the list of declared tests.
 """
 
 # --- value domains ---------------------------------------------------------
