@@ -24,6 +24,12 @@ from plumbline.fixed_values import TEST_SEVERITY
 
 # Gives the frame of a table by its name.
 Tables = Callable[[str], DataFrame]
+# Tables made row by row from another: their name, the other's and how. The maker
+# keeps columns it does not know.
+Derived = Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]]
+
+
+ENTRIES = "_entries"
 
 
 class RowTest(NamedTuple):
@@ -63,11 +69,13 @@ class _Answer(NamedTuple):
     measure: str
 
 
-def _plan(declared: Declared) -> tuple[list[_Entry], list[_Answer], int]:
+def _plan(declared: Declared, derived: Derived = {}) -> tuple[list[_Entry], list[_Answer], int]:
     """Entries that the tests need, where each test finds its answer, and the number of slots.
 
     A parent key and its children share a domain, the parent in slot 0; any
-    other key and any offence has a domain of its own.
+    other key and any offence has a domain of its own. A key of a derived table is
+    counted beside that of its origin, in a slot of its own, so that the two
+    travel as one row where they are equal.
     """
     entries: list[_Entry] = []
     answers: list[_Answer] = []
@@ -93,8 +101,15 @@ def _plan(declared: Declared) -> tuple[list[_Entry], list[_Answer], int]:
         answers.append(_Answer("relationships", child, column, domain, f"orphans_{slot}"))
     for table, columns in declared.unique.items():
         for column in columns:
+            origin = (derived[table][0], column) if table in derived else None
             if (table, column) in children and (table, column) not in parents:
                 domain, slot = children[table, column]
+            elif (table, column) not in parents and (origin in parents or origin in children):
+                domain = parents[origin] if origin in parents else children[origin][0]
+                slot = used[domain] = used.get(domain, 0) + 1
+                slots = max(slots, slot + 1)
+                children[table, column] = domain, slot
+                entries.append(_Entry(table, domain, slot, F.col(column).cast("string")))
             else:
                 domain, slot = own_domain(table, column), 0
             answers.append(_Answer("unique", table, column, domain, f"repeated_{slot}"))
@@ -118,37 +133,48 @@ def _plan(declared: Declared) -> tuple[list[_Entry], list[_Answer], int]:
     return entries, answers, slots
 
 
-def _state(tables: Tables, entries: Sequence[_Entry], slots: int) -> DataFrame:
-    """(domain, key) with the rows of each slot, from one pass over every table."""
+def _state(tables: Tables, entries: Sequence[_Entry], slots: int, derived: Derived = {}) -> DataFrame:
+    """(domain, key) with the rows of each slot, from one pass over every table.
+
+    A derived table shares the pass over its origin, if that is tested too.
+    """
     by_table: dict[str, list[Column]] = {}
     for table, domain, slot, key in entries:
         found = F.struct(F.lit(domain).alias("domain"), F.lit(slot).alias("slot"), key.alias("key"))
         by_table.setdefault(table, []).append(F.when(key.isNotNull(), found))
-    parts = [
-        tables(table).select(F.explode(F.array_compact(F.array(*found))).alias("entry")).select("entry.*")
-        for table, found in by_table.items()
-    ]
+    every = {table: F.array_compact(F.array(*found)) for table, found in by_table.items()}
+    # At most one derived table joins the pass of an origin; a second one is read by itself.
+    beside = {derived[table][0]: table for table in every if table in derived and derived[table][0] in every}
+    parts = []
+    for table, found in every.items():
+        if table in beside.values():
+            continue
+        rows = tables(table).withColumn(ENTRIES, found)
+        if table in beside:
+            other = beside[table]
+            rows = derived[other][1](rows).withColumn(ENTRIES, F.concat(F.col(ENTRIES), every[other]))
+        parts.append(rows.select(F.explode(ENTRIES).alias("entry")).select("entry.*"))
     counts = [F.count_if(F.col("slot") == slot).alias(f"n_{slot}") for slot in range(slots)]
     return reduce(DataFrame.unionByName, parts).groupBy("domain", "key").agg(*counts)
 
 
-def results(tables: Tables, declared: Declared) -> DataFrame:
+def results(tables: Tables, declared: Declared, derived: Derived = {}) -> DataFrame:
     """One row per declared test.
 
     ``unique``: non-null values that occur more than once. ``not_null``: rows
     without a value. ``accepted_values``: distinct non-null values outside the
     list. ``relationships``: rows whose non-null key no parent has. Row tests:
     offending rows. Keys are compared as text, so a key and its parent must be
-    of one type. Empty tables fail nothing.
+    of one type. Empty tables fail nothing. ``derived`` names tables that are read with their origin.
     """
-    entries, answers, slots = _plan(declared)
+    entries, answers, slots = _plan(declared, derived)
     measures = [F.count("*").alias("keys"), F.sum("n_0").alias("rows_0")]
     measures += [F.count_if(F.col(f"n_{slot}") > 1).alias(f"repeated_{slot}") for slot in range(slots)]
     measures += [
         F.sum(F.when(F.col("n_0") == 0, F.col(f"n_{slot}")).otherwise(0)).alias(f"orphans_{slot}")
         for slot in range(1, slots)
     ]
-    found = _state(tables, entries, slots).groupBy("domain").agg(*measures)
+    found = _state(tables, entries, slots, derived).groupBy("domain").agg(*measures)
     names = [name for name in found.columns if name != "domain"]
     asked = found.sparkSession.createDataFrame(
         answers, "test string, table_name string, column_name string, domain int, measure string"

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline import fixed_values as fixed
 from plumbline.functions import avg_decimal, conditional_count, percent, round_half_away
 from plumbline.operators import data_tests
+from plumbline.plans import staging
+from plumbline.schemas import RAW_TABLES
 
 # Gives the frame of a table named as in ``fixed_values``.
 Tables = data_tests.Tables
@@ -35,6 +37,15 @@ def valid_confidence(takeoffs: DataFrame) -> DataFrame:
 
 # --- declared tests -------------------------------------------------------------
 
+# A staged table is tested in the pass over its raw one.
+STAGED = {
+    f"stg_{name}": (f"raw.{name}", getattr(staging, f"stg_{name}")) for name in RAW_TABLES
+}
+
+
+def _results(tables: Tables, declared: data_tests.Declared) -> DataFrame:
+    return data_tests.results(tables, declared, STAGED)
+
 
 def _row_tests(table: str) -> list[data_tests.RowTest]:
     return [
@@ -44,19 +55,19 @@ def _row_tests(table: str) -> list[data_tests.RowTest]:
 
 
 def unique_results(tables: Tables) -> DataFrame:
-    return data_tests.results(tables, data_tests.Declared(unique=fixed.UNIQUE))
+    return _results(tables, data_tests.Declared(unique=fixed.UNIQUE))
 
 
 def not_null_results(tables: Tables) -> DataFrame:
-    return data_tests.results(tables, data_tests.Declared(not_null=fixed.NOT_NULL))
+    return _results(tables, data_tests.Declared(not_null=fixed.NOT_NULL))
 
 
 def accepted_values_results(tables: Tables) -> DataFrame:
-    return data_tests.results(tables, data_tests.Declared(accepted_values=fixed.ACCEPTED_VALUES))
+    return _results(tables, data_tests.Declared(accepted_values=fixed.ACCEPTED_VALUES))
 
 
 def relationships_results(tables: Tables) -> DataFrame:
-    return data_tests.results(tables, data_tests.Declared(relationships=fixed.RELATIONSHIPS))
+    return _results(tables, data_tests.Declared(relationships=fixed.RELATIONSHIPS))
 
 
 def test_results(tables: Tables) -> DataFrame:
@@ -68,7 +79,7 @@ def test_results(tables: Tables) -> DataFrame:
         relationships=fixed.RELATIONSHIPS,
         row_tests=_row_tests("stg_takeoff_items"),
     )
-    return data_tests.results(tables, every)
+    return _results(tables, every)
 
 
 def orphans(tables: Tables) -> DataFrame:

@@ -122,3 +122,26 @@ def test_planted_violations_are_found(spark):
     assert {(row["child_table"], row["missing_key"]) for row in orphans} == {
         ("stg_takeoff_items", "9"), ("stg_takeoff_items", "none"),
     }
+
+
+def test_a_staged_table_is_tested_in_the_pass_over_its_raw_one(spark):
+    raw = spark.createDataFrame([(1, None), (1, "x"), (2, "y")], "id int, name string")
+
+    def staged(rows):
+        return rows.withColumn("name", F.lower("name")).withColumn("id", F.col("id") % 2)
+
+    read = []
+
+    def tables(name):
+        read.append(name)
+        return {"raw.t": raw, "stg_t": staged(raw)}[name]
+
+    declared = data_tests.Declared(
+        unique={"raw.t": ["id"], "stg_t": ["id", "name"]}, not_null={"raw.t": ["name"], "stg_t": ["name", "id"]},
+        accepted_values={"stg_t": {"name": ["x"]}},
+    )
+    alone = data_tests.results(tables, declared).collect()
+    assert sorted(set(read)) == ["raw.t", "stg_t"]
+    read.clear()
+    together = data_tests.results(tables, declared, {"stg_t": ("raw.t", staged)}).collect()
+    assert read == ["raw.t"] and sorted(map(str, together)) == sorted(map(str, alone))
