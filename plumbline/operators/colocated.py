@@ -8,6 +8,8 @@ row is stored once for each of them. Every other key has the single piece 0.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 
 from plumbline.operators.salting import HOT_ROWS, HotKeys, dealt, repeated
@@ -24,20 +26,20 @@ def colocate(
     spread_by: Column,
     buckets: int,
     hot_rows: int = HOT_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """Stores both named tables in ``buckets`` by ``key`` and piece and returns them as stored.
+    further: Sequence[tuple[str, DataFrame]] = (),
+) -> tuple[DataFrame, ...]:
+    """Stores the named tables in ``buckets`` by ``key`` and piece and returns them as stored.
 
-    ``rows`` may have many rows of a key, ``lookup`` few. The hot keys of
+    ``rows`` may have many rows of a key, ``lookup`` and the ``further`` lookups few. The hot keys of
     ``rows`` are counted once and stored beside them. Rows without a key are
     kept and meet nothing.
     """
     hot = HotKeys.find(rows[1], key, store.keep, f"hot_keys.{rows[0].replace('.', '_')}", hot_rows)
     by = (key, PIECE)
     pieces = dealt(rows[1], key, spread_by, PIECE, hot, hot_rows)
-    copies = repeated(lookup[1], key, PIECE, hot, hot_rows)
-    return (
-        store.replace(rows[0], pieces, buckets=buckets, bucket_by=by),
-        store.replace(lookup[0], copies, buckets=buckets, bucket_by=by),
+    copies = [(name, repeated(found, key, PIECE, hot, hot_rows)) for name, found in (lookup, *further)]
+    return tuple(
+        store.replace(name, placed, buckets=buckets, bucket_by=by) for name, placed in [(rows[0], pieces), *copies]
     )
 
 

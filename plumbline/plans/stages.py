@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline.operators import data_tests
 from plumbline.operators.colocated import colocate
@@ -82,6 +82,10 @@ def rejects(store: TableStore, name: str) -> DataFrame:
     return apart.select(F.col(raw_csv.LINE).alias("line"), F.col(raw_csv.REASONS).alias("reasons"))
 
 
+def _buckets(store: TableStore, buckets: int | None) -> int:
+    return buckets or min(int(store.spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
+
+
 def by_page(
     store: TableStore, takeoffs: DataFrame, pages: DataFrame, buckets: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -90,18 +94,38 @@ def by_page(
     One shuffle of the takeoffs serves every join with their pages. The buckets
     number as many as shuffle partitions unless given; Spark allows 100,000.
     """
-    partitions = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
     takeoffs, pages = colocate(
         store,
         ("colocated.takeoff_items", takeoffs),
         ("colocated.blueprint_pages", pages),
         "page_id",
         F.col("takeoff_id"),
-        buckets or min(partitions, 100_000),
+        _buckets(store, buckets),
     )
     return staging.stg_takeoff_items(takeoffs), staging.stg_blueprint_pages(pages)
 
 
+def lines_by_page(
+    store: TableStore,
+    lines: DataFrame,
+    spread_by: Column,
+    pages: DataFrame,
+    owners: DataFrame,
+    buckets: int | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Like ``by_page`` for takeoffs whose project is still to be looked up: the lines, the staged pages and their owners."""
+    lines, pages, owners = colocate(
+        store,
+        ("colocated.takeoff_lines", lines),
+        ("colocated.blueprint_pages", pages),
+        "page_id",
+        spread_by,
+        _buckets(store, buckets),
+        further=[("colocated.page_owners", owners)],
+    )
+    return lines, staging.stg_blueprint_pages(pages), owners
+
+
 def transform(store: TableStore, run_time: str, buckets: int | None = None) -> None:
     """Facts, marts and the price history."""
 

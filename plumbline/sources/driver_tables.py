@@ -147,32 +147,56 @@ class DriverTables:
     def cost_library(self) -> DataFrame:
         return self._items.drop("p_partkey")
 
-    def takeoff_items(self, project: bool = True, item: bool = True) -> DataFrame:
-        """Takeoffs; ``project`` and ``item`` say whether the looked-up columns are needed."""
-        lines = self._table("lineitem").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(
-                "takeoff_id"
-            ),
+    @cached_property
+    def takeoff_lines(self) -> DataFrame:
+        """Takeoffs as they travel through joins: plain keys and measures, of which
+        ``as_takeoffs`` makes the columns of a raw takeoff where the joins are done."""
+        return self._table("lineitem").select(
             F.col("l_orderkey").alias("page_id"),
-            "l_partkey",
             F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("cost_code"),
-            F.col("l_quantity").alias("quantity"),
-            (1 - F.col("l_discount") * 5).alias("confidence"),
-            label(F.col("l_returnflag"), METHOD_BY_RETURN_FLAG, None).alias("extraction_method"),
-            F.col("l_shipdate").alias("created_at"),
+            "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate",
+        )
+
+    def as_takeoffs(self, lines: DataFrame) -> DataFrame:
+        """``takeoff_lines``, with whatever was joined to them, as raw takeoffs."""
+        part = F.substring("cost_code", 2, 20)
+        made = {
+            "takeoff_id": F.concat_ws("-", "page_id", "l_linenumber", part, "l_suppkey"),
+            "quantity": F.col("l_quantity"),
+            "confidence": 1 - F.col("l_discount") * 5,
+            "extraction_method": label(F.col("l_returnflag"), METHOD_BY_RETURN_FLAG, None),
+            "created_at": F.col("l_shipdate"),
+        }
+        own = ("page_id", "cost_code", "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
+        return lines.select(
+            "page_id",
+            made["takeoff_id"].alias("takeoff_id"),
+            "cost_code",
+            *[made[name].alias(name) for name in ("quantity", "confidence", "extraction_method", "created_at")],
+            *[name for name in lines.columns if name not in own],
         )
+
+    @cached_property
+    def described_codes(self) -> DataFrame:
+        """What takeoffs take from the item of their cost code."""
+        return self._items.select("cost_code", "item_type", "uom")
+
+    @cached_property
+    def page_owners(self) -> DataFrame:
+        """Pages and the project that their takeoffs belong to."""
+        return self._table("orders").select(
+            F.col("o_orderkey").alias("page_id"), F.col("o_custkey").alias("project_id")
+        )
+
+    def takeoff_items(self, project: bool = True, item: bool = True) -> DataFrame:
+        """Takeoffs; ``project`` and ``item`` say whether the looked-up columns are needed."""
+        lines = self.takeoff_lines
         if item:
-            described = self._items.select(
-                F.col("p_partkey").alias("l_partkey"), "item_type", "uom"
-            )
-            lines = lines.join(described, "l_partkey", "left")
+            lines = lines.join(self.described_codes, "cost_code", "left")
         if project:
             # Last, so a join to pages that follows finds the rows placed by page.
-            owners = self._table("orders").select(
-                F.col("o_orderkey").alias("page_id"), F.col("o_custkey").alias("project_id")
-            )
-            lines = lines.join(owners, "page_id", "left")
-        return lines.drop("l_partkey")
+            lines = lines.join(self.page_owners, "page_id", "left")
+        return self.as_takeoffs(lines)
 
     @cached_property
     def _estimate_orders(self) -> DataFrame:
@@ -291,11 +315,11 @@ class DisputedTables(DriverTables):
     def cost_library(self) -> DataFrame:
         return DriverTables(self._spark, self._folder).cost_library_versions[1][1]
 
-    def takeoff_items(self, project: bool = True, item: bool = True) -> DataFrame:
+    def as_takeoffs(self, lines: DataFrame) -> DataFrame:
         method, quantity, confidence = (
             F.col(name) for name in ("extraction_method", "quantity", "confidence")
         )
-        return super().takeoff_items(project, item).withColumns(
+        return super().as_takeoffs(lines).withColumns(
             {
                 "quantity": F.when(method == "hybrid", -quantity).otherwise(quantity),
                 "confidence": F.when(method == "manual", confidence + 0.25).otherwise(confidence),

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from rows import by, table
 
+from plumbline import catalog
 from plumbline.plans import dashboards, marts, quality, reports, rollups, staging
 from plumbline.sources.tables import scratch_keep
 
@@ -232,3 +233,50 @@ def test_dashboard_lists(build):
     recent = dashboards.recent_activity(estimates(s), s["projects"]).collect()
     assert [row["project_name"] for row in recent] == ["P1", "P2", "P3", "P4"]
     assert {row["method_label"] for row in recent} == {"AI"}
+
+
+def _odd_tables(spark, folder):
+    """Test tables with repeated and missing keys, and takeoffs without page, project or price."""
+    from plumbline.sources.driver_tables import SCHEMAS
+
+    rows = {
+        "customer": "VALUES (0, 'a', 0, 'BUILDING'), (1, 'b', 0, 'AUTOMOBILE'), (1, 'b2', 0, 'x'), (NULL, 'n', 0, 'x')",
+        "nation": "VALUES (0, 'utopia')",
+        "orders": """SELECT k, c, 'F', 100.0, TIMESTAMP_NTZ '1996-01-01 00:00:00', '1-URGENT'
+            FROM VALUES (0, 0), (1, 1), (2, 1), (2, 0), (3, 77), (NULL, 0) AS t(k, c)""",
+        "lineitem": """SELECT o, p, s, 1, 2.0, 0.05, f, TIMESTAMP_NTZ '1996-01-01 00:00:00' FROM VALUES
+            (0, 0, 5, 'A'), (0, 0, 5, 'A'), (1, 1, 5, 'N'), (2, 1, NULL, 'R'), (2, 9, 5, 'A'), (3, 0, 5, 'A'),
+            (8, 0, 5, 'A'), (NULL, 0, 5, 'A'), (1, NULL, 5, 'A') AS t(o, p, s, f)""",
+        "part": "VALUES (0, 'bolt', 'Brand#1', 't', 1, 10.0), (1, 'nut', 'Brand#2', 't', 2, 20.0), (1, 'nut2', 'Brand#2', 't', 3, 30.0)",
+        "events": "VALUES (0, TIMESTAMP_NTZ '1996-01-01 00:00:00', 0, 'view', 1.0)",
+    }
+    for name, query in rows.items():
+        found = spark.sql(query)
+        schema = spark.createDataFrame([], SCHEMAS[name]).schema
+        found = found.toDF(*schema.names)
+        found.select(*[found[f.name].cast(f.dataType).alias(f.name) for f in schema]).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_takeoffs_meet_their_project_by_page(spark, tmp_path):
+    """Two shuffles of the takeoffs, as many rows as by joins one after another, from stored buckets too."""
+    folder = _odd_tables(spark, tmp_path / "odd")
+    w = catalog.Warehouse(spark, folder)
+    t = w.table
+    plain = marts.fct_takeoffs(
+        t("stg_takeoff_items"), t("stg_blueprint_pages"), t("stg_projects"), t("stg_cost_library")
+    ).drop(marts.UPDATED_AT)
+    # 2 takeoffs of page 0; page 1: 2 projects x 2 items x 2 prices; page 2: 2 pages x 3 projects x 4.
+    assert plain.count() == 2 + 8 + 24
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for made in (t("fct_takeoffs"), w.priced_takeoffs, w.colocated_fact):
+        made = made.drop(marts.UPDATED_AT)
+        assert made.columns == plain.columns
+        assert made.exceptAll(plain).count() == 0 and plain.exceptAll(made).count() == 0
+    # By page: takeoffs, pages and owners; by code: takeoffs, items and prices; by project: owners and projects.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    plan = t("fct_takeoffs")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_project = [line for line in plan.splitlines() if "Exchange hashpartitioning(project_id" in line]
+    assert len(by_project) <= 2 and "l_quantity" in plan
