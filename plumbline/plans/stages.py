@@ -15,6 +15,7 @@ from plumbline.operators.colocated import colocate
 from plumbline.operators.salting import HotKeys
 from plumbline.operators.value_histogram import ValueHistogram
 from plumbline.plans import marts, quality, reports, snapshots, staging
+from plumbline.session import side_by_side
 from plumbline.sources import raw_csv
 from plumbline.sources.history_store import HistoryStore
 from plumbline.sources.tables import TableStore, load_audit
@@ -43,8 +44,9 @@ def table(store: TableStore, name: str) -> DataFrame:
 
 
 def extract(raw: Mapping[str, DataFrame], csv_folder: str) -> None:
-    for name, rows in raw.items():
-        raw_csv.write_csv(rows, csv_folder, name)
+    if raw:
+        spark = next(iter(raw.values())).sparkSession
+        side_by_side(spark, lambda name: raw_csv.write_csv(raw[name], csv_folder, name), raw)
 
 
 def load(
@@ -58,14 +60,19 @@ def load(
 
     Lines that do not fit their table are kept beside it with the reasons
     (``rejects``) and counted in the audit; with ``strict`` the first one stops
-    the load. The counts come from the writes themselves.
+    the load. The counts come from the writes themselves. Unless ``strict``, the
+    tables are written side by side.
     """
     reader = raw_csv.read_csv if strict else raw_csv.read_checked
-    counts = {}
-    for name, rows in raw_csv.read_all(spark, csv_folder, overrides, reader).items():
-        store.replace(f"raw.{name}", rows, apart=None if strict else F.size(raw_csv.REASONS) > 0)
+    tables = raw_csv.read_all(spark, csv_folder, overrides, reader)
+
+    def write(name: str) -> tuple[int, int]:
+        store.replace(f"raw.{name}", tables[name], apart=None if strict else F.size(raw_csv.REASONS) > 0)
         found = store.measures(f"raw.{name}").first()
-        counts[name] = (found["row_count"], 0 if strict else found["apart_count"])
+        return found["row_count"], 0 if strict else found["apart_count"]
+
+    written = map(write, tables) if strict else side_by_side(spark, write, tables)
+    counts = dict(zip(tables, written))
     return store.replace("load_audit", load_audit(spark, counts))
 
 

@@ -7,6 +7,8 @@ keeps going: every line comes back, with the reasons against it if there are any
 from __future__ import annotations
 
 import logging
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -25,6 +27,10 @@ _FORMAT = {
     # One row per line, so that a large file can be read in pieces.
     "multiLine": "false",
 }
+# Text of a table is several times its size as Parquet, so it is written packed.
+# A packed file cannot be read in pieces; many files of a bounded length can.
+ROWS_PER_FILE = 500_000
+_PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": str(ROWS_PER_FILE)}
 # Nullable keys that a producer may have written as floating point (12.0).
 _LOOSE_KEYS = {"qa_reviews": ["page_id", "takeoff_id"]}
 
@@ -34,8 +40,8 @@ def path_of(folder: str, table: str) -> str:
 
 
 def write_csv(rows: DataFrame, folder: str, table: str) -> None:
-    """Columns in schema order, one header per part file."""
-    rows.select(*raw_schema(table).names).write.mode("overwrite").options(**_FORMAT).csv(
+    """Columns in schema order, one header per part file; the files are packed by gzip."""
+    rows.select(*raw_schema(table).names).write.mode("overwrite").options(**_FORMAT, **_PACKED).csv(
         path_of(folder, table)
     )
 
@@ -51,7 +57,8 @@ def write_lines(rows: DataFrame, folder: str, table: str) -> None:
     header = F.col("line").alias(",".join(raw_schema(table).names))
     # No separator and no quote of its own, so that each line is written as it is.
     rows.select(header).write.mode("overwrite").options(
-        header="true", sep="\u0001", quote="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        header="true", sep="\u0001", quote="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+        **_PACKED,
     ).csv(path_of(folder, table))
 
 
@@ -130,19 +137,30 @@ def read_checked(spark: SparkSession, folder: str, table: str, **overrides: str)
             value = value.try_cast("decimal(38,1)")
         return value.try_cast(kind)
 
-    def reason(name: str) -> Column:
-        bad = F.col(name).isNotNull() & typed(name).isNull()
-        return F.when(bad, F.lit(f"{name} is no {target[name].dataType.simpleString()}"))
-
-    fields = F.when(F.col("_corrupt").isNotNull(), F.array(F.lit("wrong number of fields")))
-    values = F.array_compact(F.array(*[reason(n) for n in target.names if target[n].dataType != T.StringType()]))
-    reasons = F.coalesce(fields, values)
-    line = F.coalesce("_corrupt", F.to_csv(F.struct(*target.names)))
-    return rows.select(
+    # Values first and what is wrong from them, so that each text is matched and cast once.
+    tested = [name for name in target.names if target[name].dataType != T.StringType()]
+    text = {name: f"_text_{name}" if name in tested else name for name in target.names}
+    values = rows.select(
+        "_corrupt",
         *[typed(name).alias(name) for name in target.names],
-        F.when(F.size(reasons) > 0, line).alias(LINE),
-        reasons.alias(REASONS),
+        *[F.col(name).alias(text[name]) for name in tested],
+    )
+
+    def bad(name: str) -> Column:
+        return F.col(text[name]).isNotNull() & F.col(name).isNull()
+
+    def reason(name: str) -> Column:
+        return F.when(bad(name), F.lit(f"{name} is no {target[name].dataType.simpleString()}"))
+
+    wrong = F.col("_corrupt").isNotNull()
+    any_bad = reduce(or_, [bad(name) for name in tested], F.lit(False))
+    reasons = (
+        F.when(wrong, F.array(F.lit("wrong number of fields")))
+        .when(any_bad, F.array_compact(F.array(*[reason(name) for name in tested])))
+        .otherwise(F.array().cast("array<string>"))
     )
+    line = F.coalesce("_corrupt", F.to_csv(F.struct(*text.values())))
+    return values.select(*target.names, F.when(wrong | any_bad, line).alias(LINE), reasons.alias(REASONS))
 
 
 def read_all(

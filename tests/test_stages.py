@@ -1,5 +1,6 @@
 """CSV, stored tables and the stages of a full refresh."""
 
+import threading
 from datetime import datetime
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from rows import DEFAULTS, table
 
 from plumbline.plans import stages
+from plumbline.session import side_by_side
 from plumbline.sources import raw_csv
 from plumbline.sources.tables import TableStore, load_audit, row_count, table_exists
 
@@ -191,3 +193,37 @@ def test_full_refresh_and_partial_runs(spark, tmp_path):
     assert checks["invalid_quantities"]["value"] == 1
     values = {row["metric"]: row["value"] for row in stages.publish(store).collect()}
     assert values["all_checks_passed"] == 0
+
+
+def test_csv_is_written_packed(spark, tmp_path):
+    rows = spark.range(0, 20_000, 1, 2).select(F.col("id").alias("n"))
+    pages = table(spark, "blueprint_pages", {}).drop("page_id").crossJoin(rows).withColumnRenamed("n", "page_id")
+    raw_csv.write_csv(pages, str(tmp_path), "blueprint_pages")
+    lines = pages.select(F.concat_ws(",", *[F.col(c).cast("string") for c in pages.columns]).alias("line"))
+    raw_csv.write_lines(lines, str(tmp_path), "projects")
+    plain = lines.agg(F.sum(F.length("line") + 1)).first()[0]
+    for name in ("blueprint_pages", "projects"):
+        files = list((tmp_path / f"{name}.csv").glob("part-*"))
+        assert files and all(f.name.endswith(".csv.gz") for f in files)
+        assert sum(f.stat().st_size for f in files) < plain / 4
+    back = raw_csv.read_csv(spark, str(tmp_path), "blueprint_pages")
+    assert back.exceptAll(pages.select(*back.columns)).count() == 0 and back.count() == 20_000
+
+
+def test_each_text_is_matched_once(spark, tmp_path):
+    raw_csv.write_csv(table(spark, "takeoff_items", {}), str(tmp_path), "takeoff_items")
+    checked = raw_csv.read_checked(spark, str(tmp_path), "takeoff_items").withColumn("bad", F.size(raw_csv.REASONS) > 0)
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    typed = [f for f in raw_csv.raw_schema("takeoff_items") if f.dataType.simpleString() != "string"]
+    assert plan.upper().count("RLIKE(") == len(typed)
+
+
+def test_tables_are_written_side_by_side(spark):
+    both = threading.Barrier(2, timeout=30)  # breaks unless the two meet
+    spark.sparkContext.setLocalProperty("plumbline.test", "kept")
+    work = lambda name: (name, both.wait() < 2, spark.sparkContext.getLocalProperty("plumbline.test"))
+    assert side_by_side(spark, work, ["a", "b"]) == [("a", True, "kept"), ("b", True, "kept")]
+    with pytest.raises(KeyError):
+        side_by_side(spark, {}.__getitem__, ["a"])
+    assert side_by_side(spark, work, []) == []
+    spark.sparkContext.setLocalProperty("plumbline.test", None)
