@@ -24,6 +24,7 @@ from plumbline.llm.tables import free_shuffles, in_small_batches, row_hash, stor
 
 SHINGLE, PERCENT = 4, 85
 STARS = 2  # rounds in which a cell's classes are compared with one of them
+CROWDED = 64  # classes up to which a cell has one such round: comparing them pair by pair costs no more
 BLOCK = 4096  # classes of a cell compared pair by pair in one task
 PARTS = 255  # tasks that classes of a cell met within a batch are dealt to
 
@@ -285,7 +286,8 @@ def _classes(
     """Rows (row, doc_id, n, cls) and the label of every class that is linked to another.
 
     Rows with equal shingle sets are one class and linked. Of the classes that
-    share a cell, one at random is compared with all others, ``STARS`` times;
+    share a cell, one at random is compared with all others, once, and ``STARS``
+    times in cells of more than ``CROWDED`` classes, whose pairs are many;
     what that leaves in different components is compared pair by pair in
     blocks of ``BLOCK`` classes, sketches first, so that no link is lost and
     no cell, not even one that a third of all rows share, is gathered in one
@@ -345,12 +347,12 @@ def _classes(
         found = sets.join(chosen, _same_row("row", "doc_id", "of", "id")).dropDuplicates(["cls"])
         return stored(found.select("cls", "members"), "parity-sets")
 
-    def open_cells(labels: DataFrame | None, seed: int) -> DataFrame:
-        """Classes of the cells that are not all in one component, with the cell's size and a centre."""
+    def open_cells(among: DataFrame, labels: DataFrame | None, seed: int) -> tuple[DataFrame, DataFrame]:
+        """Of the cells ``among`` those that are not all in one component, with their size and a centre; and their classes."""
         if labels is None:
-            labelled = cells.withColumn("label", F.col("cls"))
+            labelled = among.withColumn("label", F.col("cls"))
         else:
-            labelled = cells.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+            labelled = among.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
                 "label", F.coalesce("label", "cls")
             )
         centre = F.min(F.struct(F.xxhash64(F.lit(seed), "h", "cls").alias("by"), "cls", "label"))
@@ -364,11 +366,16 @@ def _classes(
             .select("h", "size", "centre"),
             "parity-open",
         )
-        return labelled.join(several, "h").select("h", "cls", "label", "size", "centre")
+        return several, labelled.join(several, "h").select("h", "cls", "label", "size", "centre")
 
-    links, labels = None, None
+    links, labels, among = None, None, cells
     for seed in range(STARS):
-        stars = open_cells(labels, seed).where("label != centre.label")
+        several, opened = open_cells(among, labels, seed)
+        if seed == 0:
+            # Stored, so that the plan knows how few they are.
+            crowded = stored(several.where(F.col("size") > CROWDED).select("h"), "parity-crowded")
+            among = cells.join(crowded, "h", "left_semi")
+        stars = opened.where("label != centre.label")
         pairs = stars.select(
             F.least("cls", "centre.cls").alias("a"), F.greatest("cls", "centre.cls").alias("b")
         ).distinct()
@@ -380,7 +387,7 @@ def _classes(
         labels = components(links)
 
     split = (
-        open_cells(labels, STARS - 1)
+        open_cells(cells, labels, STARS - 1)[1]
         .withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

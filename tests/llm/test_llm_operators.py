@@ -24,6 +24,7 @@ from plumbline.llm import (
 )
 from plumbline.llm.components import components
 from plumbline.llm.histogram_sort import histogram_sort
+from plumbline.llm.tables import stored
 
 def size():
     return F.coalesce(F.octet_length("text"), F.lit(0)) + 8
@@ -556,3 +557,30 @@ def test_chunks_keep_all_rows():
     batch = pa.record_batch({"text": pa.array(["a" * n for n in (0, 5, 50, 3, 0, 700, 1)] + [None])})
     parts = list(packed.chunks(batch, "text", limit=60))
     assert sum(p.num_rows for p in parts) == 8 and all(p.num_rows for p in parts)
+
+
+def _half_alike(spark):
+    """Texts of which any two share 30 of 40 or so five-word windows, and a copy with one word more."""
+    common = " ".join(f"common{i}" for i in range(34))
+    rows = [(i, f"{common} " + " ".join(f"own{i}x{j}" for j in range(8))) for i in range(12)]
+    return spark.createDataFrame([*rows, (99, rows[3][1] + " more")], "doc_id bigint, text string")
+
+
+def test_only_crowded_cells_have_a_second_round(spark, monkeypatch):
+    docs = _half_alike(spark)
+    looked_at = []
+
+    def spy(rows, purpose):
+        if purpose == "parity-open":
+            looked_at.append(rows.count())
+        return stored(rows, purpose)
+
+    monkeypatch.setattr(parity_join, "stored", spy)
+    found = {}
+    for crowded in (64, 1):
+        monkeypatch.setattr(parity_join, "CROWDED", crowded)
+        looked_at.clear()
+        found[crowded] = sorted(r["doc_id"] for r in parity_join.keep_one(docs, size=5, percent=80).collect())
+        first, second, last = looked_at
+        assert first > 0 and last > 0 and (second > 0) == (crowded == 1)
+    assert found[64] == found[1] == list(range(12))
