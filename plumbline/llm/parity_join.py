@@ -26,6 +26,8 @@ SHINGLE, PERCENT = 4, 85
 STARS = 2  # rounds in which a cell's classes are compared with one of them
 CROWDED = 64  # classes up to which a cell has one such round: comparing them pair by pair costs no more
 BLOCK = 4096  # classes of a cell compared pair by pair in one task
+CELL_BITS = 48  # of a cell's key; unrelated cells that agree in them cost a comparison and no result
+SHARED, OWN = 2, 1  # marks of a set's cell
 PARTS = 255  # tasks that classes of a cell met within a batch are dealt to
 
 
@@ -135,6 +137,17 @@ def cell_keys(values: np.ndarray, firsts: np.ndarray, percent: int = PERCENT) ->
     return np.concatenate(keys), np.concatenate(sets)
 
 
+def own_cells(keys: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether each key is of a cell in the own band of its set, which has ``counts`` shingles.
+
+    Two sets of a band meet in its own cells; in those of the next band they need no second look.
+    """
+    if not len(keys):
+        return np.zeros(0, dtype=bool)
+    own = np.searchsorted(bands(int(counts.max()), percent), counts, side="right") - 1
+    return (own & 1) == (keys & keys.dtype.type(1)).astype(np.int64)
+
+
 def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in packed.chunks(whole, "text"):
@@ -148,10 +161,11 @@ def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
 
 
 def _cells(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Cells of each set. Where sets of a batch meet in one, it is ``shared``.
+    """Cells of each set. Where sets of a batch meet in one, it is marked ``SHARED``.
 
     Then one of them stands for the batch in part 0, which finds out if other
-    batches have the cell; the others need not go there.
+    batches have the cell; the others need not go there. ``OWN`` marks a cell
+    of the set's own band, or, where a set stands for others, of one of theirs.
     """
     seen: set[int] = set()  # sets already sent by this task: copies add nothing
     for whole in batches:
@@ -163,15 +177,21 @@ def _cells(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterat
             if len(seen) > 2_000_000:
                 seen.clear()
             kept = new[sets]
+            keys &= np.uint64((1 << CELL_BITS) - 1)
+            own = own_cells(keys[kept], np.diff(firsts)[sets[kept]], percent)
             keys, classes = keys[kept].view(np.int64), names[sets[kept]]
             order = np.argsort(keys)
-            keys, classes = keys[order], classes[order]
+            keys, classes, own = keys[order], classes[order], own[order]
             repeated = np.zeros(len(keys) + 1, dtype=bool)
             repeated[1:-1] = keys[1:] == keys[:-1]
+            at = np.flatnonzero(~repeated[:-1])
+            if len(at):
+                own[at] = np.logical_or.reduceat(own, at)
             part = np.where(repeated[:-1], 1 + classes % PARTS, 0).astype(np.int16)
+            marks = (SHARED * (repeated[:-1] | repeated[1:]) + OWN * own).astype(np.int8)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(classes), pa.array(part), pa.array(repeated[:-1] | repeated[1:])],
-                names=["h", "cls", "part", "shared"],
+                [pa.array(classes), pa.array(keys), pa.array(part), pa.array(marks)],
+                names=["cls", "h", "part", "marks"],
             )
 
 
@@ -251,9 +271,7 @@ def _apart(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         width = min(len(s) for s in group["sketch"]) // 8
         bits = np.stack([_folded(s, width) for s in group["sketch"]])
         size, label = np.array(group["n"]), np.array(group["label"])
-        # Two sets of a band meet in its own cells; in those of the next band they need no second look.
-        own = np.searchsorted(bands(int(size.max()), percent), size, side="right") - 1
-        above = (own & 1) != (group["h"][0] & 1)
+        above = ~own_cells(np.array(group["h"]), size, percent)
         names, block = np.array(group["cls"]), np.array(group["block"])
         a, b = [], []
         for place in range(len(names) - 1):
@@ -288,8 +306,10 @@ def _classes(
     Rows with equal shingle sets are one class and linked. Of the classes that
     share a cell, one at random is compared with all others, once, and ``STARS``
     times in cells of more than ``CROWDED`` classes, whose pairs are many;
-    what that leaves in different components is compared pair by pair in
-    blocks of ``BLOCK`` classes, sketches first, so that no link is lost and
+    the others of a cell, where that leaves them in different components, are
+    compared pair by pair in blocks of ``BLOCK`` classes, sketches first. A
+    cell that is of no class's own band is left out, the classes being of one
+    band and meeting in the cells of that. So no link is lost and
     no cell, not even one that a third of all rows share, is gathered in one
     task: a cell sends one class per batch to the task that finds whether it is
     shared, its counts combine before they are shuffled, and its classes meet
@@ -314,17 +334,18 @@ def _classes(
     in_part = Window.partitionBy("h", "part")
     cells = stored(
         rows.select("text")
-        .mapInArrow(partial(_cells, size=size, percent=percent), "h bigint, cls bigint, part smallint, shared boolean")
+        .mapInArrow(partial(_cells, size=size, percent=percent), "cls bigint, h bigint, part smallint, marks tinyint")
         .withColumns(
             {
                 "least": F.min("cls").over(in_part),
                 "most": F.max("cls").over(in_part),
-                "shared": F.max("shared").over(in_part),
+                "shared": F.max(F.col("marks").bitwiseAND(SHARED) > 0).over(in_part),
+                "owned": F.max(F.col("marks").bitwiseAND(OWN) > 0).over(in_part),
             }
         )
-        .where("shared OR least < most")
-        .select("h", "cls")
-        .distinct(),
+        .where("(shared OR least < most) AND (owned OR part != 0)")
+        .groupBy("h", "cls")
+        .agg(F.max(F.col("marks").bitwiseAND(OWN) > 0).alias("own")),
         "parity-cells",
     )
     free_shuffles(docs.sparkSession)
@@ -347,35 +368,42 @@ def _classes(
         found = sets.join(chosen, _same_row("row", "doc_id", "of", "id")).dropDuplicates(["cls"])
         return stored(found.select("cls", "members"), "parity-sets")
 
-    def open_cells(among: DataFrame, labels: DataFrame | None, seed: int) -> tuple[DataFrame, DataFrame]:
-        """Of the cells ``among`` those that are not all in one component, with their size and a centre; and their classes."""
+    def open_cells(
+        among: DataFrame, labels: DataFrame | None, seeds: range, least_size: int = 2
+    ) -> tuple[DataFrame, DataFrame]:
+        """Of the cells ``among`` those that are not all in one component, with their size and centres; and their classes."""
         if labels is None:
             labelled = among.withColumn("label", F.col("cls"))
         else:
             labelled = among.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
                 "label", F.coalesce("label", "cls")
             )
-        centre = F.min(F.struct(F.xxhash64(F.lit(seed), "h", "cls").alias("by"), "cls", "label"))
+        centres = [
+            F.min(F.struct(F.xxhash64(F.lit(seed), "h", "cls").alias("by"), "cls", "label", "own")).alias(f"centre_{seed}")
+            for seed in seeds
+        ]
+        names = [f"centre_{seed}" for seed in seeds]
         several = stored(
             labelled.groupBy("h")
             .agg(
                 F.min("label").alias("least"), F.max("label").alias("most"),
-                F.count("*").alias("size"), centre.alias("centre"),
+                F.count("*").alias("size"), F.max("own").alias("owned"), *centres,
             )
-            .where("least < most")
-            .select("h", "size", "centre"),
+            .where((F.col("least") < F.col("most")) & F.col("owned") & (F.col("size") >= least_size))
+            .select("h", "size", *names),
             "parity-open",
         )
-        return several, labelled.join(several, "h").select("h", "cls", "label", "size", "centre")
+        return several, labelled.join(several, "h").select("h", "cls", "label", "own", "size", *names)
 
     links, labels, among = None, None, cells
     for seed in range(STARS):
-        several, opened = open_cells(among, labels, seed)
+        several, opened = open_cells(among, labels, range(seed, seed + 1))
+        opened = opened.withColumnRenamed(f"centre_{seed}", "centre")
         if seed == 0:
             # Stored, so that the plan knows how few they are.
             crowded = stored(several.where(F.col("size") > CROWDED).select("h"), "parity-crowded")
             among = cells.join(crowded, "h", "left_semi")
-        stars = opened.where("label != centre.label")
+        stars = opened.where("label != centre.label AND (own OR centre.own)")
         pairs = stars.select(
             F.least("cls", "centre.cls").alias("a"), F.greatest("cls", "centre.cls").alias("b")
         ).distinct()
@@ -386,9 +414,12 @@ def _classes(
         links = found if links is None else links.union(found)
         labels = components(links)
 
+    # The centres have been compared with all others, which settles cells of two.
+    rest = open_cells(cells, labels, range(STARS), least_size=3)[1]
+    for seed in range(STARS):
+        rest = rest.where((F.col("cls") != F.col(f"centre_{seed}.cls")) | (F.lit(seed > 0) & (F.col("size") <= CROWDED)))
     split = (
-        open_cells(cells, labels, STARS - 1)[1]
-        .withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
+        rest.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(

@@ -6,6 +6,7 @@ from collections import Counter
 import brute
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -584,3 +585,39 @@ def test_only_crowded_cells_have_a_second_round(spark, monkeypatch):
         first, second, last = looked_at
         assert first > 0 and last > 0 and (second > 0) == (crowded == 1)
     assert found[64] == found[1] == list(range(12))
+
+
+def test_two_classes_are_compared_once_and_in_their_own_band(spark, monkeypatch):
+    texts = [" ".join([*(f"common{i}" for i in range(34)), *(f"own{k}x{i}" for i in range(10))]) for k in range(2)]
+    opened = []
+
+    def spy(rows, purpose):
+        if purpose == "parity-open":
+            opened.append(rows.count())
+        return stored(rows, purpose)
+
+    monkeypatch.setattr(parity_join, "stored", spy)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(2)
+    assert parity_join.keep_one(docs, size=5, percent=80).count() == 2
+    parts = [parity_join.shingle_sets(pa.array([text]), 5) for text in texts]
+    keys = [parity_join.cell_keys(*part, 80)[0] for part in parts]
+    assert len(parts[0][0]) == len(parts[1][0])  # one band
+    both = np.intersect1d(*keys)
+    own = parity_join.own_cells(both, np.full(len(both), len(parts[0][0])), 80).sum()
+    assert 0 < own < len(both)
+    assert opened == [own, 0, 0]
+
+
+@pytest.mark.parametrize("crowded", [1, 64])
+def test_links_within_and_across_bands(spark, crowded, monkeypatch):
+    """Chains of texts of growing size, some in one band and some in two, which common words crowd together."""
+    monkeypatch.setattr(parity_join, "CROWDED", crowded)
+    rng = np.random.default_rng(8)
+    rows = []
+    for chain in range(6):
+        words = [f"w{n}" for n in rng.integers(0, 10**9, 60)]
+        for step in range(8):
+            rows.append((len(rows), " ".join(f"common{i}" for i in range(25)) + " " + " ".join(words[: 20 + 5 * step])))
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    got = collected(parity_join.similar(docs), "doc_id", "n_shingles", "component_id")
+    assert got == Counter(brute.similar(rows))
